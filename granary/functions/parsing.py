@@ -12,8 +12,13 @@ from granary import schemas as S
 
 
 def pricing_date(text: Column | str) -> Column:
-    """DATE from `MM/dd/yyyy` text."""
-    return F.try_to_date(text, S.PRICING_DATE_FORMAT)
+    """DATE from `MM/dd/yyyy` text.
+
+    The parser throws and catches an exception for text it rejects, so text
+    without the two separators in their places is not even given to it.
+    """
+    slashes = F.concat(F.substring(text, 3, 1), F.substring(text, 6, 1)) == "//"
+    return F.when(slashes, F.try_to_date(text, S.PRICING_DATE_FORMAT))
 
 
 def to_id(text: Column | str) -> Column:

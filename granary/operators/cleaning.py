@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,13 +40,12 @@ def rejected_values(raw: DataFrame) -> DataFrame:
     `rejected_columns` names the offending columns; `source_file_load_date` is
     among them when it is missing, since such a row never passes a watermark.
     """
-    failures = [
-        F.when(F.col(name).isNotNull() & parsed.isNull(), F.lit(name.lower()))
+    failed = {
+        name.lower(): F.col(name).isNotNull() & parsed.isNull()
         for name, parsed in _typed().items()
-    ]
+    }
     if "source_file_load_date" in raw.columns:
-        failures.append(
-            F.when(F.col("source_file_load_date").isNull(), F.lit("source_file_load_date"))
-        )
-    flagged = raw.withColumn("rejected_columns", F.array_compact(F.array(*failures)))
-    return flagged.where(F.size("rejected_columns") > 0)
+        failed["source_file_load_date"] = F.col("source_file_load_date").isNull()
+    names = [F.when(bad, F.lit(name)) for name, bad in failed.items()]
+    rejected = raw.where(reduce(lambda a, b: a | b, failed.values()))
+    return rejected.withColumn("rejected_columns", F.array_compact(F.array(*names)))

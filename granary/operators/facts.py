@@ -22,12 +22,14 @@ def build_fact(
     dim_variety: DataFrame,
     as_of: dt.datetime | str | None = None,
     validate: bool = True,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One fact row per price row, with NULL for a dimension it does not match.
 
     The text of the date dimension is parsed once per day, so the join compares
     DATEs and the price rows are not formatted. `validate` checks that no
-    dimension repeats a key, which would multiply fact rows.
+    dimension repeats a key, which would multiply fact rows. `keep` names further
+    columns of the price rows to carry along, such as a partition column.
     """
     by_day = dim_date.select(
         F.to_date("calendar_date", S.CALENDAR_DATE_FORMAT).alias("date_of_pricing"), "date_id"
@@ -42,9 +44,10 @@ def build_fact(
     fact = silver.select(
         "date_of_pricing", "state_name", "market_name", "product_name", "productgroup_name",
         "variety", "row_id", "arrival_in_tonnes", "maximum_price", "minimum_price", "modal_price",
+        *keep,
     )
     for dim, keys, id_col in lookups:
         if validate:
             require_unique(dim, keys, f"repeated key behind {id_col}")
         fact = lookup(fact, dim, keys, [id_col])
-    return stamped(fact, as_of).select(*S.FACT_PRICING.fieldNames())
+    return stamped(fact, as_of).select(*S.FACT_PRICING.fieldNames(), *keep)

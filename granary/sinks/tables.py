@@ -91,6 +91,13 @@ def append_table(df: DataFrame, name: str) -> None:
     conform(df, df.sparkSession.table(name).schema).write.mode("append").insertInto(name)
 
 
+def replace_partitions(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
+    """Replace the table partitions that occur in `df`; a repeated load changes nothing."""
+    rows = conform(df, df.sparkSession.table(name).schema)
+    writer = spread_by(rows, partition_by).write.mode("overwrite")
+    writer.option("partitionOverwriteMode", "dynamic").insertInto(name)
+
+
 def replace_table(df: DataFrame, name: str) -> None:
     """Create or replace a managed table, schema included."""
     df.sparkSession.sql(f"CREATE DATABASE IF NOT EXISTS {name.split('.')[0]}")

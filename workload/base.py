@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary import schemas as S
+from granary.sources.tables import widen
 from granary.staging import stage
 
 AS_OF = "2024-02-01 00:00:00"
@@ -22,18 +23,21 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def pricing(spark: SparkSession, sf: str) -> DataFrame:
     """Typed price rows without load stamps."""
     read = lambda name: table(spark, sf, name)
-    places = (
-        read("customer")
+    # Places are joined to the orders, so the lines meet them in one join. Both of
+    # its sides grow with the data; the hint keeps the planner, which multiplies
+    # the sizes of the joined tables, from broadcasting the lines.
+    ordered = (
+        read("orders")
+        .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .join(read("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("c_custkey", "n_name", "r_name")
+        .select("o_orderkey", "o_orderdate", "n_name", "r_name")
     )
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     one = F.lit(1).cast("decimal(4,2)")
     return (
-        read("lineitem")
-        .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(places, F.col("o_custkey") == F.col("c_custkey"))
+        widen(read("lineitem"), "l_orderkey")
+        .join(ordered.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(read("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .select(
@@ -70,7 +74,7 @@ def raw_pricing(spark: SparkSession, sf: str) -> DataFrame:
     four = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)")
     amount = F.col("l_quantity").cast(S.TONNES).cast("string")
     return (
-        read("lineitem")
+        widen(read("lineitem"), "l_orderkey")
         .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
