@@ -47,18 +47,9 @@ def watermark(
     )
 
 
-def rows_after(
-    src: DataFrame, stamp: Column, column: str = "source_file_load_date",
-    day_column: str | None = None,
-) -> DataFrame:
-    """Rows loaded after the constant `stamp`; rows without a load stamp never qualify.
-
-    The constant takes the type of the column, so the comparison can be pushed to
-    the files. `day_column` names a DATE partition column derived from the load
-    stamp, so that partitions before the watermark are not even listed.
-    """
-    newer = src.where(F.col(column) > stamp.cast(src.schema[column].dataType))
-    return newer.where(F.col(day_column) >= stamp.cast("date")) if day_column else newer
+def load_batch(column: str = "source_file_load_date") -> Column:
+    """Key of a load, for partitioning: its stamp in microseconds, free of time zones."""
+    return F.unix_micros(F.col(column).cast("timestamp"))
 
 
 def incremental_rows(
@@ -67,11 +58,20 @@ def incremental_rows(
     process: str,
     precision: str = "timestamp",
     column: str = "source_file_load_date",
-    day_column: str | None = None,
+    batch_column: str | None = None,
 ) -> DataFrame:
-    """Rows of `src` that no completed run of `process` has covered."""
+    """Rows of `src` loaded after the watermark of `process`.
+
+    Rows without a load stamp never qualify. The constant takes the type of the
+    column, so the comparison can be pushed to the files. `batch_column` names a
+    partition column holding `load_batch`; with it older partitions are not even
+    listed.
+    """
     top = watermark(log, process, precision).select(F.unix_micros("watermark").alias("us")).first()
-    return rows_after(src, F.timestamp_micros(F.lit(top["us"])), column, day_column)
+    if batch_column:
+        return src.where(F.col(batch_column) > F.lit(top["us"]))
+    stamp = F.timestamp_micros(F.lit(top["us"])).cast(src.schema[column].dataType)
+    return src.where(F.col(column) > stamp)
 
 
 def run_entry(

@@ -1,7 +1,7 @@
 """The daily price load: landing, cleaning, dimensions, facts.
 
-Every step reads only load days that are new to it and replaces what it wrote for
-them before, so a step can be repeated after a crash at any point.
+Every step reads only the landing runs that are new to it and replaces whatever it
+wrote for them before, so a step can be repeated after a crash at any point.
 """
 
 from __future__ import annotations
@@ -14,29 +14,13 @@ from pyspark.sql import functions as F
 from granary import schemas as S
 from granary.operators import cleaning, control, dimensions, facts, history, merging
 from granary.plans import lakehouse as names
-from granary.plans.lakehouse import LOAD_DAY, Lakehouse
-from granary.sinks.tables import append_files, read_evolving
+from granary.plans.lakehouse import LOAD_BATCH, Lakehouse
+from granary.sinks.tables import append_evolving
 from granary.sources.daily_csv import daily_files, read_daily_files, stamp_landing
 
 AsOf = dt.datetime | str | None
 
 
-def _is_landed(lake: Lakehouse) -> bool:
-    """Whether the bronze folder holds anything yet."""
-    spark = lake.spark
-    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(lake.bronze_pricing)
-    return path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path)
-
-
-def bronze(lake: Lakehouse) -> DataFrame:
-    """Landed price rows with the expected columns; columns added later are left out."""
-    partitions = "load_day date, file_date date"
-    schema = lake.spark.createDataFrame([], partitions).schema
-    return read_evolving(
-        lake.spark, lake.bronze_pricing, type(schema)(S.LANDED_PRICING.fields + schema.fields)
-    )
-
-
 def new_files(lake: Lakehouse, folder: str) -> DataFrame:
     """Files dated after the last completed one that are not landed yet.
 
@@ -45,10 +29,8 @@ def new_files(lake: Lakehouse, folder: str) -> DataFrame:
     log = lake.table(names.RUN_LOG)
     first = control.next_file_date(log, S.PROCESS_INGEST).first()["next_file_date"]
     files = daily_files(lake.spark, folder).where(F.col("file_date") >= F.lit(first))
-    if not _is_landed(lake):
-        return files
-    landed = bronze(lake).where(F.col("file_date") >= F.lit(first)).select("file_date").distinct()
-    return files.join(landed, "file_date", "left_anti")
+    landed = lake.table(names.BRONZE).where(F.col("file_date") >= F.lit(first))
+    return files.join(landed.select("file_date").distinct(), "file_date", "left_anti")
 
 
 def ingest_prices(
@@ -62,25 +44,24 @@ def ingest_prices(
     with control.logged_run(lake.spark, S.PROCESS_INGEST, lake.log, last, as_of):
         rows = read_daily_files(lake.spark, sorted(row["path"] for row in files), on_drift)
         landed = stamp_landing(rows, as_of)
-        landed = landed.withColumn(LOAD_DAY, F.col("source_file_load_date").cast("date"))
-        append_files(landed, lake.bronze_pricing, (LOAD_DAY, "file_date"))
+        landed = landed.withColumn(LOAD_BATCH, control.load_batch())
+        append_evolving(landed, names.BRONZE, (LOAD_BATCH, "file_date"))
     return len(files)
 
 
-def _days_since_last_run(lake: Lakehouse, src: DataFrame, process: str) -> DataFrame:
-    """Rows of the last covered load day and of all later ones."""
-    mark = control.watermark(lake.table(names.RUN_LOG), process)
-    day = mark.select(F.col("watermark").cast("date").alias("day")).first()["day"]
-    return src.where(F.col(LOAD_DAY) >= F.lit(day))
+def _new_rows(lake: Lakehouse, src: DataFrame, process: str) -> DataFrame:
+    """Rows of the landing runs that `process` has not completed."""
+    return control.incremental_rows(
+        src, lake.table(names.RUN_LOG), process, batch_column=LOAD_BATCH
+    )
 
 
 def load_silver(lake: Lakehouse, as_of: AsOf = None) -> None:
-    """Type the new load days of the landed rows."""
+    """Type the newly landed rows."""
     with control.logged_run(lake.spark, S.PROCESS_SILVER, lake.log, as_of=as_of) as done:
-        landed = _days_since_last_run(lake, bronze(lake), S.PROCESS_SILVER)
+        landed = _new_rows(lake, lake.table(names.BRONZE), S.PROCESS_SILVER)
         typed = cleaning.clean_daily_pricing(landed, as_of)
-        days = typed.withColumn(LOAD_DAY, F.col("source_file_load_date").cast("date"))
-        lake.replace_days(days, names.SILVER)
+        lake.replace_batches(typed.withColumn(LOAD_BATCH, control.load_batch()), names.SILVER)
         done(control.batch_entry(landed, S.PROCESS_SILVER, as_of))
 
 
@@ -90,7 +71,7 @@ def load_dimensions(lake: Lakehouse, as_of: AsOf = None) -> None:
     A product keeps one row; its group is the one of the newest load.
     """
     with control.logged_run(lake.spark, S.PROCESS_DIMENSIONS, lake.log, as_of=as_of) as done:
-        rows = _days_since_last_run(lake, lake.table(names.SILVER), S.PROCESS_DIMENSIONS)
+        rows = _new_rows(lake, lake.table(names.SILVER), S.PROCESS_DIMENSIONS)
         for name, column in (
             (names.DIM_STATE, "state_name"),
             (names.DIM_MARKET, "market_name"),
@@ -113,9 +94,13 @@ def load_date_dim(lake: Lakehouse, start: dt.date | str, end: dt.date | str) ->
 
 
 def load_facts(lake: Lakehouse, as_of: AsOf = None) -> None:
-    """Facts of the load days that are new since the last completed run."""
+    """Facts of the price rows that came after the last completed run.
+
+    Earlier facts keep the keys they were given, also when a product has changed
+    its group since.
+    """
     with control.logged_run(lake.spark, S.PROCESS_FACT, lake.log, as_of=as_of) as done:
-        rows = _days_since_last_run(lake, lake.table(names.SILVER), S.PROCESS_FACT)
+        rows = _new_rows(lake, lake.table(names.SILVER), S.PROCESS_FACT)
         fact = facts.build_fact(
             rows,
             lake.table(names.DIM_DATE),
@@ -124,9 +109,9 @@ def load_facts(lake: Lakehouse, as_of: AsOf = None) -> None:
             lake.table(names.DIM_PRODUCT),
             lake.table(names.DIM_VARIETY),
             as_of,
-            keep=(LOAD_DAY,),
+            keep=(LOAD_BATCH,),
         )
-        lake.replace_days(fact, names.FACT)
+        lake.replace_batches(fact, names.FACT)
         done(control.batch_entry(rows, S.PROCESS_FACT, as_of))
 
 
@@ -136,9 +121,8 @@ def run_daily(
     """The whole daily load in order; `start` and `end` bound the date dimension."""
     lake.create()
     count = ingest_prices(lake, folder, as_of)
-    if count or _is_landed(lake):
-        load_silver(lake, as_of)
-        load_dimensions(lake, as_of)
-        load_date_dim(lake, start, end)
-        load_facts(lake, as_of)
+    load_silver(lake, as_of)
+    load_dimensions(lake, as_of)
+    load_date_dim(lake, start, end)
+    load_facts(lake, as_of)
     return count

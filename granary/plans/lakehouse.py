@@ -5,15 +5,16 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DataType, DateType, LongType, StructField, StructType
 
 from granary import schemas as S
 from granary.sinks import tables
 
-# DATE of the load stamp. It partitions the large tables, so an incremental read
-# lists only new days and a repeated load replaces whole days.
-LOAD_DAY = "load_day"
+# Key of the landing run a row came with. It partitions the large tables, so an
+# incremental read lists only new runs and a repeated load replaces whole runs.
+LOAD_BATCH = "load_batch"
 
+BRONZE = "bronze_market.daily_pricing_bronze"
 RUN_LOG = "bronze_processrunlogs.process_runs"
 SILVER = "silver_market.daily_pricing_silver"
 LOCATIONS = "silver_market.geo_location_silver"
@@ -41,8 +42,11 @@ SCHEMAS: dict[str, StructType] = {
 }
 
 
-def with_load_day(schema: StructType) -> StructType:
-    return StructType(schema.fields + [StructField(LOAD_DAY, DateType(), True)])
+PARTITIONED: dict[str, tuple[StructType, tuple[tuple[str, DataType], ...]]] = {
+    BRONZE: (S.LANDED_PRICING, ((LOAD_BATCH, LongType()), ("file_date", DateType()))),
+    SILVER: (S.SILVER_PRICING, ((LOAD_BATCH, LongType()),)),
+    FACT: (S.FACT_PRICING, ((LOAD_BATCH, LongType()),)),
+}
 
 
 @dataclass(frozen=True)
@@ -52,10 +56,6 @@ class Lakehouse:
     spark: SparkSession
     root: str
 
-    @property
-    def bronze_pricing(self) -> str:
-        return f"{self.root}/bronze/daily-pricing-bronze"
-
     @property
     def bronze_locations(self) -> str:
         return f"{self.root}/bronze/geo-location"
@@ -78,10 +78,10 @@ class Lakehouse:
         """All databases and tables that do not exist yet."""
         for name, schema in SCHEMAS.items():
             tables.create_table(self.spark, name, schema, self.location(name))
-        for name, schema in ((SILVER, S.SILVER_PRICING), (FACT, S.FACT_PRICING)):
-            tables.create_table(
-                self.spark, name, with_load_day(schema), self.location(name), (LOAD_DAY,)
-            )
+        for name, (schema, partitions) in PARTITIONED.items():
+            full = StructType(schema.fields + [StructField(c, t, True) for c, t in partitions])
+            columns = tuple(c for c, _ in partitions)
+            tables.create_table(self.spark, name, full, self.location(name), columns)
 
     def log(self, entry: DataFrame) -> None:
         """Append rows to the run log."""
@@ -91,6 +91,6 @@ class Lakehouse:
         """Replace a small table by a new version that may be computed from the old one."""
         tables.publish(df, name, self.root)
 
-    def replace_days(self, df: DataFrame, name: str) -> None:
-        """Replace the load days that occur in `df`, and no others."""
-        tables.replace_partitions(df, name, (LOAD_DAY,))
+    def replace_batches(self, df: DataFrame, name: str) -> None:
+        """Replace the load batches that occur in `df`, and no others."""
+        tables.replace_partitions(df, name, (LOAD_BATCH,))

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -91,11 +93,38 @@ def append_table(df: DataFrame, name: str) -> None:
     conform(df, df.sparkSession.table(name).schema).write.mode("append").insertInto(name)
 
 
+def append_evolving(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
+    """Append to a catalog table and add the columns it lacks; its older rows read NULL.
+
+    The catalog holds the full schema, so readers never merge file footers.
+    """
+    spark = df.sparkSession
+    known = {column.lower() for column in spark.table(name).columns}
+    added = [f for f in df.schema.fields if f.name.lower() not in known]
+    if added:
+        columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    append_table(spread_by(df, partition_by), name)
+
+
+@contextmanager
+def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    # insertInto takes this from the session only; as a writer option it would be
+    # ignored, and every partition of the table replaced.
+    key = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)
+
+
 def replace_partitions(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
     """Replace the table partitions that occur in `df`; a repeated load changes nothing."""
     rows = conform(df, df.sparkSession.table(name).schema)
-    writer = spread_by(rows, partition_by).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(name)
+    with _dynamic_overwrite(df.sparkSession):
+        spread_by(rows, partition_by).write.mode("overwrite").insertInto(name)
 
 
 def replace_table(df: DataFrame, name: str) -> None:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import datetime as dt
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -68,7 +69,7 @@ def read_daily_files(spark: SparkSession, paths: list[str], on_drift: str = "err
 
     by_header: dict[str, list[str]] = {}
     for row in file_headers(spark, paths).select("path", "header").collect():
-        by_header.setdefault(row["header"], []).append(row["path"])
+        by_header.setdefault(row["header"], []).append(unquote(row["path"]))
     groups = []
     for header, members in sorted(by_header.items()):
         names = next(csv.reader([header.removeprefix("﻿")]))

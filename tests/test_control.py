@@ -56,11 +56,12 @@ def test_watermark_falls_back_to_the_date(spark):
     assert ids(control.incremental_rows(rows, runs, P)) == [1]
 
 
-def test_day_column_prunes_the_same_rows(spark):
-    rows = src(spark, NOON, NOON + dt.timedelta(seconds=1), NOON + dt.timedelta(days=1))
-    rows = rows.selectExpr("*", "CAST(source_file_load_date AS DATE) AS day")
+def test_batch_column_selects_the_same_rows(spark):
+    rows = src(spark, NOON, NOON + dt.timedelta(microseconds=1), NOON + dt.timedelta(days=1), None)
+    rows = rows.withColumn("batch", control.load_batch())
     runs = log(spark, (P, DAY, "Completed", None, NOON))
-    assert ids(control.incremental_rows(rows, runs, P, day_column="day")) == [1, 2]
+    assert ids(control.incremental_rows(rows, runs, P, batch_column="batch")) == [1, 2]
+    assert ids(control.incremental_rows(rows, log(spark), P, batch_column="batch")) == [0, 1, 2]
 
 
 def test_batch_entry_is_the_maximum_of_the_batch(spark):
