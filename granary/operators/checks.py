@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -18,7 +20,18 @@ def repeated_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 def require_unique(df: DataFrame, keys: list[str], what: str) -> DataFrame:
     """`df` itself, or an error that names one repeated key."""
-    found = repeated_keys(df, keys).take(1)
-    if found:
-        raise DuplicateKeyError(f"{what}: {found[0].asDict()}")
+    require_all_unique({what: (df, keys)})
     return df
+
+
+def require_all_unique(tables: dict[str, tuple[DataFrame, list[str]]]) -> None:
+    """An error that names one repeated key of one of the tables; one job for all of them."""
+    found = [
+        repeated_keys(df, keys).select(
+            F.lit(what).alias("what"), F.to_json(F.struct(*keys, "copies")).alias("key")
+        )
+        for what, (df, keys) in tables.items()
+    ]
+    first = reduce(DataFrame.unionByName, found).take(1)
+    if first:
+        raise DuplicateKeyError(f"{first[0]['what']}: {first[0]['key']}")

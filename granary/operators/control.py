@@ -83,8 +83,13 @@ def run_entry(
     watermark_ts: dt.datetime | None = None,
 ) -> DataFrame:
     """One run-log row."""
-    row = [(process, date, status, None, watermark_ts)]
-    return spark.createDataFrame(row, S.RUN_LOG).withColumn("run_timestamp", load_time(as_of))
+    return spark.range(1).select(
+        F.lit(process).alias("process_name"),
+        F.lit(date).cast("date").alias("processed_file_table_date"),
+        F.lit(status).alias("process_status"),
+        load_time(as_of).alias("run_timestamp"),
+        F.lit(watermark_ts).cast("timestamp").alias("watermark_ts"),
+    )
 
 
 def batch_entry(

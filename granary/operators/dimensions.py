@@ -7,7 +7,6 @@ import datetime as dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from granary import schemas as S
 from granary.functions import calendar_text, stamped
 from granary.operators.ids import SINGLE_TASK_ROWS, dense_ids, highest_id
 
@@ -68,13 +67,6 @@ def date_dim_between(
 
 def date_dim(spark: SparkSession, start: dt.date | str, end: dt.date | str) -> DataFrame:
     """Date dimension from `start` to `end`, both included."""
-    day = dt.date.fromisoformat
-    bounds = spark.createDataFrame(
-        [(day(str(start)), day(str(end)))], "start_date date, end_date date"
-    )
+    day = lambda d: F.lit(str(d)).cast("date")
+    bounds = spark.range(1).select(day(start).alias("start_date"), day(end).alias("end_date"))
     return date_dim_between(bounds)
-
-
-def empty_dim(spark: SparkSession, schema=S.DIM_STATE) -> DataFrame:
-    """A dimension table before its first load."""
-    return spark.createDataFrame([], schema)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from granary import schemas as S
 from granary.functions import stamped
-from granary.operators.checks import require_unique
+from granary.operators.checks import require_all_unique
 from granary.operators.lookups import lookup
 
 
@@ -46,8 +46,8 @@ def build_fact(
         "variety", "row_id", "arrival_in_tonnes", "maximum_price", "minimum_price", "modal_price",
         *keep,
     )
+    if validate:
+        require_all_unique({f"repeated key behind {i}": (dim, keys) for dim, keys, i in lookups})
     for dim, keys, id_col in lookups:
-        if validate:
-            require_unique(dim, keys, f"repeated key behind {id_col}")
         fact = lookup(fact, dim, keys, [id_col])
     return stamped(fact, as_of).select(*S.FACT_PRICING.fieldNames(), *keep)

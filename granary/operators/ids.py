@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.staging import stage
+from granary.staging import stage, stage_counted
 
 # Rows one task may number alone; above that the keys are range partitioned.
 SINGLE_TASK_ROWS = 100_000
@@ -29,14 +29,14 @@ def dense_ids(
 ) -> DataFrame:
     """`df` plus `id_col` = start + 1, start + 2, … in the order of `order_by`.
 
-    `order_by` should identify a row. The frame is staged and counted first. Up to
+    `order_by` should identify a row. The frame is staged, and counted on the way. Up to
     `single_task_rows` rows a plain window is cheapest. Beyond that each range
     partition numbers its own rows and adds the number of rows in the partitions
     before it; the numbered ranges are staged because both the totals and the ids
     must come from one and the same split.
     """
-    staged = stage(df, "keys")
-    if staged.count() <= single_task_rows:
+    staged, rows = stage_counted(df, "keys")
+    if rows <= single_task_rows:
         position = F.row_number().over(Window.orderBy(*order_by)).cast("bigint")
         return staged.select((position + F.lit(start)).alias(id_col), *staged.columns)
 

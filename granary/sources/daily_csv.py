@@ -13,6 +13,7 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from granary import schemas as S
 from granary.functions import file_date, load_time
+from granary.staging import empty_table
 
 
 def daily_files(spark: SparkSession, folder: str) -> DataFrame:
@@ -75,7 +76,7 @@ def read_daily_files(spark: SparkSession, paths: list[str], on_drift: str = "err
         names = next(csv.reader([header.removeprefix("﻿")]))
         frame = _read(spark, sorted(members), _text_columns(names))
         groups.append(frame.toDF(*(name.strip() for name in names), "file_date"))
-    known = spark.createDataFrame([], S.RAW_PRICING)
+    known = empty_table(spark, S.RAW_PRICING)
     return reduce(
         lambda a, b: a.unionByName(b, allowMissingColumns=True), groups, known
     )

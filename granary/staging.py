@@ -11,7 +11,9 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 
 _local_roots: dict[str, str] = {}
@@ -46,3 +48,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def stage_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:
+    """The written table and its number of rows, counted while writing."""
+    seen = Observation()
+    staged = stage(df.observe(seen, F.count(F.lit(1)).alias("rows")), label)
+    return staged, seen.get["rows"]
+
+
+def empty_table(spark: SparkSession, schema: StructType) -> DataFrame:
+    """No rows of `schema`, in a form the optimizer knows to be empty."""
+    nothing = [F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields]
+    return spark.range(1).select(*nothing).limit(0)

@@ -6,8 +6,9 @@ from hypothesis import strategies as st
 
 from granary import schemas as S
 from granary.operators.checks import DuplicateKeyError, repeated_keys, require_unique
-from granary.operators.dimensions import date_dim, date_spine, empty_dim, load_dim, new_dim_rows
+from granary.operators.dimensions import date_dim, date_spine, load_dim, new_dim_rows
 from granary.operators.ids import dense_ids, highest_id
+from granary.staging import empty_table
 
 
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
@@ -43,7 +44,7 @@ def test_ids_by_two_keys_with_null(spark):
 
 
 def test_highest_id(spark):
-    assert highest_id(empty_dim(spark), "state_id") == 0
+    assert highest_id(empty_table(spark, S.DIM_STATE), "state_id") == 0
     assert highest_id(spark.range(4), "id") == 3
 
 
@@ -53,7 +54,7 @@ def states(spark, *names):
 
 def test_dimension_grows_and_a_rerun_adds_nothing(spark):
     load = lambda src, dim: load_dim(src, dim, "state_name", "state_id", "state_name")
-    first = load(states(spark, "c", "a", None, "a"), empty_dim(spark))
+    first = load(states(spark, "c", "a", None, "a"), empty_table(spark, S.DIM_STATE))
     second = load(states(spark, "b", "a"), first)
     third = load(states(spark, "b", "a", "c"), second)
     assert first.schema == S.DIM_STATE
@@ -63,7 +64,7 @@ def test_dimension_grows_and_a_rerun_adds_nothing(spark):
 
 def test_source_and_dimension_column_may_differ(spark):
     src = spark.createDataFrame([("x",)], "origin string")
-    rows = new_dim_rows(src, empty_dim(spark, S.DIM_VARIETY), "origin", "variety_id", "variety", "2024-01-01")
+    rows = new_dim_rows(src, empty_table(spark, S.DIM_VARIETY), "origin", "variety_id", "variety", "2024-01-01")
     assert rows.first()["variety"] == "x"
     assert rows.first()["created_at"] == dt.datetime(2024, 1, 1)
 

@@ -5,7 +5,7 @@ import pytest
 from granary import schemas as S
 from granary.operators import history, merging
 from granary.operators.checks import DuplicateKeyError
-from granary.operators.dimensions import empty_dim
+from granary.staging import empty_table
 
 T1, T2, T3 = "2024-01-01", "2024-02-01", "2024-03-01"
 
@@ -36,7 +36,7 @@ def test_pairs_are_distinct_and_named(spark):
 
 def test_first_load_has_one_row_per_pair(spark):
     src = pairs(spark, ("b", "y"), ("a", "y"), ("a", "x"))
-    got = merging.merge_product_dim(src, empty_dim(spark, S.DIM_PRODUCT), T1)
+    got = merging.merge_product_dim(src, empty_table(spark, S.DIM_PRODUCT), T1)
     assert got.schema == S.DIM_PRODUCT
     assert products(got) == [(1, "a", "x", 1), (2, "a", "y", 1), (3, "b", "y", 1)]
 
@@ -52,7 +52,7 @@ def test_merge_keeps_updates_and_inserts(spark):
 
 def test_merge_rerun_changes_nothing(spark):
     src = pairs(spark, ("a", "x"), ("b", None))
-    first = merging.merge_product_dim(src, empty_dim(spark, S.DIM_PRODUCT), T1)
+    first = merging.merge_product_dim(src, empty_table(spark, S.DIM_PRODUCT), T1)
     assert products(merging.merge_product_dim(src, first, T2)) == products(first)
 
 
@@ -82,7 +82,7 @@ def versions(df):
 
 
 def apply(spark, *loads, **options):
-    hist = empty_dim(spark, S.DIM_PRODUCT_SCD2)
+    hist = empty_table(spark, S.DIM_PRODUCT_SCD2)
     for rows, as_of in loads:
         hist = history.scd2_apply(source(spark, *rows), hist, as_of=as_of, **options)
     return hist

@@ -16,7 +16,7 @@ from granary.operators.lookups import full_outer, lookup, unmatched_right
 from granary.plans.reference_data import copy_reference_table
 from granary.sources.daily_csv import daily_files, read_daily_files
 from granary.sources.json_docs import land_weather, read_json_lines
-from granary.staging import scratch_path, stage
+from granary.staging import empty_table, scratch_path, stage
 from granary.streaming.landing import land_available
 from workload import base
 
@@ -106,7 +106,7 @@ def dense_ids_by_range(spark: SparkSession, sf: str) -> DataFrame:
 def _first_dim(spark: SparkSession, silver: DataFrame, schema, src_col: str) -> DataFrame:
     id_col, name_col = schema.fieldNames()[:2]
     return dimensions.load_dim(
-        silver, dimensions.empty_dim(spark, schema), src_col, id_col, name_col
+        silver, empty_table(spark, schema), src_col, id_col, name_col
     )
 
 
@@ -150,7 +150,7 @@ def dim_date(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def dim_product_first_load(spark: SparkSession, sf: str) -> DataFrame:
     pairs = merging.product_pairs(base.pricing(spark, sf))
-    empty = dimensions.empty_dim(spark, S.DIM_PRODUCT)
+    empty = empty_table(spark, S.DIM_PRODUCT)
     return _without_stamps(merging.merge_product_dim(pairs, empty))
 
 
@@ -159,7 +159,7 @@ def dim_product_merge(spark: SparkSession, sf: str) -> DataFrame:
     """Products of one variety first, then all products, one group each."""
     silver = base.silver(spark, sf)
     earlier = silver.where(F.col("variety") == "Brand#1")
-    empty = dimensions.empty_dim(spark, S.DIM_PRODUCT)
+    empty = empty_table(spark, S.DIM_PRODUCT)
     first = merging.one_group_per_product(merging.product_pairs(earlier))
     dim = stage(merging.merge_product_dim(first, empty, FIRST_LOAD))
     pairs = merging.one_group_per_product(merging.product_pairs(silver))
@@ -175,12 +175,12 @@ def dim_product_merge(spark: SparkSession, sf: str) -> DataFrame:
 
 def _products(spark: SparkSession, sf: str) -> DataFrame:
     pairs = merging.product_pairs(base.pricing(spark, sf))
-    empty = dimensions.empty_dim(spark, S.DIM_PRODUCT)
+    empty = empty_table(spark, S.DIM_PRODUCT)
     return history.product_source(stage(merging.new_product_rows(pairs, empty)))
 
 
 def _history(spark: SparkSession, *loads: tuple[DataFrame, str]) -> DataFrame:
-    hist = dimensions.empty_dim(spark, S.DIM_PRODUCT_SCD2)
+    hist = empty_table(spark, S.DIM_PRODUCT_SCD2)
     for source, as_of in loads:
         hist = stage(history.scd2_apply(source, hist, as_of=as_of), "history")
     return hist.select(
@@ -227,23 +227,29 @@ def scd2_rerun_noop(spark: SparkSession, sf: str) -> DataFrame:
 # --- facts ------------------------------------------------------------------
 
 
-def _star(spark: SparkSession, silver: DataFrame) -> list[DataFrame]:
-    empty = dimensions.empty_dim(spark, S.DIM_PRODUCT)
-    built = [
+def _facts(spark: SparkSession, rows: DataFrame, silver: DataFrame) -> DataFrame:
+    """Facts of `rows` with dimensions loaded from `silver`.
+
+    The loaders number distinct members, so the keys need no check of their own.
+    """
+    empty = empty_table(spark, S.DIM_PRODUCT)
+    fact = facts.build_fact(
+        rows,
         dimensions.date_dim(spark, FACT_START, FACT_END),
         _first_dim(spark, silver, S.DIM_STATE, "state_name"),
         _first_dim(spark, silver, S.DIM_MARKET, "market_name"),
         merging.merge_product_dim(merging.product_pairs(silver), empty),
         _first_dim(spark, silver, S.DIM_VARIETY, "variety"),
-    ]
-    return [stage(dim, "dim") for dim in built]
+        validate=False,
+    )
+    return _without_stamps(fact)
 
 
 @query
 def fact_min_slice(spark: SparkSession, sf: str) -> DataFrame:
     silver = base.silver(spark, sf)
-    state = stage(_first_dim(spark, silver, S.DIM_STATE, "state_name"))
-    days = stage(dimensions.date_dim(spark, FACT_START, FACT_END))
+    state = _first_dim(spark, silver, S.DIM_STATE, "state_name")
+    days = dimensions.date_dim(spark, FACT_START, FACT_END)
     rows = silver.withColumn("calendar_date", calendar_text("date_of_pricing"))
     rows = lookup(rows, state, ["state_name"], ["state_id"])
     rows = lookup(rows, days, ["calendar_date"], ["date_id"])
@@ -253,7 +259,7 @@ def fact_min_slice(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def fact_daily_pricing(spark: SparkSession, sf: str) -> DataFrame:
     silver = base.silver(spark, sf)
-    return _without_stamps(facts.build_fact(silver, *_star(spark, silver)))
+    return _facts(spark, silver, silver)
 
 
 @query
@@ -266,7 +272,7 @@ def fact_incremental(spark: SparkSession, sf: str) -> DataFrame:
     loaded = silver.where(F.col("date_of_pricing") < F.lit("2000-01-01").cast("date"))
     log = control.batch_entry(loaded, S.PROCESS_FACT)
     new = control.incremental_rows(silver, log, S.PROCESS_FACT)
-    return _without_stamps(facts.build_fact(new, *_star(spark, silver)))
+    return _facts(spark, new, silver)
 
 
 # --- nested responses -------------------------------------------------------
