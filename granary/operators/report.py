@@ -33,7 +33,7 @@ def _locations(geo: DataFrame) -> DataFrame:
         F.col("latitude").alias("MARKET_LATITUDE"),
         F.col("longitude").alias("MARKET_LONGITUDE"),
         F.col("population").alias("MARKET_POPULATION"),
-    ).distinct()
+    )
 
 
 def _weather(weather: DataFrame) -> DataFrame:
@@ -45,7 +45,7 @@ def _weather(weather: DataFrame) -> DataFrame:
         F.col("minimumTemparature").alias("MARKET_MIN_TEMPARATURE"),
         F.col("unitOfRainFall").alias("RAINFALL_UNIT"),
         F.col("rainFall").alias("MARKET_DAILY_RAINFALL"),
-    ).distinct()
+    )
 
 
 def price_weather_report(
@@ -61,8 +61,8 @@ def price_weather_report(
     * Duplicates go before the joins. A price row fixes its keys, so distinct
       prices joined with distinct locations and distinct weather are distinct,
       and copies neither travel through the joins nor multiply in them.
-    * The locations and weather rows are staged, so their measured size decides
-      whether the left joins run map-side.
+    * Locations and weather are joined from the left, so their size decides whether
+      that happens map-side. They are read twice and should be tables.
     * Rows without a price come from anti joins against the price keys, of which
       there are as many as markets and days. Only these rows, and the one price
       row that may be NULL throughout, can still coincide, so the last distinct
@@ -72,17 +72,17 @@ def price_weather_report(
     without a price: markets of the same name share their weather. A day that
     does not parse matches no price.
     """
-    places = stage(_locations(geo), "places")
-    days = stage(_weather(weather), "days")
+    places = _locations(geo)
+    days = _weather(weather)
     has_value = reduce(lambda a, b: a | b, (F.col(c).isNotNull() for c in _PRICE))
 
     prices = silver.select(*_PRICE)
     priced = (
         prices.where(has_value).distinct().alias("l")
-        .join(places.alias("r"), pairs_equal("l", "r", _GEO_KEYS), "left")
+        .join(places.distinct().alias("r"), pairs_equal("l", "r", _GEO_KEYS), "left")
         .select("l.*", *_GEO_TAKE)
         .alias("l")
-        .join(days.alias("r"), pairs_equal("l", "r", _WEATHER_KEYS), "left")
+        .join(days.distinct().alias("r"), pairs_equal("l", "r", _WEATHER_KEYS), "left")
         .select("l.*", *_WEATHER_TAKE)
     )
 

@@ -8,6 +8,11 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from granary.session import build_session  # noqa: E402
 
 
+def final_plan(df):
+    """The physical plan of `df`; after a run with what adaptive execution made of it."""
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
     root = tmp_path_factory.mktemp("spark")

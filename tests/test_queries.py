@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as entry_points
+from conftest import final_plan
 from compare import connect, differences
 
 QUERIES = entry_points.queries()
@@ -22,8 +23,11 @@ def test_every_query_has_sql():
 
 @pytest.mark.parametrize("name", QUERIES)
 def test_query_matches_sql(spark, sf, con, name):
-    got = QUERIES[name](spark, sf).toArrow()
-    assert differences(con, SQL[name], got) == ""
+    df = QUERIES[name](spark, sf)
+    assert differences(con, SQL[name], df.toArrow()) == ""
+    plan = final_plan(df)
+    for slow in ("CartesianProduct", "NestedLoopJoin", "EvalPython", "InPandas"):
+        assert slow not in plan
 
 
 def test_comparison_notices_differences(spark, con):

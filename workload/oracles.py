@@ -269,6 +269,10 @@ WHERE y NOT IN (1996, 1997)""",
         "weather_length_mismatch": _with(WEATHER.format(first_year=1995)) + """
 SELECT n_name AS "marketName", y / 4 AS latitude, count(*) FILTER (n > 1) AS rain_days
 FROM weather GROUP BY n_name, y HAVING count(*) FILTER (n > 1) < count(*)""",
+        "struct_fields": _with(LOCATED) + """
+SELECT reply, string_agg(coalesce(admin1, '?'), ',' ORDER BY c_custkey) AS states,
+       string_agg(n_name, ',' ORDER BY c_custkey) AS markets
+FROM located GROUP BY reply""",
         "explode_cross_limit": _with(LOCATED) + """
 SELECT reply, name, longitude, latitude, population, row_number() OVER (ORDER BY reply, i, j, k, l) - 1 AS "sequenceId"
 FROM (SELECT a.reply, a.n_name AS name, b.c_acctbal AS longitude, c.c_custkey / 8 AS latitude,
@@ -295,6 +299,12 @@ FULL JOIN weather w ON w.n_name = p.market_name AND p.date_of_pricing = w.day"""
 SELECT {_TEXT}, CASE WHEN year(date_of_pricing) >= 1998 THEN substr(variety, 7, 2) END AS "GRADE"
 FROM pricing""",
         "stream_available_now": _with(PRICING) + f"SELECT {_TEXT} FROM pricing",
+        "evolving_append": """
+SELECT o_orderkey, o_orderdate,
+       CASE WHEN year(o_orderdate) >= 1998 THEN o_orderpriority END AS o_orderpriority
+FROM orders""",
+        "partitioned_append": """
+SELECT *, CAST(ts AS DATE) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-15'""",
         "reference_copy": """
 SELECT *, (SELECT count(*) FROM part) AS rows_written FROM part""",
         "request_urls": _with(LOCATED) + f"""

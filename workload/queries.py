@@ -14,6 +14,7 @@ from granary.operators import requests as req
 from granary.operators.ids import dense_ids, highest_id
 from granary.operators.lookups import full_outer, lookup, unmatched_right
 from granary.plans.reference_data import copy_reference_table
+from granary.sinks.tables import append_files, read_evolving
 from granary.sources.daily_csv import daily_files, read_daily_files
 from granary.sources.json_docs import land_weather, read_json_lines
 from granary.staging import empty_table, scratch_path, stage
@@ -308,6 +309,17 @@ def weather_length_mismatch(spark: SparkSession, sf: str) -> DataFrame:
     return rows.select("marketName", "latitude", F.size("daily.rain_sum").cast("bigint").alias("rain_days"))
 
 
+@query
+def struct_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """One field of all results of a reply, as a list; NULLs stay in place."""
+    states = F.transform("results.admin1", lambda state: F.coalesce(state, F.lit("?")))
+    return base.geocoding(spark, sf).select(
+        "reply",
+        F.array_join(states, ",").alias("states"),
+        F.array_join("results.name", ",").alias("markets"),
+    )
+
+
 @query
 def explode_cross_limit(spark: SparkSession, sf: str) -> DataFrame:
     lists = base.geocoding(spark, sf).select(
@@ -339,8 +351,8 @@ def land_weather_lines(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def price_weather_report(spark: SparkSession, sf: str) -> DataFrame:
     silver = base.silver(spark, sf)
-    geo = nested.flatten_locations(base.market_locations(spark, sf))
-    days = nested.flatten_weather(base.weather(spark, sf, first_year=1996))
+    geo = stage(nested.flatten_locations(base.market_locations(spark, sf)), "geo")
+    days = stage(nested.flatten_weather(base.weather(spark, sf, first_year=1996)), "weather")
     return report.price_weather_report(silver, geo, days).drop(
         "lakehouse_inserted_date", "lakehouse_updated_date"
     )
@@ -391,6 +403,27 @@ def stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.parquet(sink).drop("source_file_load_date")
 
 
+@query
+def evolving_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Two appends to one folder; the second one brings a new column."""
+    path = scratch_path(spark, "evolving")
+    orders = base.table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
+    late = F.year("o_orderdate") >= 1998
+    append_files(orders.where(~late).drop("o_orderpriority"), path)
+    append_files(orders.where(late), path)
+    return read_evolving(spark, path)
+
+
+@query
+def partitioned_append(spark: SparkSession, sf: str) -> DataFrame:
+    """Events landed by day, read back from one day on by partition."""
+    path = scratch_path(spark, "days")
+    events = base.table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    append_files(events, path, ("day",))
+    landed = read_evolving(spark, path, events.schema)
+    return landed.where(F.col("day") >= F.lit("2024-01-15").cast("date"))
+
+
 @query
 def json_roundtrip(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "geo")
