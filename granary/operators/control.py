@@ -74,13 +74,35 @@ def incremental_rows(
     return src.where(F.col(column) > stamp)
 
 
+def open_batches(log: DataFrame, landing: str, process: str, after: str | None = None) -> list[int]:
+    """Load batches that `process` has yet to take, from the run log alone.
+
+    These are the completed runs of `landing` which the step before, `after`, has
+    covered and `process` has not. A batch without a completed run is left out, so
+    what a crashed landing may have written is never read. The list has one number
+    per landing run since the last run of `process`.
+    """
+    micros = F.unix_micros("watermark").alias("us")
+    done = watermark(log, process).select(micros).first()["us"]
+    ready = watermark(log, after or landing).select(micros).first()["us"]
+    stamps = completed_runs(log, landing).select(F.unix_micros("watermark_ts").alias("us"))
+    rows = stamps.where((F.col("us") > done) & (F.col("us") <= ready)).distinct().collect()
+    return sorted(row["us"] for row in rows)
+
+
+def covered(spark: SparkSession, process: str, batch: int, as_of: dt.datetime | str | None = None) -> DataFrame:
+    """Completed row of a run that took all batches up to `batch`."""
+    stamp = F.timestamp_micros(F.lit(batch))
+    return run_entry(spark, process, stamp.cast("date"), S.STATUS_COMPLETED, as_of, stamp)
+
+
 def run_entry(
     spark: SparkSession,
     process: str,
-    date: dt.date | None,
+    date: dt.date | Column | None,
     status: str,
     as_of: dt.datetime | str | None = None,
-    watermark_ts: dt.datetime | None = None,
+    watermark_ts: dt.datetime | Column | None = None,
 ) -> DataFrame:
     """One run-log row."""
     return spark.range(1).select(

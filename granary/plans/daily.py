@@ -1,7 +1,10 @@
 """The daily price load: landing, cleaning, dimensions, facts.
 
-Every step reads only the landing runs that are new to it and replaces whatever it
-wrote for them before, so a step can be repeated after a crash at any point.
+A landing run is a batch, known by its load stamp. It counts from the moment the
+run log calls it completed. Every later step takes the batches that the step
+before has completed and it has not, and replaces whatever it wrote for them
+before. So a step can be repeated after a crash at any point, and the log, not
+the data, is read to find out what is new.
 """
 
 from __future__ import annotations
@@ -12,66 +15,82 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary import schemas as S
+from granary.functions import load_time
 from granary.operators import cleaning, control, dimensions, facts, history, merging
 from granary.plans import lakehouse as names
 from granary.plans.lakehouse import LOAD_BATCH, Lakehouse
-from granary.sinks.tables import append_evolving
-from granary.sources.daily_csv import daily_files, read_daily_files, stamp_landing
+from granary.sinks.tables import add_columns
+from granary.sources.daily_csv import daily_files, read_daily_files
 
 AsOf = dt.datetime | str | None
 
 
 def new_files(lake: Lakehouse, folder: str) -> DataFrame:
-    """Files dated after the last completed one that are not landed yet.
+    """Files dated after the last completed one.
 
     All of them, not just the next day: a day without a file blocks nothing.
     """
     log = lake.table(names.RUN_LOG)
     first = control.next_file_date(log, S.PROCESS_INGEST).first()["next_file_date"]
-    files = daily_files(lake.spark, folder).where(F.col("file_date") >= F.lit(first))
-    landed = lake.table(names.BRONZE).where(F.col("file_date") >= F.lit(first))
-    return files.join(landed.select("file_date").distinct(), "file_date", "left_anti")
+    return daily_files(lake.spark, folder).where(F.col("file_date") >= F.lit(first))
+
+
+def _new_batch(lake: Lakehouse, as_of: AsOf) -> int:
+    """Key of the next batch: the load time, which must move on from batch to batch."""
+    log = lake.table(names.RUN_LOG)
+    now = F.unix_micros(load_time(as_of)).alias("now")
+    last = F.unix_micros("watermark").alias("last")
+    row = control.watermark(log, S.PROCESS_INGEST).select(now, last).first()
+    if row["now"] <= row["last"]:
+        raise ValueError("the load time is not after that of the last completed landing")
+    return row["now"]
 
 
 def ingest_prices(
     lake: Lakehouse, folder: str, as_of: AsOf = None, on_drift: str = "align"
 ) -> int:
-    """Land all new files of `folder`; returns how many there were."""
+    """Land all new files of `folder` as one batch; returns how many there were."""
     files = new_files(lake, folder).select("path", "file_date").collect()
     if not files:
         return 0
     last = max(row["file_date"] for row in files)
-    with control.logged_run(lake.spark, S.PROCESS_INGEST, lake.log, last, as_of):
+    with control.logged_run(lake.spark, S.PROCESS_INGEST, lake.log, last, as_of) as done:
+        batch = _new_batch(lake, as_of)
+        stamp = F.timestamp_micros(F.lit(batch))
         rows = read_daily_files(lake.spark, sorted(row["path"] for row in files), on_drift)
-        landed = stamp_landing(rows, as_of)
-        landed = landed.withColumn(LOAD_BATCH, control.load_batch())
-        append_evolving(landed, names.BRONZE, (LOAD_BATCH, "file_date"))
+        landed = rows.withColumns({"source_file_load_date": stamp, LOAD_BATCH: F.lit(batch)})
+        add_columns(names.BRONZE, landed)
+        lake.replace_batches(landed, names.BRONZE)
+        done(control.run_entry(lake.spark, S.PROCESS_INGEST, last, S.STATUS_COMPLETED, as_of, stamp))
     return len(files)
 
 
-def _new_rows(lake: Lakehouse, src: DataFrame, process: str) -> DataFrame:
-    """Rows of the landing runs that `process` has not completed."""
-    return control.incremental_rows(
-        src, lake.table(names.RUN_LOG), process, batch_column=LOAD_BATCH
-    )
+def _open(lake: Lakehouse, process: str, after: str) -> list[int]:
+    return control.open_batches(lake.table(names.RUN_LOG), S.PROCESS_INGEST, process, after)
 
 
 def load_silver(lake: Lakehouse, as_of: AsOf = None) -> None:
-    """Type the newly landed rows."""
+    """Type the landed rows of the open batches."""
     with control.logged_run(lake.spark, S.PROCESS_SILVER, lake.log, as_of=as_of) as done:
-        landed = _new_rows(lake, lake.table(names.BRONZE), S.PROCESS_SILVER)
-        typed = cleaning.clean_daily_pricing(landed, as_of)
+        batches = _open(lake, S.PROCESS_SILVER, S.PROCESS_INGEST)
+        if not batches:
+            return done(None)
+        typed = cleaning.clean_daily_pricing(lake.batches(names.BRONZE, batches), as_of)
         lake.replace_batches(typed.withColumn(LOAD_BATCH, control.load_batch()), names.SILVER)
-        done(control.batch_entry(landed, S.PROCESS_SILVER, as_of))
+        done(control.covered(lake.spark, S.PROCESS_SILVER, batches[-1], as_of))
 
 
 def load_dimensions(lake: Lakehouse, as_of: AsOf = None) -> None:
     """Bring state, market, variety, product and product history up to date.
 
-    A product keeps one row; its group is the one of the newest load.
+    Members of earlier batches are in the dimensions already, so only open batches
+    are read. A product keeps one row; its group is the one of the newest load.
     """
     with control.logged_run(lake.spark, S.PROCESS_DIMENSIONS, lake.log, as_of=as_of) as done:
-        rows = _new_rows(lake, lake.table(names.SILVER), S.PROCESS_DIMENSIONS)
+        batches = _open(lake, S.PROCESS_DIMENSIONS, S.PROCESS_SILVER)
+        if not batches:
+            return done(None)
+        rows = lake.batches(names.SILVER, batches)
         for name, column in (
             (names.DIM_STATE, "state_name"),
             (names.DIM_MARKET, "market_name"),
@@ -86,23 +105,26 @@ def load_dimensions(lake: Lakehouse, as_of: AsOf = None) -> None:
         source = history.product_source(lake.table(names.DIM_PRODUCT))
         versions = history.scd2_apply(source, lake.table(names.DIM_PRODUCT_SCD2), as_of=as_of)
         lake.publish(versions, names.DIM_PRODUCT_SCD2)
-        done(control.batch_entry(rows, S.PROCESS_DIMENSIONS, as_of))
+        done(control.covered(lake.spark, S.PROCESS_DIMENSIONS, batches[-1], as_of))
 
 
 def load_date_dim(lake: Lakehouse, start: dt.date | str, end: dt.date | str) -> None:
+    """Rebuild the date dimension for the days from `start` to `end`."""
     lake.publish(dimensions.date_dim(lake.spark, start, end), names.DIM_DATE)
 
 
 def load_facts(lake: Lakehouse, as_of: AsOf = None) -> None:
-    """Facts of the price rows that came after the last completed run.
+    """Facts of the open batches.
 
     Earlier facts keep the keys they were given, also when a product has changed
     its group since.
     """
     with control.logged_run(lake.spark, S.PROCESS_FACT, lake.log, as_of=as_of) as done:
-        rows = _new_rows(lake, lake.table(names.SILVER), S.PROCESS_FACT)
+        batches = _open(lake, S.PROCESS_FACT, S.PROCESS_DIMENSIONS)
+        if not batches:
+            return done(None)
         fact = facts.build_fact(
-            rows,
+            lake.batches(names.SILVER, batches),
             lake.table(names.DIM_DATE),
             lake.table(names.DIM_STATE),
             lake.table(names.DIM_MARKET),
@@ -112,7 +134,7 @@ def load_facts(lake: Lakehouse, as_of: AsOf = None) -> None:
             keep=(LOAD_BATCH,),
         )
         lake.replace_batches(fact, names.FACT)
-        done(control.batch_entry(rows, S.PROCESS_FACT, as_of))
+        done(control.covered(lake.spark, S.PROCESS_FACT, batches[-1], as_of))
 
 
 def run_daily(
@@ -122,7 +144,7 @@ def run_daily(
     lake.create()
     count = ingest_prices(lake, folder, as_of)
     load_silver(lake, as_of)
-    load_dimensions(lake, as_of)
     load_date_dim(lake, start, end)
+    load_dimensions(lake, as_of)
     load_facts(lake, as_of)
     return count

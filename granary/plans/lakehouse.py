@@ -5,6 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import DataType, DateType, LongType, StructField, StructType
 
 from granary import schemas as S
@@ -91,6 +92,11 @@ class Lakehouse:
         """Replace a small table by a new version that may be computed from the old one."""
         tables.publish(df, name, self.root)
 
+    def batches(self, name: str, keys: list[int]) -> DataFrame:
+        """Rows of some load batches; only their partitions are listed."""
+        return self.table(name).where(F.col(LOAD_BATCH).isin(keys))
+
     def replace_batches(self, df: DataFrame, name: str) -> None:
-        """Replace the load batches that occur in `df`, and no others."""
-        tables.replace_partitions(df, name, (LOAD_BATCH,))
+        """Replace the partitions that occur in `df`, and no others."""
+        partitions = tuple(column for column, _ in PARTITIONED[name][1])
+        tables.replace_partitions(df, name, partitions)

@@ -93,8 +93,8 @@ def append_table(df: DataFrame, name: str) -> None:
     conform(df, df.sparkSession.table(name).schema).write.mode("append").insertInto(name)
 
 
-def append_evolving(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()) -> None:
-    """Append to a catalog table and add the columns it lacks; its older rows read NULL.
+def add_columns(name: str, df: DataFrame) -> None:
+    """Give a catalog table the columns of `df` that it lacks; its older rows read NULL.
 
     The catalog holds the full schema, so readers never merge file footers.
     """
@@ -104,7 +104,6 @@ def append_evolving(df: DataFrame, name: str, partition_by: tuple[str, ...] = ()
     if added:
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in added)
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
-    append_table(spread_by(df, partition_by), name)
 
 
 @contextmanager
