@@ -5,9 +5,11 @@ import pytest
 import __spark_entry__ as entry_points
 from conftest import final_plan
 from compare import connect, differences
+from workload import oracles
+from workload import queries as workload_queries
 
-QUERIES = entry_points.queries()
-SQL = entry_points.oracle_sql()
+QUERIES = workload_queries.queries()
+SQL = oracles.oracle_sql()
 
 
 @pytest.fixture(scope="module")
