@@ -183,13 +183,16 @@ def jaccard_components(
         "copies",
     )
 
-    in_tile = Window.partitionBy("key").orderBy("n", "doc_id")
+    # Tiles of the same documents are one: near copies share most of their prefixes.
+    in_tile = Window.partitionBy("key")
     tiles = stage(
         prefixes(own, shingle_words, percent, common)
-        .withColumn("leader", F.first(F.struct("doc_id", "n")).over(in_tile.rowsBetween(Window.unboundedPreceding, 0)))
-        .withColumn("follows", F.lead("doc_id").over(in_tile))
-        .where("follows is not null or leader.doc_id <> doc_id")
-        .select("key", "doc_id", "n", F.col("leader.doc_id").alias("leader"), F.col("leader.n").alias("leader_n")),
+        .withColumn("tile", F.bit_xor(F.xxhash64("doc_id")).over(in_tile))
+        .withColumn("leader", F.min(F.struct("n", "doc_id")).over(in_tile))
+        .withColumn("last", F.max(F.struct("n", "doc_id")).over(in_tile))
+        .where("leader.doc_id <> last.doc_id")
+        .select(F.col("tile").alias("key"), "doc_id", "n", F.col("leader.doc_id").alias("leader"), F.col("leader.n").alias("leader_n"))
+        .distinct(),
         "tiles",
     )
     one = sig.where("doc_id is not null").groupBy("doc_id").agg(

@@ -135,7 +135,7 @@ def repeated_passages(
     known = stage(known.where("rows > 1 or rep = doc_id"), "known")
     positions = known.where("rep = doc_id").select("doc_id", F.explode(F.arrays_zip("keys", "places")).alias("p")).select(
         F.col("p.keys").alias("key"), "doc_id", F.col("p.places").alias("at")
-    ).distinct()
+    )
     shared = positions.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("key")
     wanted = positions.join(shared, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "at")).alias("_wanted"))
 
