@@ -2,7 +2,7 @@
 
 Two sets of Jaccard similarity t or more share an element among the first (1 - t) of each, in any order common to all; so
 tiles gather the documents that share such a prefix element, and sizes within the band that t allows. Elements of many documents
-come last in that order, so tiles stay small. Within a tile, bitmaps of BITS bits bound the overlap from above
+come last in that order, so tiles stay small. Within a tile, bitmaps of BITS or more bits bound the overlap from above
 before two sets are intersected. First each document is held against the smallest of its tile; then only pairs that are not yet connected are.
 """
 
@@ -21,7 +21,8 @@ from granary.llm.text import mix, shingle_sets, signed, slices, words
 from granary.staging import stage
 
 SHINGLE_WORDS = 5
-BITS = 1024
+#: Fewest bits of a bitmap; a larger set has a power of two of at least 1.5 bits an element.
+BITS = 256
 #: An element of more than one in COMMON documents counts as frequent; there are at most COMMON times the mean set size of them.
 COMMON = 200
 
@@ -29,9 +30,10 @@ _U = np.uint64
 
 
 def bitmap(found: np.ndarray) -> np.ndarray:
-    """BITS bits as signed 64-bit words: bit h mod BITS is set for each element's hash h."""
-    bits = np.zeros(BITS, np.uint8)
-    bits[(mix(found ^ _U(0x5851F42D4C957F2D)) % _U(BITS)).astype(np.int64)] = 1
+    """Bits as signed 64-bit words: for each element's hash h, bit h modulo the number of bits is set."""
+    width = max(BITS, 1 << (3 * len(found) // 2 - 1).bit_length()) if len(found) else BITS
+    bits = np.zeros(width, np.uint8)
+    bits[(mix(found ^ _U(0x5851F42D4C957F2D)) & _U(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits).view("<i8")
 
 
@@ -113,7 +115,13 @@ def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> Da
 
 def _bound(percent: int, a: str, b: str) -> str:
     """Condition that the bitmaps of two rows allow the similarity."""
-    only = lambda x, y: f"aggregate(zip_with({x}.bits, {y}.bits, (p, q) -> bit_count(p & ~q)), 0, (s, v) -> s + v)"
+    # Sizes that may be similar have bitmaps of one width, or one of them has twice the other's and is folded.
+    half = lambda x: f"size({x}.bits) div 2"
+    folded = lambda x, y: (
+        f"if(size({x}.bits) > size({y}.bits), zip_with(slice({x}.bits, 1, {half(x)}), "
+        f"slice({x}.bits, {half(x)} + 1, {half(x)}), (p, q) -> p | q), {x}.bits)"
+    )
+    only = lambda x, y: f"aggregate(zip_with({folded(x, y)}, {folded(y, x)}, (p, q) -> bit_count(p & ~q)), 0, (s, v) -> s + v)"
     # An element that sets a bit the other lacks is not shared.
     overlap = f"least({a}.n_shingles - {only(a, b)}, {b}.n_shingles - {only(b, a)})"
     return f"100 * {overlap} >= {percent} * ({a}.n_shingles + {b}.n_shingles - {overlap})"
