@@ -23,8 +23,11 @@ from granary.staging import stage
 SHINGLE_WORDS = 5
 #: Fewest bits of a bitmap; a larger set has a power of two of at least 1.5 bits an element.
 BITS = 256
-#: An element of more than one in COMMON documents counts as frequent; there are at most COMMON times the mean set size of them.
-COMMON = 200
+#: An element of more than one in COMMON documents counts as frequent; there are at most COMMON times the mean set size of
+#: them. What counts only orders the prefixes, so a frequent element that goes unnoticed costs time, never a link.
+COMMON = 5000
+#: A batch of rows reports elements that more than this many of its different sets hold.
+NOTICED = 2
 
 _U = np.uint64
 
@@ -65,8 +68,9 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 held.append(found)
             common: list = [None] * n
             if n:
-                element, documents = np.unique(np.concatenate(held), return_counts=True)
-                many = documents > max(4, n // COMMON)
+                different = dict(zip(prints, held)).values()
+                element, documents = np.unique(np.concatenate(list(different)), return_counts=True)
+                many = documents > max(NOTICED, n // COMMON)
                 common[0] = [{"h": h, "c": c} for h, c in zip(signed(element[many]).tolist(), documents[many].tolist())]
             kind = pa.list_(pa.struct([("h", pa.int64()), ("c", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
@@ -179,7 +183,7 @@ def jaccard_components(
     n_docs = sig.count()
     frequent = (
         sig.where("common is not null").select(F.explode("common").alias("e"))
-        .groupBy("e.h").agg(F.sum("e.c").alias("c")).where(F.col("c") > max(4, n_docs // COMMON)).select("h").collect()
+        .groupBy("e.h").agg(F.sum("e.c").alias("c")).where(F.col("c") > max(NOTICED, n_docs // COMMON)).select("h").collect()
     )
     common = np.sort(np.array([r["h"] % (1 << 64) for r in frequent], _U))
 
