@@ -59,14 +59,14 @@ def main() -> None:
     replies = stage(base.geocoding(spark, sf))
     silver = base.silver(spark, sf)
     geo = stage(nested.flatten_locations(base.market_locations(spark, sf)))
-    days = stage(nested.flatten_weather(base.weather(spark, sf, 1996)))
+    days = stage(nested.flatten_weather(base.weather(spark, sf)))
     orders = base.table(spark, sf, "orders")
     customers = base.table(spark, sf, "customer")
     asia = stage(silver.where("state_name = 'ASIA'").select("origin").distinct())
     origins = silver.select("origin").distinct()
     window = F.row_number().over(Window.orderBy("l_orderkey"))
     pairs = {
-        "dense ids: ranges": lambda: dense_ids(keys, ["l_orderkey"], "id", single_task_rows=0),
+        "dense ids: ranges": lambda: dense_ids(keys, ["l_orderkey"], "id"),
         "dense ids: one window": lambda: keys.withColumn("id", window),
         "flatten: inline": lambda: nested.flatten_locations(replies),
         "flatten: positional joins": lambda: positional_join(replies),

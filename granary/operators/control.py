@@ -114,6 +114,23 @@ def run_entry(
     )
 
 
+def run_entries(
+    dates: DataFrame,
+    process: str,
+    status: str,
+    as_of: dt.datetime | str | None = None,
+    watermark_ts: Column | None = None,
+) -> DataFrame:
+    """A run-log row for each date of a one-column frame."""
+    return dates.select(
+        F.lit(process).alias("process_name"),
+        F.col(dates.columns[0]).alias("processed_file_table_date"),
+        F.lit(status).alias("process_status"),
+        load_time(as_of).alias("run_timestamp"),
+        F.lit(watermark_ts).cast("timestamp").alias("watermark_ts"),
+    )
+
+
 def batch_entry(
     batch: DataFrame,
     process: str,

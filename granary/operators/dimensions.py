@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary.functions import calendar_text, stamped
-from granary.operators.ids import SINGLE_TASK_ROWS, dense_ids, highest_id
+from granary.operators.ids import dense_ids, highest_id
 
 
 def new_members(src: DataFrame, dim: DataFrame, src_col: str, name_col: str) -> DataFrame:
@@ -24,11 +24,10 @@ def new_dim_rows(
     id_col: str,
     name_col: str,
     as_of: dt.datetime | str | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
 ) -> DataFrame:
     """Rows to append to `dim`: new members, ids running on from its highest id."""
     members = new_members(src, dim, src_col, name_col)
-    numbered = dense_ids(members, [name_col], id_col, highest_id(dim, id_col), single_task_rows)
+    numbered = dense_ids(members, [name_col], id_col, highest_id(dim, id_col))
     return stamped(numbered, as_of)
 
 

@@ -5,10 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.staging import stage, stage_counted
-
-# Rows one task may number alone; above that the keys are range partitioned.
-SINGLE_TASK_ROWS = 100_000
+from granary.staging import stage
 
 # Documented layout of monotonically_increasing_id: partition number in the
 # upper bits, row number within the partition in the lower 33 bits.
@@ -20,29 +17,16 @@ def highest_id(df: DataFrame, id_col: str) -> int:
     return df.agg(F.coalesce(F.max(id_col), F.lit(0)).cast("bigint").alias("top")).first()["top"]
 
 
-def dense_ids(
-    df: DataFrame,
-    order_by: list[str],
-    id_col: str,
-    start: int = 0,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
+def dense_ids(df: DataFrame, order_by: list[str], id_col: str, start: int = 0) -> DataFrame:
     """`df` plus `id_col` = start + 1, start + 2, … in the order of `order_by`.
 
-    `order_by` should identify a row. The frame is staged, and counted on the way. Up to
-    `single_task_rows` rows a plain window is cheapest. Beyond that each range
-    partition numbers its own rows and adds the number of rows in the partitions
-    before it; the numbered ranges are staged because both the totals and the ids
-    must come from one and the same split.
+    `order_by` should identify a row. Keys are range partitioned and staged; each range
+    numbers its own rows and adds the number of rows in the ranges before it. Totals
+    and ids both come from the staged ranges, so they agree on one and the same split.
     """
-    staged, rows = stage_counted(df, "keys")
-    if rows <= single_task_rows:
-        position = F.row_number().over(Window.orderBy(*order_by)).cast("bigint")
-        return staged.select((position + F.lit(start)).alias(id_col), *staged.columns)
-
     slot = F.monotonically_increasing_id()
     ranged = stage(
-        staged.repartitionByRange(*order_by)
+        df.repartitionByRange(*order_by)
         .sortWithinPartitions(*order_by)
         .withColumn("_slot", slot)
         .withColumn("_part", F.shiftright("_slot", _ROW_BITS)),

@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from granary.functions import load_time, stamped
-from granary.operators.checks import require_unique
-from granary.operators.ids import SINGLE_TASK_ROWS, dense_ids, highest_id
+from granary.operators.ids import dense_ids, highest_id
+from granary.staging import stage
 
 
 def product_pairs(silver: DataFrame) -> DataFrame:
@@ -26,57 +26,49 @@ def one_group_per_product(pairs: DataFrame) -> DataFrame:
     return pairs.groupBy("product_name").agg(F.min("productgroup_name").alias("productgroup_name"))
 
 
-def new_product_rows(
-    pairs: DataFrame,
-    dim: DataFrame,
-    as_of: dt.datetime | str | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """Dimension rows for products whose name `dim` does not hold, one per source pair."""
-    unseen = pairs.join(dim.select("product_name"), "product_name", "left_anti")
-    numbered = dense_ids(
-        unseen,
-        ["product_name", "productgroup_name"],
-        "product_id",
-        highest_id(dim, "product_id"),
-        single_task_rows,
-    )
-    return stamped(
-        numbered.select("product_id", "productgroup_name", "product_name"), as_of
+def _same_pair(a: str, b: str):
+    return (F.col(f"{a}.product_name") == F.col(f"{b}.product_name")) & F.col(
+        f"{a}.productgroup_name"
+    ).eqNullSafe(F.col(f"{b}.productgroup_name"))
+
+
+def moved_products(pairs: DataFrame, dim: DataFrame) -> DataFrame:
+    """(product_id, group): products that have one row in `dim` and one source pair, of another group."""
+    once = lambda df: df.groupBy("product_name").agg(
+        F.count(F.lit(1)).alias("_n"), *[F.first(c).alias(c) for c in df.columns if c != "product_name"]
+    ).where("_n = 1").drop("_n")
+    held = once(dim.select("product_name", "product_id", F.col("productgroup_name").alias("_old")))
+    return (
+        once(pairs).join(held, "product_name")
+        .where(~F.col("productgroup_name").eqNullSafe(F.col("_old")))
+        .select("product_id", "product_name", F.col("productgroup_name").alias("_group"))
     )
 
 
-def updated_product_rows(
+def merge_product_dim(
     pairs: DataFrame, dim: DataFrame, as_of: dt.datetime | str | None = None
 ) -> DataFrame:
-    """All rows of `dim`, with the group of the source where it differs (NULL included)."""
-    source = pairs.select("product_name", F.col("productgroup_name").alias("_group"), F.lit(True).alias("_hit"))
-    changed = F.col("_hit").isNotNull() & ~F.col("productgroup_name").eqNullSafe(F.col("_group"))
-    joined = dim.join(source, "product_name", "left")
-    return joined.select(
+    """`dim` after the upsert of `pairs`, which are keyed like the fact lookup by name and group.
+
+    A pair that `dim` holds changes nothing. A product with one row in `dim` and one source pair
+    moves to the group of that pair. Every other pair is inserted, so each pair of the source finds its product.
+    """
+    pairs = stage(pairs.select("product_name", "productgroup_name").distinct(), "pairs")
+    moved = stage(moved_products(pairs, dim), "moved")
+    group = moved.select(F.col("product_id").alias("_id"), "_group")
+    changed = F.col("_id").isNotNull()
+    updated = dim.join(group, F.col("product_id") == F.col("_id"), "left").select(
         "product_id",
         F.when(changed, F.col("_group")).otherwise(F.col("productgroup_name")).alias("productgroup_name"),
         "product_name",
         "created_at",
         F.when(changed, load_time(as_of)).otherwise(F.col("updated_at")).alias("updated_at"),
     )
-
-
-def merge_product_dim(
-    pairs: DataFrame,
-    dim: DataFrame,
-    as_of: dt.datetime | str | None = None,
-    single_task_rows: int = SINGLE_TASK_ROWS,
-) -> DataFrame:
-    """`dim` after the upsert of `pairs`, matched by product name.
-
-    A product that is new to `dim` gets one row per pair. A product that `dim`
-    already holds may have one source pair only; several would be an ambiguous
-    update and raise `DuplicateKeyError` (reduce them with
-    `one_group_per_product` first).
-    """
-    known = pairs.join(dim.select("product_name"), "product_name", "left_semi")
-    require_unique(known, ["product_name"], "several source rows update one product")
-    return updated_product_rows(known, dim, as_of).unionByName(
-        new_product_rows(pairs, dim, as_of, single_task_rows)
+    unseen = pairs.alias("p").join(dim.alias("d"), _same_pair("p", "d"), "left_anti").join(
+        moved.select("product_name"), "product_name", "left_anti"
+    )
+    numbered = dense_ids(
+        unseen, ["product_name", "productgroup_name"], "product_id", highest_id(dim, "product_id")
     )
+    fresh = stamped(numbered.select("product_id", "productgroup_name", "product_name"), as_of)
+    return updated.unionByName(fresh)

@@ -26,13 +26,15 @@ AsOf = dt.datetime | str | None
 
 
 def new_files(lake: Lakehouse, folder: str) -> DataFrame:
-    """Files dated after the last completed one.
+    """Files whose date no completed landing has taken, from the first file date on.
 
-    All of them, not just the next day: a day without a file blocks nothing.
+    A day without a file blocks nothing, and a file that arrives late is taken then.
     """
-    log = lake.table(names.RUN_LOG)
-    first = control.next_file_date(log, S.PROCESS_INGEST).first()["next_file_date"]
-    return daily_files(lake.spark, folder).where(F.col("file_date") >= F.lit(first))
+    landed = control.completed_runs(lake.table(names.RUN_LOG), S.PROCESS_INGEST).select(
+        F.col("processed_file_table_date").alias("file_date")
+    )
+    files = daily_files(lake.spark, folder).where(F.col("file_date") >= F.lit(S.FIRST_FILE_DATE).cast("date"))
+    return files.join(landed, "file_date", "left_anti")
 
 
 def _new_batch(lake: Lakehouse, as_of: AsOf) -> int:
@@ -49,7 +51,11 @@ def _new_batch(lake: Lakehouse, as_of: AsOf) -> int:
 def ingest_prices(
     lake: Lakehouse, folder: str, as_of: AsOf = None, on_drift: str = "align"
 ) -> int:
-    """Land all new files of `folder` as one batch; returns how many there were."""
+    """Land all new files of `folder` as one batch; returns how many there were.
+
+    The log gets a row for each file date. One row per new file comes to the driver: on a
+    first load those of the whole backlog, else about one a day.
+    """
     files = new_files(lake, folder).select("path", "file_date").collect()
     if not files:
         return 0
@@ -61,7 +67,8 @@ def ingest_prices(
         landed = rows.withColumns({"source_file_load_date": stamp, LOAD_BATCH: F.lit(batch)})
         add_columns(names.BRONZE, landed)
         lake.replace_batches(landed, names.BRONZE)
-        done(control.run_entry(lake.spark, S.PROCESS_INGEST, last, S.STATUS_COMPLETED, as_of, stamp))
+        dates = lake.spark.createDataFrame(sorted({(row["file_date"],) for row in files}), "day date")
+        done(control.run_entries(dates, S.PROCESS_INGEST, S.STATUS_COMPLETED, as_of, stamp))
     return len(files)
 
 
@@ -70,13 +77,16 @@ def _open(lake: Lakehouse, process: str, after: str) -> list[int]:
 
 
 def load_silver(lake: Lakehouse, as_of: AsOf = None) -> None:
-    """Type the landed rows of the open batches."""
+    """Type the landed rows of the open batches; rows with a value that does not parse also go to the rejects."""
     with control.logged_run(lake.spark, S.PROCESS_SILVER, lake.log, as_of=as_of) as done:
         batches = _open(lake, S.PROCESS_SILVER, S.PROCESS_INGEST)
         if not batches:
             return done(None)
-        typed = cleaning.clean_daily_pricing(lake.batches(names.BRONZE, batches), as_of)
+        landed = lake.batches(names.BRONZE, batches)
+        typed = cleaning.clean_daily_pricing(landed, as_of)
         lake.replace_batches(typed.withColumn(LOAD_BATCH, control.load_batch()), names.SILVER)
+        kept = [*S.LANDED_PRICING.fieldNames(), LOAD_BATCH]
+        lake.replace_batches(cleaning.rejected_values(landed.select(*kept)), names.REJECTED)
         done(control.covered(lake.spark, S.PROCESS_SILVER, batches[-1], as_of))
 
 
@@ -84,7 +94,7 @@ def load_dimensions(lake: Lakehouse, as_of: AsOf = None) -> None:
     """Bring state, market, variety, product and product history up to date.
 
     Members of earlier batches are in the dimensions already, so only open batches
-    are read. A product keeps one row; its group is the one of the newest load.
+    are read. Products are kept by name and group, as the facts look them up.
     """
     with control.logged_run(lake.spark, S.PROCESS_DIMENSIONS, lake.log, as_of=as_of) as done:
         batches = _open(lake, S.PROCESS_DIMENSIONS, S.PROCESS_SILVER)
@@ -99,7 +109,7 @@ def load_dimensions(lake: Lakehouse, as_of: AsOf = None) -> None:
             id_col, name_col = names.SCHEMAS[name].fieldNames()[:2]
             dim = dimensions.load_dim(rows, lake.table(name), column, id_col, name_col, as_of)
             lake.publish(dim, name)
-        pairs = merging.one_group_per_product(merging.product_pairs(rows))
+        pairs = merging.product_pairs(rows)
         products = merging.merge_product_dim(pairs, lake.table(names.DIM_PRODUCT), as_of)
         lake.publish(products, names.DIM_PRODUCT)
         source = history.product_source(lake.table(names.DIM_PRODUCT))

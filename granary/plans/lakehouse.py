@@ -6,7 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DataType, DateType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, DataType, DateType, LongType, StringType, StructField, StructType
 
 from granary import schemas as S
 from granary.sinks import tables
@@ -18,6 +18,7 @@ LOAD_BATCH = "load_batch"
 BRONZE = "bronze_market.daily_pricing_bronze"
 RUN_LOG = "bronze_processrunlogs.process_runs"
 SILVER = "silver_market.daily_pricing_silver"
+REJECTED = "silver_market.rejected_prices"
 LOCATIONS = "silver_market.geo_location_silver"
 WEATHER = "silver_market.weather_data_trans"
 DIM_STATE = "gold_market.dim_state"
@@ -46,6 +47,10 @@ SCHEMAS: dict[str, StructType] = {
 PARTITIONED: dict[str, tuple[StructType, tuple[tuple[str, DataType], ...]]] = {
     BRONZE: (S.LANDED_PRICING, ((LOAD_BATCH, LongType()), ("file_date", DateType()))),
     SILVER: (S.SILVER_PRICING, ((LOAD_BATCH, LongType()),)),
+    REJECTED: (
+        StructType([*S.LANDED_PRICING.fields, StructField("rejected_columns", ArrayType(StringType()))]),
+        ((LOAD_BATCH, LongType()),),
+    ),
     FACT: (S.FACT_PRICING, ((LOAD_BATCH, LongType()),)),
 }
 
@@ -98,5 +103,4 @@ class Lakehouse:
 
     def replace_batches(self, df: DataFrame, name: str) -> None:
         """Replace the partitions that occur in `df`, and no others."""
-        partitions = tuple(column for column, _ in PARTITIONED[name][1])
-        tables.replace_partitions(df, name, partitions)
+        tables.replace_partitions(df, name)

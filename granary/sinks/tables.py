@@ -119,11 +119,15 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def replace_partitions(df: DataFrame, name: str, partition_by: tuple[str, ...]) -> None:
-    """Replace the table partitions that occur in `df`; a repeated load changes nothing."""
+def replace_partitions(df: DataFrame, name: str) -> None:
+    """Replace the table partitions that occur in `df`; a repeated load changes nothing.
+
+    Rows are written where they are: a run has one batch or few, and an exchange on them would gather
+    what the scan has spread.
+    """
     rows = conform(df, df.sparkSession.table(name).schema)
     with _dynamic_overwrite(df.sparkSession):
-        spread_by(rows, partition_by).write.mode("overwrite").insertInto(name)
+        rows.write.mode("overwrite").insertInto(name)
 
 
 def replace_table(df: DataFrame, name: str) -> None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 from urllib.parse import unquote
 
@@ -15,6 +16,8 @@ from granary import schemas as S
 from granary.functions import file_date, load_time
 from granary.staging import empty_table
 
+HEADER_JOBS = 8
+
 
 def daily_files(spark: SparkSession, folder: str) -> DataFrame:
     """Path and date of every price file below `folder`; contents are not read."""
@@ -28,15 +31,19 @@ def daily_files(spark: SparkSession, folder: str) -> DataFrame:
     return dated.where(F.col("file_date").isNotNull())
 
 
-def file_headers(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """The header line of each file: its first line, from the split that starts it."""
-    lines = spark.read.text(paths).select(
-        "value",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("_start"),
-    )
-    starts = lines.where("_start = 0").withColumn("_line", F.monotonically_increasing_id())
-    return starts.groupBy("path").agg(F.min_by("value", "_line").alias("header"))
+def file_headers(spark: SparkSession, paths: list[str]) -> dict[str, str]:
+    """The first line of each file, "" of an empty one.
+
+    A small job per file reads the beginning of its first split and no more; several
+    run side by side. There is about one new file a day.
+    """
+
+    def header(path: str) -> str:
+        line = spark.read.text(path).first()
+        return line["value"] if line else ""
+
+    with ThreadPoolExecutor(HEADER_JOBS) as jobs:
+        return dict(zip(paths, jobs.map(header, paths)))
 
 
 def _text_columns(names: list[str]) -> StructType:
@@ -69,8 +76,9 @@ def read_daily_files(spark: SparkSession, paths: list[str], on_drift: str = "err
         raise ValueError(f"on_drift must be 'error' or 'align', not {on_drift!r}")
 
     by_header: dict[str, list[str]] = {}
-    for row in file_headers(spark, paths).select("path", "header").collect():
-        by_header.setdefault(row["header"], []).append(unquote(row["path"]))
+    for path, header in file_headers(spark, [unquote(path) for path in paths]).items():
+        if header:
+            by_header.setdefault(header, []).append(path)
     groups = []
     for header, members in sorted(by_header.items()):
         names = next(csv.reader([header.removeprefix("﻿")]))

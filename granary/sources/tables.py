@@ -9,16 +9,3 @@ def read_table(spark: SparkSession, name: str, columns: tuple[str, ...] = ()) ->
     """A catalog table, or some of its columns."""
     df = spark.table(name)
     return df.select(*columns) if columns else df
-
-
-def widen(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan over all cores if its files cannot be split that far.
-
-    A file of one row group, or a compressed text file, is read by one task, and
-    without a shuffle that task would also do all the work that follows. The rows
-    are hashed by `keys`, best those of the next join, which then needs no shuffle
-    of its own. A scan with enough partitions is returned as it is, so a large
-    table is never shuffled by this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores, *keys) if df.rdd.getNumPartitions() < cores else df

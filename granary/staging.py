@@ -8,7 +8,6 @@ broadcast threshold acts on measured bytes and no join needs a hint.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,25 +15,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-_local_roots: dict[str, str] = {}
-
-
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder named by `spark.checkpoint.dir`.
-
-    Only a local session, which has no second machine, may fall back to a
-    temporary folder of its own.
-    """
+    """The shared folder named by `spark.checkpoint.dir`, or else one below the warehouse, which is shared too."""
     context = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
     if named:
         return named.rstrip("/")
-    if not context.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-    app = context.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="granary-")
-    return _local_roots[app]
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_staged"
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:

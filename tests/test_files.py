@@ -10,7 +10,7 @@ from granary.sources.daily_csv import daily_files, read_daily_files
 from granary.sources.fixtures import load_fixture
 from granary.sources.jdbc import Slices, jdbc_options
 from granary.sources.json_docs import read_json_lines
-from granary.sources.tables import read_table, widen
+from granary.sources.tables import read_table
 from granary.staging import scratch_path, scratch_root, stage
 from granary.streaming.landing import land_available
 
@@ -190,8 +190,3 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
     assert staged.count() == 7
     assert all(f.startswith(f"file:{root}") or root in f for f in staged.inputFiles())
 
-
-def test_widen_touches_only_narrow_scans(spark):
-    narrow, wide = spark.range(0, 100, 1, 1), spark.range(0, 100, 1, 64)
-    assert widen(narrow, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert widen(wide, "id") is wide

@@ -15,32 +15,29 @@ from granary.staging import empty_table
 @given(names=st.sets(st.text(alphabet="abz éÄ0", max_size=5), min_size=1, max_size=60))
 def test_ranges_number_like_one_window(spark, names):
     df = spark.createDataFrame([(n,) for n in names], "name string")
-    for limit in (0, 1000):
-        got = dense_ids(df, ["name"], "id", start=5, single_task_rows=limit).collect()
-        expected = sorted(names, key=lambda n: n.encode())
-        assert [r["name"] for r in sorted(got, key=lambda r: r["id"])] == expected
-        assert sorted(r["id"] for r in got) == list(range(6, 6 + len(names)))
+    got = dense_ids(df, ["name"], "id", start=5).collect()
+    expected = sorted(names, key=lambda n: n.encode())
+    assert [r["name"] for r in sorted(got, key=lambda r: r["id"])] == expected
+    assert sorted(r["id"] for r in got) == list(range(6, 6 + len(names)))
 
 
 def test_ids_over_many_ranges(spark):
     df = spark.range(0, 20_000, 1, 16).selectExpr("(id * 7919) % 20000 AS k", "id AS v")
-    got = dense_ids(df, ["k"], "id", single_task_rows=0)
+    got = dense_ids(df, ["k"], "id")
     assert got.where("id != k + 1").count() == 0
     assert got.count() == 20_000
     assert got.columns == ["id", "k", "v"]
 
 
 def test_ids_of_an_empty_frame(spark):
-    for limit in (0, 10):
-        got = dense_ids(spark.createDataFrame([], "k int"), ["k"], "id", single_task_rows=limit)
-        assert got.count() == 0
+    got = dense_ids(spark.createDataFrame([], "k int"), ["k"], "id")
+    assert got.count() == 0
 
 
 def test_ids_by_two_keys_with_null(spark):
     df = spark.createDataFrame([("b", "x"), ("a", "y"), ("a", None)], "p string, g string")
-    for limit in (0, 10):
-        got = dense_ids(df, ["p", "g"], "id", single_task_rows=limit).orderBy("id").collect()
-        assert [tuple(r) for r in got] == [(1, "a", None), (2, "a", "y"), (3, "b", "x")]
+    got = dense_ids(df, ["p", "g"], "id").orderBy("id").collect()
+    assert [tuple(r) for r in got] == [(1, "a", None), (2, "a", "y"), (3, "b", "x")]
 
 
 def test_highest_id(spark):

@@ -70,6 +70,44 @@ def test_daily_load_from_files_to_facts(lake, tmp_path):
     assert log.count() == 0
 
 
+def test_late_files_and_several_groups_lose_no_fact(lake, tmp_path):
+    folder = tmp_path / "in"
+    write_day(folder, D1, *[price(D1, n, group=g) for n, g in enumerate("abc")])
+    write_day(folder, D4, price(D4, 10, group="a"))
+    assert run(lake, folder, "2023-06-01 01:00:00") == 2
+    write_day(folder, D2, price(D2, 20, group="z"))  # later than D4's file
+    assert daily.ingest_prices(lake, str(folder), "2023-06-02 01:00:00") == 1
+    D5 = dt.date(2023, 1, 5)
+    write_day(folder, D5, price(D5, 30, group="c"), price(D5, 31, product="n").replace(",1.5,", ",x t,"))
+    assert daily.ingest_prices(lake, str(folder), "2023-06-02 02:00:00") == 1  # two open batches
+    assert run(lake, folder, "2023-06-02 03:00:00") == 0
+    found = {row_id: product for row_id, _, _, _, product, _ in facts(lake)}
+    assert set(found) == {0, 1, 2, 10, 20, 30, 31}
+    assert None not in found.values()
+    assert found[0] == found[10] and found[2] == found[30] and len(set(found.values())) == 5
+    rejected = lake.table(names.REJECTED).collect()
+    assert [(r["ROW_ID"], r["rejected_columns"]) for r in rejected] == [("31", ["arrival_in_tonnes"])]
+
+
+def test_silver_is_written_without_a_shuffle(lake, tmp_path, spark):
+    write_day(tmp_path / "in", D1, price(D1, 1))
+    lake.create()
+    daily.ingest_prices(lake, str(tmp_path / "in"), "2023-06-01 01:00:00")
+    plans = []
+    original = names.tables.replace_partitions
+
+    def seen(df, name):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        original(df, name)
+
+    names.tables.replace_partitions = seen
+    try:
+        daily.load_silver(lake, "2023-06-01 02:00:00")
+    finally:
+        names.tables.replace_partitions = original
+    assert plans and not any("Exchange" in plan for plan in plans)
+
+
 def lose_the_log(monkeypatch, step, *args):
     """Run a step whose process dies after its work and before its log row."""
     with monkeypatch.context() as patch:

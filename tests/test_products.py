@@ -56,16 +56,18 @@ def test_merge_rerun_changes_nothing(spark):
     assert products(merging.merge_product_dim(src, first, T2)) == products(first)
 
 
-def test_ambiguous_update_is_an_error(spark):
+def test_a_product_of_several_pairs_gets_a_row_for_each(spark):
     src = pairs(spark, ("a", "x"), ("a", "y"))
-    with pytest.raises(DuplicateKeyError):
-        merging.merge_product_dim(src, dim(spark, (1, "x", "a")), T2)
+    got = merging.merge_product_dim(src, dim(spark, (1, "x", "a")), T2)
+    assert products(got) == [(1, "a", "x", 1), (2, "a", "y", 2)]
 
 
-def test_every_target_row_of_a_product_is_updated(spark):
-    target = dim(spark, (1, "x", "a"), (2, "y", "a"))
-    got = merging.merge_product_dim(pairs(spark, ("a", "z")), target, T2)
-    assert products(got) == [(1, "a", "z", 2), (2, "a", "z", 2)]
+def test_a_single_later_pair_leaves_the_other_rows_of_its_product(spark):
+    target = dim(spark, (1, "x", "a"), (2, "y", "a"), (3, None, "a"))
+    same = merging.merge_product_dim(pairs(spark, ("a", "x")), target, T2)
+    assert products(same) == products(target)
+    more = merging.merge_product_dim(pairs(spark, ("a", "z"), ("a", None)), target, T2)
+    assert products(more)[3:] == [(4, "a", "z", 2)] and products(more)[:3] == products(target)
 
 
 def source(spark, *rows):

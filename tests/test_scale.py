@@ -125,7 +125,7 @@ def test_facts_read_only_their_columns_and_join_map_side(spark, sf):
 
 def test_ranges_do_not_gather_the_keys_in_one_task(spark):
     keys = spark.range(0, 50_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("k"))
-    numbered = dense_ids(keys, ["k"], "id", single_task_rows=0)
+    numbered = dense_ids(keys, ["k"], "id")
     plan = final_plan(numbered)
     gathered = plan.split("Exchange SinglePartition")
     # Only the row counts of the ranges meet in one partition.

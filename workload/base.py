@@ -10,7 +10,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary import schemas as S
-from granary.sources.tables import widen
 from granary.staging import stage
 
 AS_OF = "2024-02-01 00:00:00"
@@ -36,7 +35,7 @@ def pricing(spark: SparkSession, sf: str) -> DataFrame:
     price = F.col("l_extendedprice").cast("decimal(18,2)")
     one = F.lit(1).cast("decimal(4,2)")
     return (
-        widen(read("lineitem"), "l_orderkey")
+        read("lineitem").repartition("l_orderkey")
         .join(ordered.hint("merge"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(read("supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
@@ -74,7 +73,7 @@ def raw_pricing(spark: SparkSession, sf: str) -> DataFrame:
     four = F.col("l_extendedprice").cast("decimal(18,2)") * F.col("l_discount").cast("decimal(4,2)")
     amount = F.col("l_quantity").cast(S.TONNES).cast("string")
     return (
-        widen(read("lineitem"), "l_orderkey")
+        read("lineitem").repartition("l_orderkey")
         .join(read("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
         .join(read("part"), F.col("l_partkey") == F.col("p_partkey"))
         .select(
@@ -166,7 +165,7 @@ def market_locations(spark: SparkSession, sf: str) -> DataFrame:
     return markets.groupBy("state").agg(F.collect_list(result).alias("results"))
 
 
-def weather(spark: SparkSession, sf: str, first_year: int = 1995) -> DataFrame:
+def weather(spark: SparkSession, sf: str) -> DataFrame:
     """Weather responses: per market and year the days with orders, at most 366.
 
     The maximum is the largest, the minimum the smallest order total of the day,
@@ -175,7 +174,6 @@ def weather(spark: SparkSession, sf: str, first_year: int = 1995) -> DataFrame:
     read = lambda name: table(spark, sf, name)
     daily = (
         read("orders")
-        .where(F.col("o_orderdate") >= F.lit(f"{first_year}-01-01").cast("timestamp_ntz"))
         .join(read("customer"), F.col("o_custkey") == F.col("c_custkey"))
         .join(read("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
         .groupBy("n_name", F.col("o_orderdate").cast("date").alias("day"))
