@@ -292,8 +292,19 @@ SELECT DISTINCT p.*, g.low AS "MARKET_LATITUDE", g.top AS "MARKET_LONGITUDE",
        CASE WHEN w.day IS NOT NULL THEN 'mm' END AS "RAINFALL_UNIT",
        CASE WHEN w.n > 1 THEN CAST(w.n AS DOUBLE) END AS "MARKET_DAILY_RAINFALL"
 FROM pricing p
-FULL JOIN (SELECT * FROM geo WHERE n_name <> 'CHINA') g ON p.state_name = g.state AND p.market_name = g.n_name
-FULL JOIN (SELECT * FROM weather WHERE n_name <> 'CHINA') w ON w.n_name = p.market_name AND p.date_of_pricing = w.day""",
+FULL JOIN (SELECT * FROM geo WHERE n_name <> 'NATION_7') g ON p.state_name = g.state AND p.market_name = g.n_name
+FULL JOIN (SELECT * FROM weather WHERE n_name <> 'NATION_7') w ON w.n_name = p.market_name AND p.date_of_pricing = w.day""",
+        "late_files": _with(PRICING) + """
+SELECT CAST(date_trunc('month', date_of_pricing) + INTERVAL 30 YEAR AS DATE) AS file_date, count(*) AS rows
+FROM pricing GROUP BY 1""",
+        "daily_rejects": _with(PRICING) + """
+SELECT row_id, CAST(arrival_in_tonnes AS VARCHAR) || ' t' AS "ARRIVAL_IN_TONNES", 'arrival_in_tonnes' AS rejected
+FROM pricing WHERE row_id % 10 = 3""",
+        "daily_star_facts": _with(PRICING) + """
+SELECT row_id, strftime(date_of_pricing, '%d/%m/%Y') AS calendar_date, state_name, market_name, product_name,
+       productgroup_name, variety, CASE WHEN row_id % 10 <> 3 THEN arrival_in_tonnes END AS arrival_in_tonnes,
+       minimum_price, maximum_price, modal_price
+FROM pricing""",
         "csv_landing_union": _with(PRICING) + f"""
 SELECT {_TEXT}, CASE WHEN year(date_of_pricing) >= 1998 THEN substr(variety, 7, 2) END AS "GRADE"
 FROM pricing""",

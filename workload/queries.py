@@ -13,6 +13,9 @@ from granary.operators import cleaning, control, dimensions, facts, history, mer
 from granary.operators import requests as req
 from granary.operators.ids import dense_ids, highest_id
 from granary.operators.lookups import full_outer, lookup, unmatched_right
+from granary.plans import daily
+from granary.plans import lakehouse as names
+from granary.plans.lakehouse import Lakehouse
 from granary.plans.reference_data import copy_reference_table
 from granary.sinks.tables import append_files, read_evolving
 from granary.sources.daily_csv import daily_files, read_daily_files
@@ -177,7 +180,7 @@ def dim_product_merge(spark: SparkSession, sf: str) -> DataFrame:
 def _products(spark: SparkSession, sf: str) -> DataFrame:
     pairs = merging.product_pairs(base.pricing(spark, sf))
     empty = empty_table(spark, S.DIM_PRODUCT)
-    return history.product_source(stage(merging.new_product_rows(pairs, empty)))
+    return history.product_source(stage(merging.merge_product_dim(pairs, empty)))
 
 
 def _history(spark: SparkSession, *loads: tuple[DataFrame, str]) -> DataFrame:
@@ -349,8 +352,8 @@ def price_weather_report(spark: SparkSession, sf: str) -> DataFrame:
     silver = base.silver(spark, sf)
     geo = stage(nested.flatten_locations(base.market_locations(spark, sf)), "geo")
     # Prices of one market meet neither a location nor weather.
-    geo = geo.where("marketName <> 'CHINA'")
-    days = stage(nested.flatten_weather(base.weather(spark, sf)).where("marketName <> 'CHINA'"), "weather")
+    geo = geo.where("marketName <> 'NATION_7'")
+    days = stage(nested.flatten_weather(base.weather(spark, sf)).where("marketName <> 'NATION_7'"), "weather")
     return report.price_weather_report(silver, geo, days).drop(
         "lakehouse_inserted_date", "lakehouse_updated_date"
     )
@@ -391,6 +394,77 @@ def csv_landing_union(spark: SparkSession, sf: str) -> DataFrame:
     return read_daily_files(spark, _paths(spark, folder), on_drift="align")
 
 
+# --- the daily load over catalog tables -------------------------------------
+
+
+def _daily_lake(spark: SparkSession) -> Lakehouse:
+    """Fresh catalog tables below a scratch folder."""
+    for name in [*names.SCHEMAS, *names.PARTITIONED]:
+        if spark.catalog.databaseExists(name.split(".")[0]):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+    lake = Lakehouse(spark, scratch_path(spark, "lake"))
+    lake.create()
+    return lake
+
+
+def _deliver(rows: DataFrame, folder: str) -> None:
+    """Monthly files whose names are dated thirty years on, after the first file date."""
+    _write_files(rows.withColumn("month", F.add_months("month", 360)), folder, list(S.PRICING_COLUMNS))
+
+
+def _two_landings(spark: SparkSession, sf: str, between=lambda lake: None) -> Lakehouse:
+    """All months but those of 1996 land first, those then: late files. Every row whose id ends in 3 has a
+    quantity that does not parse."""
+    lake, folder = _daily_lake(spark), scratch_path(spark, "landing")
+    amount = F.col("ARRIVAL_IN_TONNES")
+    bad = F.when(F.col("ROW_ID").endswith("3"), F.concat(amount, F.lit(" t"))).otherwise(amount)
+    rows = stage(_price_text(spark, sf).withColumn("ARRIVAL_IN_TONNES", bad), "delivered")
+    for late, as_of in ((False, "2024-01-01 01:00:00"), (True, "2024-01-02 01:00:00")):
+        _deliver(rows.where((F.year("month") == 1996) == F.lit(late)), folder)
+        daily.ingest_prices(lake, folder, as_of)
+        between(lake)
+    return lake
+
+
+@query
+def late_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Landed rows by file date, after a second landing of files dated before the last of the first."""
+    lake = _two_landings(spark, sf)
+    landed = spark.read.parquet(lake.location(names.BRONZE))
+    return landed.groupBy("file_date").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@query
+def daily_rejects(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that the silver step has put aside."""
+    lake = _two_landings(spark, sf)
+    daily.load_silver(lake, "2024-01-03")
+    return spark.read.parquet(lake.location(names.REJECTED)).select(
+        F.col("ROW_ID").cast("bigint").alias("row_id"), "ARRIVAL_IN_TONNES", F.concat_ws(",", "rejected_columns").alias("rejected")
+    )
+
+
+@query
+def daily_star_facts(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of two daily loads with the names their keys stand for."""
+
+    def load(lake: Lakehouse) -> None:
+        daily.load_silver(lake, "2024-01-03")
+        daily.load_date_dim(lake, "1995-01-01", "2010-12-31")
+        daily.load_dimensions(lake, "2024-01-03")
+        daily.load_facts(lake, "2024-01-03")
+
+    lake = _two_landings(spark, sf, load)
+    fact = spark.read.parquet(lake.location(names.FACT))
+    for name in (names.DIM_DATE, names.DIM_STATE, names.DIM_MARKET, names.DIM_PRODUCT, names.DIM_VARIETY):
+        dim = lake.table(name).drop("created_at", "updated_at")
+        fact = fact.join(dim, dim.columns[0], "left")
+    return fact.select(
+        "row_id", "calendar_date", "state_name", "market_name", "product_name", "productgroup_name", "variety",
+        "arrival_in_tonnes", "minimum_price", "maximum_price", "modal_price",
+    )
+
+
 @query
 def stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs of the landing stream; the second one finds nothing new."""
