@@ -197,10 +197,11 @@ def test_packing_keeps_every_piece_once(docs, empty):
             assert offset == at
             at += length
         assert at <= 2048
-    # No packing needs fewer: full pieces stand alone, and so do two that are longer than half a sequence.
+    # Full pieces and those longer than half a sequence stand alone; middle ones fit beside none of these.
     rest = [r["length"] for r in rows if r["length"] < 2048]
-    least = len(rows) - len(rest) + max(-(-sum(rest) // 2048), sum(n > 1024 for n in rest))
-    assert len(by_sequence) <= least + 1
+    long = [n for n in rest if n > 1024]
+    middle = [n for n in rest if 2048 - min(long) < n <= 1024]
+    assert len(by_sequence) == len(rows) - len(rest) + len(long) + -(-sum(middle) // 2048)
     assert {r["doc_id"] for r in rows} == {*TEXTS, None}
     assert packing.pack_documents(empty).collect() == []
 
