@@ -7,6 +7,7 @@ from granary.functions.parsing import (
     file_date,
     is_json_object,
     json_line,
+    price_file,
     pricing_date,
     table_folder,
     to_amount,
@@ -20,6 +21,7 @@ __all__ = [
     "is_json_object",
     "json_line",
     "load_time",
+    "price_file",
     "pricing_date",
     "stamped",
     "table_folder",

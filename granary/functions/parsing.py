@@ -41,6 +41,11 @@ def daily_file_name(date: dt.date | str) -> str:
     return f"{S.DAILY_FILE_PREFIX}{day:%m%d%Y}.csv"
 
 
+def price_file(date: Column | str) -> Column:
+    """`daily_file_name` of each row's date."""
+    return F.concat(F.lit(S.DAILY_FILE_PREFIX), F.date_format(date, S.DAILY_FILE_DATE_FORMAT), F.lit(".csv"))
+
+
 def file_date(path: Column | str) -> Column:
     """DATE in the name of a price file; NULL for any other path."""
     digits = F.regexp_extract(path, S.DAILY_FILE_PATTERN, 1)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from granary import schemas as S
+
 PRICING = """
 pricing AS (
   SELECT CAST(o_orderdate AS DATE) AS date_of_pricing,
@@ -316,7 +318,28 @@ FROM orders""",
         "partitioned_append": """
 SELECT *, CAST(ts AS DATE) AS day FROM events WHERE ts >= TIMESTAMP '2024-01-15'""",
         "reference_copy": """
-SELECT *, (SELECT count(*) FROM part) AS rows_written FROM part""",
+SELECT *, (SELECT count(*) FROM part) AS rows_written, unnest(['parquet', 'json']) AS form FROM part""",
+        "json_table": "SELECT * FROM customer",
+        "append_by_name": """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice, CAST(o_orderdate AS DATE) AS o_orderdate,
+       CASE WHEN o_orderstatus = 'F' THEN o_orderpriority END AS o_orderpriority
+FROM orders""",
+        "overwrite_partitions": """
+SELECT o_orderkey, CASE WHEN o_orderstatus = 'P' THEN 2 ELSE 1 END * o_totalprice AS o_totalprice, o_orderstatus FROM orders""",
+        "replace_managed_table": "SELECT * REPLACE (CAST(o_orderdate AS DATE) AS o_orderdate) FROM orders",
+        "publish_version": "SELECT o_orderkey, CAST(o_orderdate AS DATE) + 3 AS o_orderdate FROM orders",
+        "fixture_rows": """
+SELECT CAST(n_nationkey AS VARCHAR) AS n_nationkey, n_name, CAST(n_regionkey AS VARCHAR) AS n_regionkey,
+       unnest(['csv', 'json']) AS fixture
+FROM nation""",
+        "log_entries": f"""
+SELECT '{S.PROCESS_INGEST}' AS process_name, day, unnest(['{S.STATUS_FAILED}', '{S.STATUS_COMPLETED}']) AS process_status
+FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS day FROM orders)""",
+        "load_stamps": "SELECT true AS current, count(*) AS rows, CAST(1 AS BIGINT) AS stamps FROM lineitem",
+        "price_file_names": """
+SELECT DISTINCT CAST(o_orderdate AS DATE) AS day, strftime(o_orderdate, 'PW_MW_DR_%m%d%Y.csv') AS file,
+       CAST(o_orderdate AS DATE) AS parsed
+FROM orders""",
         "request_urls": _with(LOCATED) + f"""
 SELECT latitude, longitude, "marketName",
        'https://archive-api.open-meteo.com/v1/archive?latitude=' || CAST(latitude AS VARCHAR)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from granary import schemas as S
-from granary.functions import calendar_text, json_line
+from granary.functions import calendar_text, file_date, json_line, price_file
 from granary.operators import cleaning, control, dimensions, facts, history, merging, nested, report
 from granary.operators import requests as req
 from granary.operators.ids import dense_ids, highest_id
@@ -17,8 +19,10 @@ from granary.plans import daily
 from granary.plans import lakehouse as names
 from granary.plans.lakehouse import Lakehouse
 from granary.plans.reference_data import copy_reference_table
+from granary.sinks import tables
 from granary.sinks.tables import append_files, read_evolving
 from granary.sources.daily_csv import daily_files, read_daily_files
+from granary.sources.fixtures import load_fixture
 from granary.sources.json_docs import land_weather, read_json_lines
 from granary.staging import empty_table, scratch_path, stage
 from granary.streaming.landing import land_available
@@ -372,10 +376,7 @@ def _price_text(spark: SparkSession, sf: str) -> DataFrame:
 
 def _write_files(rows: DataFrame, folder: str, columns: list[str]) -> None:
     """One folder per month that is named like a price file."""
-    name = F.concat(
-        F.lit(S.DAILY_FILE_PREFIX), F.date_format("month", S.DAILY_FILE_DATE_FORMAT), F.lit(".csv")
-    )
-    files = rows.select(*columns, name.alias("file")).hint("rebalance", "file")
+    files = rows.select(*columns, price_file("month").alias("file")).hint("rebalance", "file")
     files.write.partitionBy("file").option("header", "true").mode("append").csv(folder)
 
 
@@ -465,6 +466,124 @@ def daily_star_facts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# --- catalog tables ---------------------------------------------------------
+
+
+def _table_name(label: str) -> str:
+    """A table of its own for each run: managed folders outlive the session that made them."""
+    return f"granary_workload.{label}_{uuid.uuid4().hex}"
+
+
+def _orders(spark: SparkSession, sf: str) -> DataFrame:
+    return base.table(spark, sf, "orders").withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
+
+
+@query
+def json_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalog table over JSON lines whose folder is then overwritten; defining it again changes nothing."""
+    name, path = _table_name("customers"), scratch_path(spark, "json-table")
+    customers = base.table(spark, sf, "customer")
+    tables.overwrite_json(customers.where("c_acctbal < 0"), path)
+    for _ in range(2):
+        tables.create_json_table(spark, name, path, customers.schema)
+    tables.overwrite_json(customers, path)
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+@query
+def append_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Two appends to a catalog table: columns in another order, then with one left out."""
+    name = _table_name("orders")
+    orders = _orders(spark, sf)
+    for _ in range(2):
+        tables.create_table(spark, name, orders.schema, scratch_path(spark, "orders"))
+    finished = F.col("o_orderstatus") == "F"
+    tables.append_table(orders.where(finished).select(*reversed(orders.columns)), name)
+    tables.append_table(orders.where(~finished).drop("o_orderpriority"), name)
+    return spark.table(name)
+
+
+@query
+def overwrite_partitions(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders kept by status; those of one status are loaded again, twice, at twice the price."""
+    name = _table_name("by_status")
+    orders = _orders(spark, sf).select("o_orderkey", "o_totalprice", "o_orderstatus")
+    tables.create_table(spark, name, orders.schema, scratch_path(spark, "by-status"), ("o_orderstatus",))
+    tables.replace_partitions(orders, name)
+    again = orders.where("o_orderstatus = 'P'").withColumn("o_totalprice", F.col("o_totalprice") * 2)
+    for _ in range(2):
+        tables.replace_partitions(again, name)
+    return spark.table(name)
+
+
+@query
+def replace_managed_table(spark: SparkSession, sf: str) -> DataFrame:
+    """A managed table that a later load replaces, columns included."""
+    name = _table_name("managed")
+    tables.replace_table(base.table(spark, sf, "customer"), name)
+    tables.replace_table(_orders(spark, sf), name)
+    return spark.table(name)
+
+
+@query
+def publish_version(spark: SparkSession, sf: str) -> DataFrame:
+    """A table replaced by rows that are computed from itself: all orders, each a day later, three times over."""
+    name, root = _table_name("versions"), scratch_path(spark, "versions")
+    orders = _orders(spark, sf).select("o_orderkey", "o_orderdate")
+    tables.create_table(spark, name, orders.schema, tables.sink_path(root, name))
+    tables.publish(orders, name, root)
+    for _ in range(3):
+        tables.publish(spark.table(name).withColumn("o_orderdate", F.date_add("o_orderdate", 1)), name, root)
+    return spark.table(name)
+
+
+@query
+def fixture_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Nations as fixtures: a CSV with header, all text, and files with a JSON array for each region."""
+    nations = base.table(spark, sf, "nation")
+    as_csv, as_json = (scratch_path(spark, "nations") + suffix for suffix in (".csv", ".json"))
+    nations.write.option("header", "true").csv(as_csv)
+    row = F.struct("n_nationkey", "n_name")
+    arrays = nations.groupBy("n_regionkey").agg(F.to_json(F.collect_list(row)).alias("value"))
+    arrays.write.partitionBy("n_regionkey").text(as_json)
+    read = load_fixture(spark, as_csv).select("n_nationkey", "n_name", "n_regionkey", F.lit("csv").alias("fixture"))
+    typed = load_fixture(spark, as_json)
+    return read.union(typed.select(*(F.col(c).cast("string") for c in nations.columns), F.lit("json")))
+
+
+@query
+def log_entries(spark: SparkSession, sf: str) -> DataFrame:
+    """Run log rows for each order date, written to the catalog log table and read back."""
+    lake = _daily_lake(spark)
+    days = _orders(spark, sf).select(F.col("o_orderdate").alias("day")).distinct()
+    for status, as_of in ((S.STATUS_FAILED, "2024-01-01 01:00:00"), (S.STATUS_COMPLETED, "2024-01-02 01:00:00")):
+        lake.log(control.run_entries(days, S.PROCESS_INGEST, status, as_of, F.lit(as_of).cast("timestamp")))
+    return lake.table(names.RUN_LOG).select(
+        "process_name", F.col("processed_file_table_date").alias("day"), "process_status"
+    )
+
+
+@query
+def load_stamps(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows by whether their stamps are one current time: all of them, as of the clock."""
+    began = dt.datetime.now(dt.UTC).timestamp()
+    rows = cleaning.clean_daily_pricing(base.raw_pricing(spark, sf))
+    seconds = F.col("created_at").cast("double")
+    current = (F.col("created_at") == F.col("updated_at")) & seconds.between(began - 1, F.lit(began + 86_400))
+    return rows.groupBy(current.alias("current")).agg(
+        F.count(F.lit(1)).alias("rows"), F.countDistinct("created_at").alias("stamps")
+    )
+
+
+@query
+def price_file_names(spark: SparkSession, sf: str) -> DataFrame:
+    """Name of the price file of each order date, and the date read back from it."""
+    days = _orders(spark, sf).select(F.col("o_orderdate").alias("day")).distinct()
+    named = days.withColumn("file", price_file("day"))
+    return named.select("day", "file", file_date(F.concat(F.lit("/landing/"), "file")).alias("parsed"))
+
+
 @query
 def stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     """Two runs of the landing stream; the second one finds nothing new."""
@@ -510,7 +629,12 @@ def reference_copy(spark: SparkSession, sf: str) -> DataFrame:
     part = base.table(spark, sf, "part")
     copied = copy_reference_table(part, root, "masterdata.part")
     typed = spark.read.parquet(copied.path)
-    return typed.withColumn("rows_written", F.lit(copied.rows).cast("bigint"))
+    lines = copy_reference_table(part, root, "masterdata.part_lines", "json")
+    both = [(typed, copied, "parquet"), (read_json_lines(spark, lines.path, part.schema), lines, "json")]
+    first, second = (
+        rows.withColumns({"rows_written": F.lit(c.rows).cast("bigint"), "form": F.lit(form)}) for rows, c, form in both
+    )
+    return first.unionByName(second)
 
 
 @query
