@@ -119,13 +119,13 @@ def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(key, before)
 
 
-def replace_partitions(df: DataFrame, name: str) -> None:
+def replace_partitions(df: DataFrame, name: str, spread: tuple[str, ...] = ()) -> None:
     """Replace the table partitions that occur in `df`; a repeated load changes nothing.
 
     Rows are written where they are: a run has one batch or few, and an exchange on them would gather
-    what the scan has spread.
+    what the scan has spread. Where many partitions are written at once, `spread` names their columns, for few files in each.
     """
-    rows = conform(df, df.sparkSession.table(name).schema)
+    rows = spread_by(conform(df, df.sparkSession.table(name).schema), spread)
     with _dynamic_overwrite(df.sparkSession):
         rows.write.mode("overwrite").insertInto(name)
 
