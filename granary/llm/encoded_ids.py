@@ -121,9 +121,9 @@ def unpack_bits(
 
 def _id_arrays(batch: pa.RecordBatch, tokenizer: str, end_id: int | None) -> Iterator[tuple[int, np.ndarray]]:
     library = word_tokenizer(public_path(tokenizer) if "/" not in tokenizer else tokenizer)
-    end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
-    for key, text in zip(batch.column(0), batch.column(1)):
-        yield key.as_py(), np.frombuffer(library.encode(text.as_py() or "") + end, "<u4")
+    end = np.array([] if end_id is None else [end_id], "<u4")
+    for key, ids in zip(batch.column(0).to_pylist(), library.encode_all(batch.column(1))):
+        yield key, np.concatenate((ids, end))
 
 
 def _arrays(batch: pa.RecordBatch) -> Iterator[np.ndarray]:

@@ -43,8 +43,8 @@ def piece_ids(
         step = 4 * length
         for batch in batches:
             columns = [[], [], [], [], []]
-            for key, text in zip(batch.column(0), batch.column(1)):
-                ids = library.encode(text.as_py() or "") + end
+            for key, found in zip(batch.column(0), library.encode_all(batch.column(1))):
+                ids = found.tobytes() + end
                 for number, at in enumerate(range(0, len(ids), step)):
                     piece = ids[at: at + step]
                     for column, value in zip(columns, (key.as_py(), number, at // 4, len(piece) // 4, piece)):

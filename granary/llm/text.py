@@ -56,7 +56,7 @@ class Words:
     first: np.ndarray
 
 
-def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a text column; null counts as empty."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
@@ -69,7 +69,7 @@ def _buffers(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 def slices(texts: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about `limit` bytes."""
-    _, offsets = _buffers(texts)
+    _, offsets = buffers(texts)
     at, n = 0, len(texts)
     while at < n:
         to = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1
@@ -84,7 +84,7 @@ LETTERS_ONLY[[*range(0x30, 0x3A), *range(0x41, 0x5B), *range(0x61, 0x7B), *range
 
 def words(texts: pa.Array, separator: np.ndarray = _SEPARATOR) -> Words:
     """All words of the given texts (a slice; see `slices`), parted at the `separator` bytes."""
-    raw, offsets = _buffers(texts)
+    raw, offsets = buffers(texts)
     base = offsets[0]
     data = raw[base: offsets[-1]]
     bounds = offsets - base

@@ -1,23 +1,35 @@
 """Public tokenizers applied to whole texts.
 
 The word tokenizer drops white space and never joins across it, so a text's ids are those
-of its white-space separated parts one after the other. Parts repeat, so each Python worker
-keeps the ids of up to CACHE_PARTS parts; beyond that, parts are encoded each time.
+of its white-space separated parts one after the other. Texts are taken in slices of about
+SLICE_BYTES; each different part of a slice is looked at once. Parts also repeat between slices, so
+each Python worker keeps the ids of up to CACHE_PARTS parts; beyond that, parts are encoded
+again in each slice.
 """
 
 from __future__ import annotations
 
 import re
+import sys
+from array import array
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 
+from granary.llm.text import buffers, slices
+
 CACHE_PARTS = 700_000
+SLICE_BYTES = 8 << 20
 
 # Characters whose lower-casing, normal form and class do not differ between libraries.
 _PLAIN = re.compile("[!-~¡-¬®-į]+").fullmatch
 # The splitting pattern of the public file word_bpe_49k.json.
 _PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
-_SPACES = str.maketrans("\t\n\r", "   ")
+_SPACES = np.arange(256, dtype=np.uint8)
+_SPACES[[0x09, 0x0A, 0x0D]] = 0x20
 
 
 def _byte_letters() -> dict[int, str]:
@@ -36,37 +48,71 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        self.tokenize = self.library.model.tokenize
         self.letters = _byte_letters()
         self.parts: dict[str, bytes] = {"": b""}
         self.pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
-        parts, known = text.translate(_SPACES).split(" "), self.parts
-        try:
-            return b"".join([known[p] for p in parts])
-        except KeyError:
-            return b"".join([known[p] if p in known else self._part(p) for p in parts])
+        return next(self.encode_all(pa.array([text]))).tobytes()
+
+    def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Ids of each text; null counts as empty."""
+        for a, z in slices(texts, SLICE_BYTES):
+            yield from self._slice(texts[a:z])
+
+    def _slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        raw, offsets = buffers(texts)
+        bounds = offsets - offsets[0]
+        spaced = pa.LargeStringArray.from_buffers(
+            len(texts), pa.py_buffer(bounds), pa.py_buffer(_SPACES[raw[offsets[0]: offsets[-1]]])
+        )
+        split = pc.split_pattern(spaced, " ")
+        parts = split.flatten().dictionary_encode()
+        known, part = self.parts, self._part
+        found = [known[p] if p in known else part(p) for p in parts.dictionary.to_pylist()]
+        flat = np.frombuffer(b"".join(found), "<u4")
+        sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        begins = np.cumsum(sizes) - sizes
+        # From each part's place among the different ones to its place in the texts.
+        at = parts.indices.to_numpy()
+        each = sizes[at]
+        ends = np.concatenate((np.zeros(1, np.int64), np.cumsum(each)))
+        ids = flat[np.arange(ends[-1]) + np.repeat(begins[at] - ends[:-1], each)]
+        cuts = ends[split.offsets.to_numpy()].tolist()
+        for a, z in zip(cuts[:-1], cuts[1:]):
+            yield ids[a:z]
 
     def _part(self, part: str) -> bytes:
-        if _PLAIN(part) and "<|" not in part:
-            pieces = self.pieces
-            ids = b"".join([pieces[p] if p in pieces else self._piece(p) for p in _PIECES(part.lower())])
+        if part.isascii() and part[:-1].isalpha() and " " < part[-1] < "\x7f":
+            # Letters, then a letter or one other sign, which is a piece of its own.
+            low = part.lower()
+            ids = self._pieces((low,) if low.isalpha() else (low[:-1], low[-1]))
+        elif _PLAIN(part) and "<|" not in part:
+            ids = self._pieces(_PIECES(part.lower()))
         else:
             ids = _packed(self.library.encode(part, add_special_tokens=False).ids)
         if len(self.parts) < CACHE_PARTS:
             self.parts[part] = ids
         return ids
 
+    def _pieces(self, found: tuple[str, ...] | list[str]) -> bytes:
+        known = self.pieces
+        return b"".join([known[p] if p in known else self._piece(p) for p in found])
+
     def _piece(self, piece: str) -> bytes:
-        letters = piece.encode().decode("latin-1").translate(self.letters)
-        ids = _packed([t.id for t in self.library.model.tokenize(letters)])
+        letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
+        ids = _packed([t.id for t in self.tokenize(letters)])
         if len(self.pieces) < CACHE_PARTS:
             self.pieces[piece] = ids
         return ids
 
 
 def _packed(ids: list[int]) -> bytes:
-    return b"".join([i.to_bytes(4, "little") for i in ids])
+    packed = array("I", ids)
+    if sys.byteorder == "big":
+        packed.byteswap()
+    return packed.tobytes()
 
 
 _loaded: dict[str, WordTokenizer] = {}

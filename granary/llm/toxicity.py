@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
 from granary.llm.common import ship
-from granary.llm.text import LETTERS_ONLY, _buffers, slices, words
+from granary.llm.text import LETTERS_ONLY, buffers, slices, words
 
 #: Labelled documents the model is fitted on at most, chosen by a hash of their id.
 SAMPLE_DOCUMENTS = 6000
@@ -59,7 +59,7 @@ def sentences(texts: pa.Array) -> Sentences:
     if not n:
         none = np.zeros(0, np.int64)
         return Sentences(found.hashes, none, none, none, none)
-    raw, offsets = _buffers(texts)
+    raw, offsets = buffers(texts)
     ends = np.flatnonzero(_SENTENCE_END[raw[offsets[0]: offsets[-1]]])
     text = np.repeat(np.arange(len(texts)), np.diff(found.first))
     number = np.searchsorted(ends, found.starts + (offsets - offsets[0])[text])

@@ -84,6 +84,16 @@ def test_word_tokenizer_equals_the_library():
         assert ids == own.library.encode(value, add_special_tokens=False).ids
 
 
+def test_word_tokenizer_on_batches():
+    own = tokens.WordTokenizer(tokens.public_path("word_bpe_49k.json"))
+    values = ["", None, " ", "\t\n", "A.", "ab\x7f", "ab\x00", "abc12.", "x<|", "'", "a' A. ab\x1c", None, "abc12. a\rA.", ""]
+    want = [own.library.encode(v or "", add_special_tokens=False).ids for v in values]
+    for _ in range(2):
+        assert [x.tolist() for x in own.encode_all(pa.array(values))] == want
+    assert [x.tolist() for x in own.encode_all(pa.array(values)[3:9])] == want[3:9]
+    assert list(own.encode_all(pa.array([], pa.string()))) == []
+
+
 def test_jaccard_components_by_brute_force(docs, empty):
     sets = {}
     for i, value in TEXTS.items():
