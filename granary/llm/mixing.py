@@ -164,7 +164,9 @@ def mix(
         "doc_id", "number", "begin", "size",
         F.explode(F.expr(f"sequence(begin div {block_words}, (begin + size - 1) div {block_words})")).alias("block"),
     )
-    taken = cover.join(draws, ["number", "block"]).select(
+    # Draws grow with the words, which their plan's estimate does not show: never broadcast them. A key has a
+    # row per epoch at most, and a row per document that the block touches.
+    taken = cover.join(draws.hint("merge"), ["number", "block"]).select(
         "doc_id", "shard", "epoch", "block",
         F.expr(f"greatest(block * {block_words} - begin, 0L)").alias("low"),
         F.expr(f"least((block + 1) * {block_words} - begin, size)").alias("high"),
