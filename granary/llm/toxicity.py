@@ -191,7 +191,8 @@ def fit(
 
     if not rows.head(1):
         return Model(-40.0, np.zeros(0, np.uint64), np.zeros(0))
-    found = rows.coalesce(1).mapInArrow(trained, "hash long, weight double, is_bias boolean").collect()
+    # A shuffle of the sample alone: coalesce would scan all documents in the one task that trains.
+    found = rows.repartition(1).mapInArrow(trained, "hash long, weight double, is_bias boolean").collect()
     bias = next(r["weight"] for r in found if r["is_bias"])
     pairs = sorted((r["hash"] % (1 << 64), r["weight"]) for r in found if not r["is_bias"])
     return Model(bias, np.array([h for h, _ in pairs], np.uint64), np.array([w for _, w in pairs]))
