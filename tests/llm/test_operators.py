@@ -344,3 +344,21 @@ def test_components_and_running_sums(spark):
     out = running_start(spark.createDataFrame(rows, "g int, k long, v long").repartition(6), ["g"], ["k"], "v", "before").collect()
     for r in out:
         assert r["before"] == sum(v for g, k, v in rows if g == r["g"] and k < r["k"])
+
+
+@pytest.mark.parametrize("others", [1, 40])
+def test_passages_around_a_frequent_line_meet_each_other(spark, others):
+    rows, pairs = [], range(25)
+    for p in pairs:
+        line = prose(22, 1000 + p)
+        passage = prose(16, 2000 + p) + " " + line + " " + prose(17, 3000 + p)
+        rows += [(1000 * p + i, prose(70, 90_000 + 100 * p + i) + " " + line + " " + prose(70, 50_000 + 100 * p + i)) for i in range(others)]
+        rows += [(1000 * p + 500 + i, prose(70, 7000 + 10 * p + i) + " " + passage + " " + prose(70, 8000 + 10 * p + i)) for i in range(3)]
+    got = collections.defaultdict(list)
+    for r in passage_dedup.near_duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        got[r["doc_id"]].append((r["low"], r["high"], r["first_doc_id"]))
+    for p in pairs:
+        for i in (1, 2):
+            (low, high, first), = got.pop(1000 * p + 500 + i)
+            assert first == 1000 * p + 500 and abs(low - 70) <= 4 and abs(high - 125) <= 4
+    assert not got
