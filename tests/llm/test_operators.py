@@ -362,3 +362,23 @@ def test_passages_around_a_frequent_line_meet_each_other(spark, others):
             (low, high, first), = got.pop(1000 * p + 500 + i)
             assert first == 1000 * p + 500 and abs(low - 70) <= 4 and abs(high - 125) <= 4
     assert not got
+
+
+@pytest.mark.parametrize("n, every, added", [(10_000, 40, 0), (20_000, 100, 0), (10_000, 60, 1)])
+def test_long_near_copies_with_a_moving_shift(n, every, added):
+    base = _rng.integers(0, 2**63, n).astype(np.uint64)
+    if added:
+        copy = np.insert(base, np.arange(every, n, every), np.arange(len(range(every, n, every)), dtype=np.uint64))
+    else:
+        copy = np.delete(base, np.arange(every, n, every))
+    x, y = text.gram_hashes(base, 5), text.gram_hashes(copy, 5)
+    assert passage_dedup.near_stretches(x, y, 46, 75) == [(0, len(y))]
+
+
+def test_parts_of_a_failed_stretch_are_verified():
+    base = _rng.integers(0, 2**63, 4000).astype(np.uint64)
+    # Two good parts side by side whose originals lie far apart: as one stretch they span too much of x.
+    copy = np.concatenate((base[:400], base[3000:3400]))
+    x, y = text.gram_hashes(base, 5), text.gram_hashes(copy, 5)
+    found = passage_dedup.near_stretches(x, y, 46, 75)
+    assert sum(high - low for low, high in found) >= 780
