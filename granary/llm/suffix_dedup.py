@@ -1,10 +1,9 @@
-"""Repeated passages by sparse suffix arrays.
+"""Repeated passages by windows at shared positions.
 
-Suffixes are kept only at content-selected positions: the minimisers of hashes of GRAM words over windows of such
+Positions are content-selected: the minimisers of hashes of GRAM words over windows of such
 hashes, so wide that any passage of `least_words` words holds one, the same in every document it is in.
-Suffixes whose first GRAM words occur in several documents are sorted by the words that follow (and by those before, read backwards); neighbours in that order are
-compared and their match is extended to the left and the right. Suffixes are kept as CONTEXT words either way, more than
-lies between two minimisers, so the matches of a longer passage overlap and are united.
+Around positions whose GRAM words occur in several documents, every window of `least_words` words that holds them is hashed. Windows
+with equal hashes in several documents are repeated, whatever stands beside them; those of a document that overlap are united.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import ship, width
 from granary.llm.spans import first_of_copies, merged, per_text, sequence_print
-from granary.llm.text import gram_hashes, signed, slices, words
+from granary.llm.text import gram_hashes, mix, signed, slices, words
 from granary.staging import stage
 
 GRAM = 25
@@ -35,57 +34,43 @@ def minimisers(grams: np.ndarray, window: int) -> np.ndarray:
     return np.flatnonzero(highest == grams)
 
 
-def _context(hashes: np.ndarray, at: int, gram: int, reach: int) -> tuple[bytes, bytes]:
-    """Words after and, backwards, before a position's gram: four bytes each, in an order bytes compare by."""
-    right = hashes[at + gram: at + gram + reach]
-    left = hashes[max(0, at - reach): at][::-1]
-    return tuple((x >> np.uint64(32)).astype(">u4").tobytes() for x in (right, left))
+def _around(at: list[int], n_words: int, gram: int, least_words: int) -> np.ndarray:
+    """Begins of the windows of `least_words` words that hold the gram at one of the positions."""
+    begins = np.unique(np.asarray(at, np.int64)[:, None] - np.arange(least_words - gram + 1))
+    return begins[(begins >= 0) & (begins <= n_words - least_words)]
 
 
-def _shared(x: bytes, y: bytes) -> int:
-    """Words that two contexts begin with alike."""
-    if x == y:
-        return len(x) // 4
-    n = min(len(x), len(y)) // 4
-    differ = np.flatnonzero(np.frombuffer(x, ">u4", n) != np.frombuffer(y, ">u4", n))
-    return int(differ[0]) if len(differ) else n
+def _united(least_words: int):
+    """Runs of windows that overlap, of rows (doc_id, at, other) in order; other is the smallest of a run's."""
 
-
-_KINDS = "key long, after binary, ahead binary, doc_id long, at int"
-_FOUND = f"is_edge boolean, low long, high long, other long, {_KINDS}"
-
-
-def _compare(gram: int, least_words: int):
-    """Matches of neighbouring sorted suffixes of different documents; and a task's first and last suffixes (edges)."""
-
-    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        previous = other = None
+    def united(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        run = None
         for batch in batches:
-            out = []
-            for row in zip(*(c.to_pylist() for c in batch.columns)):
-                key, after, ahead, doc, at = row
-                if previous is None:
-                    out.append((True, None, None, None, *row))
-                elif previous[3] != doc:
-                    other = previous
-                if other is not None and other[0] == key and other[3] != doc:
-                    right, left = _shared(after, other[1]), _shared(ahead, other[2])
-                    if left + gram + right >= least_words:
-                        for mine, its in ((row, other), (other, row)):
-                            out.append((False, mine[4] - left, mine[4] + gram + right, its[3], None, None, None, mine[3], None))
-                previous = row
-            yield _found(out)
-        edges = {r for r in (previous, other) if r is not None}
-        yield _found([(True, None, None, None, *r) for r in sorted(edges)])
-
-    return compared
-
-
-def _found(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = (pa.bool_(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32())
-    names = ["is_edge", "low", "high", "other", "key", "after", "ahead", "doc_id", "at"]
-    columns = list(zip(*rows)) or [()] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names)
+            if not batch.num_rows:
+                continue
+            doc, at, other = (c.to_numpy(zero_copy_only=False).astype(np.int64) for c in batch.columns)
+            fresh = np.append(True, (doc[1:] != doc[:-1]) | (at[1:] > at[:-1] + least_words))
+            first = np.flatnonzero(fresh)
+            last = np.append(first[1:], len(at)) - 1
+            runs = list(zip(
+                doc[first].tolist(), at[first].tolist(), (at[last] + least_words).tolist(),
+                np.minimum.reduceat(other, first).tolist(),
+            ))
+            if run is not None:
+                if run[0] == runs[0][0] and runs[0][1] <= run[2]:
+                    runs[0] = (run[0], run[1], max(run[2], runs[0][2]), min(run[3], runs[0][3]))
+                else:
+                    runs.insert(0, run)
+            run = runs.pop()
+            yield _spans(runs)
+        yield _spans([] if run is None else [run])
+
+    return united
+
+
+def _spans(rows: list[tuple]) -> pa.RecordBatch:
+    columns = list(zip(*rows)) or [()] * 4
+    return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], ["doc_id", "low", "high", "other"])
 
 
 def repeated_passages(
@@ -139,38 +124,39 @@ def repeated_passages(
     shared = positions.groupBy("key").agg(F.min("doc_id").alias("lo"), F.max("doc_id").alias("hi")).where("lo <> hi").select("key")
     wanted = positions.join(shared, "key").groupBy("doc_id").agg(F.collect_list(F.struct("key", "at")).alias("_wanted"))
 
-    def suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i, wanted in enumerate(batch.column(2).to_pylist()):
                 hashes = words(batch.column(1).slice(i, 1)).hashes
-                grams = signed(gram_hashes(hashes, gram))
-                doc = batch.column(0)[i].as_py()
-                rows = [
-                    (w["key"], *_context(hashes, w["at"], gram, window), doc, w["at"])
-                    for w in wanted
-                    if w["at"] < len(grams) and grams[w["at"]] == w["key"]
-                ]
-                columns = list(zip(*rows)) or [()] * 5
-                kinds = (pa.int64(), pa.binary(), pa.binary(), pa.int64(), pa.int32())
+                grams = gram_hashes(hashes, gram)
+                own_keys = signed(grams)
+                at = [w["at"] for w in wanted if w["at"] < len(grams) and own_keys[w["at"]] == w["key"]]
+                begins = _around(at, len(hashes), gram, least_words)
+                full = gram_hashes(hashes, least_words)[begins] if len(begins) else np.zeros(0, np.uint64)
+                # 32 bits more, of the window's first and last gram.
+                more = mix(mix(grams[begins]) + grams[begins + window - 1]) >> np.uint64(32)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], ["key", "after", "ahead", "doc_id", "at"]
+                    [
+                        pa.array(signed(full)), pa.array(more.astype(np.uint32).view(np.int32)),
+                        batch.column(0).take(pa.array(np.full(len(begins), i))), pa.array(begins.astype(np.int32)),
+                    ],
+                    ["key", "more", "doc_id", "at"],
                 )
 
-    array = stage(
+    held = stage(
         own.join(wanted.withColumnRenamed("doc_id", "_id"), F.col("doc_id") == F.col("_id")).select("doc_id", "text", "_wanted")
-        .mapInArrow(suffixes, _KINDS),
-        "suffixes",
+        .mapInArrow(windows, "key long, more int, doc_id long, at int"),
+        "windows",
+    )
+    repeated = (
+        held.groupBy("key", "more").agg(F.min("doc_id").alias("other"), F.max("doc_id").alias("hi"))
+        .where("other <> hi").drop("hi")
     )
-    order = ["key", "after", "ahead", "doc_id", "at"]
-    # Ranges split a hot key over tasks; the suffixes at their ends meet in a second, small pass.
-    matches = stage(
-        array.repartitionByRange(width(spark), *order).sortWithinPartitions(*order)
-        .mapInArrow(_compare(gram, least_words), _FOUND),
-        "matches",
+    spans = (
+        held.join(repeated, ["key", "more"]).select("doc_id", "at", "other")
+        .repartition(width(spark), "doc_id").sortWithinPartitions("doc_id", "at")
+        .mapInArrow(_united(least_words), "doc_id long, low long, high long, other long")
     )
-    edges = matches.where("is_edge").select(*order).distinct()
-    across = edges.repartition(1).sortWithinPartitions(*order).mapInArrow(_compare(gram, least_words), _FOUND)
-    spans = matches.where("not is_edge").unionByName(across.where("not is_edge")).select("doc_id", "low", "high", "other")
     whole = known.where("rows > 1").select(
         "doc_id", F.lit(0).cast("long").alias("low"), F.col("n_words").alias("high"), F.col("rep").alias("other")
     )

@@ -382,3 +382,23 @@ def test_parts_of_a_failed_stretch_are_verified():
     x, y = text.gram_hashes(base, 5), text.gram_hashes(copy, 5)
     found = passage_dedup.near_stretches(x, y, 46, 75)
     assert sum(high - low for low, high in found) >= 780
+
+
+def test_passages_that_reach_left_of_a_line_in_many_documents(spark):
+    rows, want = [], {}
+    for p in range(20):
+        line, before = prose(40, 11_000 + p), prose(10, 12_000 + p)
+        for i in range(30):
+            rows.append((100 * p + i, prose(60, 13_000 + 100 * p + i) + " " + line + " " + prose(60, 16_000 + 100 * p + i)))
+        for i in (40, 41):
+            rows.append((100 * p + i, prose(60, 19_000 + 100 * p + i) + " " + before + " " + line + " " + prose(60, 22_000 + 100 * p + i)))
+            want[100 * p + i] = (60, 110, 100 * p + 40)
+    # A passage that stands twice in the first of its documents.
+    twice = prose(55, 25_000)
+    rows += [(9000, f"{prose(70, 1)} {twice} {prose(70, 2)} {twice} {prose(9, 3)}"), (9001, f"{twice} {prose(30, 4)}")]
+    want[9001] = (0, 55, 9000)
+    got = collections.defaultdict(list)
+    for r in suffix_dedup.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect():
+        got[r["doc_id"]].append((r["low"], r["high"], r["first_doc_id"]))
+    assert sorted(got.pop(9000)) == [(70, 125, 9000), (195, 250, 9000)]
+    assert got == {i: [span] for i, span in want.items()}
