@@ -49,7 +49,9 @@ class Shard:
             if essential == 0:
                 break
             adds = block[order[:essential]] * query[order[:essential], None]
-            alive = np.flatnonzero((adds > 0).any(0)) if least is not None else np.arange(len(ids))
+            # While the k-th best score is negative, rows to which no term adds can still come in.
+            prunes = least is not None and least >= 0
+            alive = np.flatnonzero((adds > 0).any(0)) if prunes else np.arange(len(ids))
             score = adds[:, alive].sum(0)
             for i in range(essential, len(order)):
                 if least is not None:

@@ -402,3 +402,13 @@ def test_passages_that_reach_left_of_a_line_in_many_documents(spark):
         got[r["doc_id"]].append((r["low"], r["high"], r["first_doc_id"]))
     assert sorted(got.pop(9000)) == [(70, 125, 9000), (195, 250, 9000)]
     assert got == {i: [span] for i, span in want.items()}
+
+
+@pytest.mark.parametrize("low, high", [(0, 50), (-50, 50), (-5, 1)])
+def test_top_k_beyond_the_first_step_of_a_shard(monkeypatch, low, high):
+    monkeypatch.setattr(top_k, "STEP", 8)
+    values = _rng.integers(low, high, (200, 6))
+    index = top_k.Shard(np.arange(200), values)
+    for query in (-_rng.integers(1, 50, 6), _rng.integers(-50, 50, 6), np.zeros(6, np.int64)):
+        want = sorted((-int(v @ query), i) for i, v in enumerate(values) if i != 3)[:10]
+        assert [(-s, i) for s, i in index.search(query, 10, but=3)] == want
