@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm import toxicity
-from granary.llm.mixing import materialize, mix
+from granary.llm.mixing import mixed
 from granary.llm.ngram_join import jaccard_components
 from granary.llm.packing import pack_documents
 from granary.llm.passage_dedup import near_duplicate_passages
@@ -45,8 +45,7 @@ def cut_near_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The words that the mix takes: a row for each document and epoch it is drawn in."""
-    _, drawn = mix(docs)
-    return materialize(docs, drawn)
+    return mixed(docs)
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

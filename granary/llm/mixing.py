@@ -98,12 +98,13 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
+    row_col: str | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """(per document, drawn blocks).
 
-    Per document: (doc_id, source, size, source_size, target, taken); null and empty texts have size 0 and take 0.
-    Documents with the same id and source lie one behind the other; they count as one document each, but
-    ids should be unique for `taken` to be told apart. Drawn: (doc_id, shard, epoch, block, low, high): words low .. high
+    Per document: (doc_id, row, source, size, source_size, target); null and empty texts have size 0 and take 0.
+    Documents with the same id and source lie one behind the other; they count as one document each and are told apart by
+    `row`, a number of each row: that of row_col, or else one given here. Drawn: (doc_id, row, shard, epoch, block, low, high): words low .. high
     of a document that a shard takes. A block is drawn at most ceil(cap) times, once in each epoch. The number of
     sources is taken to be small (names and sizes of sources go through the driver), their sizes are not.
     """
@@ -112,6 +113,7 @@ def mix(
     sized = stage(
         docs.select(
             F.col(id_col).alias("doc_id"),
+            (F.monotonically_increasing_id() if row_col is None else F.col(row_col)).alias("row"),
             F.col(source_col).alias("source"),
             F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"),
         ),
@@ -158,16 +160,16 @@ def mix(
         "number int, name string, source_size long, target double",
     )
     known = sized.join(numbers, F.col("source").eqNullSafe(F.col("name"))).drop("name")
-    placed = stage(running_start(known, ["number"], ["doc_id"], "size", "begin"), "placed")
+    placed = stage(running_start(known, ["number"], ["doc_id", "row"], "size", "begin"), "placed")
     # A document lies in the blocks from its first word's to its last word's.
     cover = placed.where("size > 0").select(
-        "doc_id", "number", "begin", "size",
+        "doc_id", "row", "number", "begin", "size",
         F.explode(F.expr(f"sequence(begin div {block_words}, (begin + size - 1) div {block_words})")).alias("block"),
     )
     # Draws grow with the words, which their plan's estimate does not show: never broadcast them. A key has a
     # row per epoch at most, and a row per document that the block touches.
     taken = cover.join(draws.hint("merge"), ["number", "block"]).select(
-        "doc_id", "shard", "epoch", "block",
+        "doc_id", "row", "shard", "epoch", "block",
         F.expr(f"greatest(block * {block_words} - begin, 0L)").alias("low"),
         F.expr(f"least((block + 1) * {block_words} - begin, size)").alias("high"),
     )
@@ -175,27 +177,32 @@ def mix(
 
 
 def mix_digest(docs: DataFrame, **options) -> DataFrame:
-    """Per document (doc_id, size, source_size, target, taken): the words a mix takes of it."""
+    """Per document (doc_id, size, source_size, target, taken): the words a mix takes of it. Rows that share an id, or have
+    none, each have what is taken of them alone."""
     per_doc, drawn = mix(docs, **options)
-    words = drawn.groupBy("doc_id").agg(F.sum(F.expr("high - low")).alias("taken"))
+    words = drawn.groupBy("row").agg(F.sum(F.expr("high - low")).alias("taken"))
     return (
-        per_doc.join(words.withColumnRenamed("doc_id", "_id"), F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+        per_doc.join(words, "row", "left")
         .select("doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0)).cast("long").alias("taken"))
     )
 
 
-def materialize(docs: DataFrame, drawn: DataFrame) -> DataFrame:
+def materialize(docs: DataFrame, drawn: DataFrame, row_col: str | None = None) -> DataFrame:
     """Documents as the mix takes them: one row per document and epoch it is drawn in, with
     the drawn words' stretches of text joined by a space, and n_chars counted anew. Columns as in `docs`.
+
+    row_col: the column of `docs` that mix() was given to tell rows apart. Without it rows are found by doc_id, which must then be
+    unique among the documents; see `mixed`.
     """
     from granary.llm.text import words
 
     ship(docs.sparkSession)
-    parts = drawn.groupBy("doc_id", "epoch").agg(
+    key, drawn_key = ("doc_id", "doc_id") if row_col is None else (row_col, "row")
+    parts = drawn.groupBy(drawn_key, "epoch").agg(
         F.array_sort(F.collect_list(F.struct("low", "high"))).alias("_parts")
     )
     joined = docs.join(
-        parts.select(F.col("doc_id").alias("_id"), "_parts"), F.col("doc_id").eqNullSafe(F.col("_id"))
+        parts.select(F.col(drawn_key).alias("_id"), "_parts"), F.col(key).eqNullSafe(F.col("_id"))
     ).drop("_id")
     columns = docs.columns
 
@@ -221,3 +228,11 @@ def materialize(docs: DataFrame, drawn: DataFrame) -> DataFrame:
 
     kept = joined.mapInArrow(cut, docs.schema)
     return kept.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+
+
+def mixed(docs: DataFrame, **options) -> DataFrame:
+    """Documents as a mix takes them (see `materialize`). Ids may repeat or be null: each row is numbered, written with its
+    number, and has its own stretches alone."""
+    rows = stage(docs.withColumn("_row", F.monotonically_increasing_id()), "numbered")
+    _, drawn = mix(rows, row_col="_row", **options)
+    return materialize(rows, drawn, row_col="_row").drop("_row")

@@ -8,6 +8,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+import corpus_pipeline
 from granary.llm import (
     embedding_dedup, encoded_ids, mixing, ngram_join, packing, passage_dedup, spans, suffix_dedup, text,
     token_counts, tokens, top_k, toxicity,
@@ -412,3 +413,24 @@ def test_top_k_beyond_the_first_step_of_a_shard(monkeypatch, low, high):
     for query in (-_rng.integers(1, 50, 6), _rng.integers(-50, 50, 6), np.zeros(6, np.int64)):
         want = sorted((-int(v @ query), i) for i, v in enumerate(values) if i != 3)[:10]
         assert [(-s, i) for s, i in index.search(query, 10, but=3)] == want
+
+
+def test_mix_takes_each_row_for_itself(spark):
+    rows = [
+        (None, prose(700, 31), "en", "s1", 0, 0.5, 7), (None, prose(90, 32), "en", "s1", 0, 0.5, 7), (None, None, "en", "s1", 0, 0.5, 7),
+        *[(1, prose(500, 33), "en", "s1", 0, 0.5, 7)] * 2, (2, prose(400, 34), "en", "s2", 0, 0.5, 7), (3, prose(300, 35), "en", "s3", 0, 0.5, 7),
+    ]
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(3)
+    digest = mixing.mix_digest(docs).collect()
+    assert len(digest) == len(rows) and all(r["taken"] <= 2 * r["size"] for r in digest)
+    by_source = collections.Counter()
+    for r in digest:
+        by_source[r["source_size"], r["target"]] += r["taken"]
+    assert all(abs(n - target) <= 2 * mixing.BLOCK_WORDS for (_, target), n in by_source.items())
+    got = corpus_pipeline.mix_sources(spark, docs, "")
+    assert got.columns == docs.columns
+    taken, texts = 0, {t: set(t.split()) for _, t, *_ in rows if t}
+    for r in got.collect():
+        taken += len(r["text"].split())
+        assert r["n_chars"] == len(r["text"]) and any(set(r["text"].split()) <= held for held in texts.values())
+    assert taken == sum(r["taken"] for r in digest)
