@@ -434,3 +434,35 @@ def test_mix_takes_each_row_for_itself(spark):
         taken += len(r["text"].split())
         assert r["n_chars"] == len(r["text"]) and any(set(r["text"].split()) <= held for held in texts.values())
     assert taken == sum(r["taken"] for r in digest)
+
+
+def test_large_nodes_are_drawn_too(monkeypatch):
+    quotas = np.array([50_000, 300, 0, 7_700])
+    one = [mixing.shard_counts(quotas, 2, 0, seed)[0] for seed in range(400)]
+    monkeypatch.setattr(mixing, "LARGEST_DRAW", 900)
+    shards = [mixing.shard_counts(quotas, 7, s, 1) for s in range(7)]
+    assert (sum(here for here, _ in shards) == quotas).all() and min(here.min() for here, _ in shards) >= 0
+    assert all((shards[i][0] + shards[i][1] == shards[i + 1][1]).all() for i in range(6))
+    many = [mixing.shard_counts(quotas, 2, 0, seed)[0] for seed in range(400)]
+    assert {int(c.sum()) for c in many} == {29_000}
+    # The same spread as one draw has, within what 400 draws tell.
+    spread, want = np.std(many, 0), np.std(one, 0)
+    assert (abs(spread - want) <= 0.2 * want).all() and spread[0] > 10
+
+
+def test_packing_rows_under_each_capacity(spark):
+    lengths = [int(n) for n in _rng.integers(1, 61, 300)]
+    rows = spark.createDataFrame([(i, n) for i, n in enumerate(lengths)], "k long, length long").repartition(3)
+    for limits in ((120, 3, 14_400), (120, 120, 4_000), (120, 3, 4_000)):
+        placed = collections.defaultdict(list)
+        for r in packing.pack(rows, ["k"], *limits).collect():
+            assert r["length"] == lengths[r["k"]]
+            placed[r["sequence_id"]].append((r["offset"], r["length"]))
+        assert sorted(placed) == list(range(len(placed))) and sum(map(len, placed.values())) == 300
+        for held in placed.values():
+            held.sort()
+            assert [o for o, _ in held] == np.cumsum([0, *(n for _, n in held)])[:-1].tolist()
+            assert sum(n for _, n in held) <= limits[0] and len(held) <= limits[1] and sum(n * n for _, n in held) <= limits[2]
+        # They bind: without them fewer sequences do.
+        free = packing.pack(rows, ["k"], limits[0]).agg({"sequence_id": "max"}).first()[0] + 1
+        assert len(placed) > free
