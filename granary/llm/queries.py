@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from granary.llm.embedding_dedup import near_duplicates
 from granary.llm.encoded_ids import encoded_summary, write_encoded
+from granary.llm.merkle import manifest_check
 from granary.llm.mixing import mix_digest
 from granary.llm.ngram_join import jaccard_components
 from granary.llm.packing import pack_documents
@@ -65,10 +66,14 @@ def op10_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest_check(_table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_toxicity, op2_token_counts, op3_suffix_dedup, op4_passage_dedup, op5_ngram_join,
-        op6_encoded_ids, op7_source_mix, op8_embedding_dedup, op9_packing, op10_top_k,
+        op6_encoded_ids, op7_source_mix, op8_embedding_dedup, op9_packing, op10_top_k, op11_merkle_manifest,
     )
     return {f.__name__: f for f in named}
 
@@ -103,8 +108,62 @@ vectors AS (
 """
 
 
+def _crc32(text: str) -> str:
+    """DuckDB SQL for the unsigned crc32 of an ASCII text, bit by bit."""
+    return f"""xor(4294967295::UBIGINT, list_reduce(
+        list_prepend(4294967295::UBIGINT, flatten(list_transform(
+          range(1, len({text}) + 1), lambda i: [ascii(substr({text}, i, 1))::UBIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+        lambda crc, byte: CASE WHEN xor(crc, byte) % 2 = 1 THEN xor(xor(crc, byte) >> 1, 3988292384::UBIGINT) ELSE xor(crc, byte) >> 1 END))"""
+
+
+def _leaf(text: str) -> str:
+    fields = [f"CAST({c} AS VARCHAR)" for c in ("doc_id", "source", "lang", "n_chars", text)]
+    return "sha256(concat({}))".format(", ".join(f"coalesce(strlen({f}) || ':' || {f}, '-')" for f in fields))
+
+
+#: Nodes of the next level, and the siblings of node i (from 1), of a level `nodes`.
+_RUNS = "list_transform(range(1, len(nodes) + 1, 3), lambda i: sha256(array_to_string(nodes[i:i + 2], '')))"
+
+_MERKLE = f"""
+WITH RECURSIVE leaves AS (
+  SELECT doc_id, source, {_leaf("text")} AS leaf,
+    CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf("text")} END AS now
+  FROM documents),
+placed AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id, leaf) AS place FROM leaves),
+levels AS (
+  SELECT source, 0 AS height, list(leaf ORDER BY place) AS nodes FROM placed GROUP BY source
+  UNION ALL SELECT source, height + 1, {_RUNS} FROM levels WHERE len(nodes) > 1),
+subroots AS (
+  SELECT source, nodes[1] AS subroot, row_number() OVER (ORDER BY source NULLS FIRST) AS place FROM levels WHERE len(nodes) = 1),
+tops AS (
+  SELECT 0 AS height, list(subroot ORDER BY place) AS nodes FROM subroots
+  UNION ALL SELECT height + 1, {_RUNS} FROM tops WHERE len(nodes) > 1),
+walk AS (
+  SELECT doc_id, source, leaf, 0 AS top, 0 AS height, place - 1 AS at, '' AS proof, now AS folded FROM placed
+  UNION ALL
+  SELECT w.doc_id, w.source, w.leaf,
+    CASE WHEN w.top = 0 AND len(l.nodes) = 1 THEN 1 ELSE w.top END,
+    CASE WHEN w.top = 0 AND len(l.nodes) = 1 THEN 0 ELSE w.height + 1 END,
+    CASE WHEN len(l.nodes) = 1 THEN s.place - 1 ELSE w.at // 3 END,
+    CASE WHEN len(l.nodes) = 1 THEN w.proof ELSE concat(w.proof, array_to_string(l.nodes[w.at // 3 * 3 + 1:w.at], ''),
+      array_to_string(l.nodes[w.at + 2:w.at // 3 * 3 + 3], '')) END,
+    CASE WHEN len(l.nodes) = 1 THEN w.folded ELSE sha256(concat(array_to_string(l.nodes[w.at // 3 * 3 + 1:w.at], ''), w.folded,
+      array_to_string(l.nodes[w.at + 2:w.at // 3 * 3 + 3], ''))) END
+  FROM walk w
+  JOIN (SELECT 0 AS top, source, height, nodes FROM levels UNION ALL SELECT 1, NULL, height, nodes FROM tops) l
+    ON l.top = w.top AND l.height = w.height AND (w.top = 1 OR l.source IS NOT DISTINCT FROM w.source)
+  JOIN subroots s ON s.source IS NOT DISTINCT FROM w.source
+  WHERE NOT (w.top = 1 AND len(l.nodes) = 1))
+SELECT w.doc_id, w.leaf, s.subroot, t.nodes[1] AS root, sha256(w.proof) AS proof_sha256, w.folded AS folded_root,
+  w.folded = t.nodes[1] AS verified
+FROM walk w JOIN tops t ON w.top = 1 AND t.height = w.height AND len(t.nodes) = 1
+JOIN subroots s ON s.source IS NOT DISTINCT FROM w.source
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
+        "op11_merkle_manifest": _MERKLE,
         "op5_ngram_join": f"""
             WITH RECURSIVE {_SHINGLES}
             SELECT doc_id, len(s) AS n_shingles, component_id
