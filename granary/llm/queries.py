@@ -13,6 +13,8 @@ from granary.llm.mixing import mix_digest
 from granary.llm.ngram_join import jaccard_components
 from granary.llm.packing import pack_documents
 from granary.llm.passage_dedup import near_duplicate_passages
+from granary.llm.quality import quality_scores
+from granary.llm.repair import repair_digest
 from granary.llm.suffix_dedup import repeated_passages
 from granary.llm.token_counts import count_tokens
 from granary.llm.top_k import top_k
@@ -70,10 +72,19 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest_check(_table(spark, sf_dir, "documents"))
 
 
+def op12_line_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op13_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repair_digest(_table(spark, sf_dir, "conversations"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     named = (
         op1_toxicity, op2_token_counts, op3_suffix_dedup, op4_passage_dedup, op5_ngram_join,
         op6_encoded_ids, op7_source_mix, op8_embedding_dedup, op9_packing, op10_top_k, op11_merkle_manifest,
+        op12_line_quality, op13_conversation_repair,
     )
     return {f.__name__: f for f in named}
 
@@ -160,9 +171,74 @@ FROM walk w JOIN tops t ON w.top = 1 AND t.height = w.height AND len(t.nodes) =
 JOIN subroots s ON s.source IS NOT DISTINCT FROM w.source
 """
 
+#: Best (cost, audit, repaired rows) per state after each row, over all edits of the row: no halving, no ranks.
+_REPAIR = f"""
+WITH RECURSIVE made AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+    {_crc32("concat(coalesce(CAST(conv_id AS VARCHAR), ' '), ':', coalesce(CAST(turn AS VARCHAR), ' '))")} % 20 AS kind
+  FROM conversations),
+damaged AS (
+  SELECT conv_id, turn, CASE WHEN kind = 4 THEN 'user' ELSE role END AS role,
+    CASE WHEN kind = 1 THEN '' WHEN kind = 2 THEN regexp_replace(text, '[.!?]', '', 'g') ELSE text END AS text,
+    unnest(CASE WHEN kind = 3 THEN [0, 1] ELSE [0] END) AS copy
+  FROM made WHERE kind <> 0),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, sha256(concat(strlen(role), ':', role, text)), copy) AS place FROM damaged),
+rows_ AS (
+  SELECT *, substr(role, 1, 1) AS initial, lag(substr(role, 1, 1)) OVER (PARTITION BY conv_id ORDER BY place) AS before,
+    CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'blank'
+      WHEN row_number() OVER (PARTITION BY conv_id, role, text ORDER BY place) > 1 THEN 'duplicate'
+      WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*$') THEN 'truncated' ELSE 'fine' END AS fault
+  FROM placed),
+next_(state, role, after) AS (VALUES (0, 'user', 2), (1, 'user', 2), (2, 'assistant', 3), (3, 'user', 2)),
+-- Rows inserted before a row: none, one or two.
+inserts AS (
+  SELECT state, 0 AS cost, '' AS edits, []::VARCHAR[] AS added, state AS after FROM next_
+  UNION ALL SELECT state, 3, 'I', [role || ':'], after FROM next_
+  UNION ALL SELECT a.state, 6, 'II', [a.role || ':', b.role || ':'], b.after FROM next_ a JOIN next_ b ON b.state = a.after),
+walk AS (
+  SELECT conv_id, 0::BIGINT AS place, 0 AS state, {{'cost': 0, 'audit': '', 'lines': []::VARCHAR[]}} AS best
+  FROM rows_ WHERE place = 1
+  UNION ALL
+  SELECT r.conv_id, r.place, e.after, min({{
+      'cost': w.best.cost + i.cost + e.cost + CASE WHEN r.fault = 'truncated' AND e.letter <> 'D' THEN 3 ELSE 0 END,
+      'audit': concat(w.best.audit, i.edits, e.letter),
+      'lines': list_concat(list_concat(w.best.lines, i.added), CASE e.letter WHEN 'D' THEN []::VARCHAR[] WHEN 'R' THEN [n.role || ':' || r.text]
+        ELSE [r.role || ':' || r.text] END)}})
+  FROM walk w
+  JOIN rows_ r ON r.conv_id IS NOT DISTINCT FROM w.conv_id AND r.place = w.place + 1
+  JOIN inserts i ON i.state = w.state
+  JOIN next_ n ON n.state = i.after
+  CROSS JOIN LATERAL (
+    SELECT 'D' AS letter, 4 AS cost, n.state AS after
+    UNION ALL SELECT 'R', 3, n.after WHERE r.fault IN ('fine', 'truncated')
+    UNION ALL SELECT 'K', 0, n.after WHERE r.fault IN ('fine', 'truncated') AND r.initial = substr(n.role, 1, 1)
+    UNION ALL SELECT 'K', 0, 1 WHERE r.fault IN ('fine', 'truncated') AND r.initial = 's' AND n.state = 0) e
+  GROUP BY r.conv_id, r.place, e.after),
+counts AS (
+  SELECT conv_id, max(place) AS n, coalesce(max(turn) - min(turn) + 1 - count(DISTINCT turn), 0) AS gaps,
+    count(*) FILTER (fault = 'blank') AS blank, count(*) FILTER (fault = 'duplicate') AS duplicate,
+    count(*) FILTER (fault = 'truncated') AS truncated,
+    count(*) FILTER (place > 1 AND concat(before, initial) NOT IN ('su', 'ua', 'au')) AS illegal
+  FROM rows_ GROUP BY conv_id),
+done AS (
+  SELECT w.conv_id, min({{
+      'cost': w.best.cost + i.cost, 'audit': concat(w.best.audit, i.edits), 'lines': list_concat(w.best.lines, i.added)}}) AS best
+  FROM walk w JOIN counts c ON c.conv_id IS NOT DISTINCT FROM w.conv_id AND c.n = w.place
+  JOIN inserts i ON i.state = w.state AND (i.after = 3 OR (i.after = 0 AND i.cost = 0))
+  GROUP BY w.conv_id)
+SELECT g.conv_id, coalesce(gaps, 0) AS gaps, coalesce(blank, 0) AS blank, coalesce(duplicate, 0) AS duplicate,
+  coalesce(truncated, 0) AS truncated, coalesce(illegal, 0) AS illegal, coalesce(best.cost, 0)::BIGINT AS cost,
+  coalesce(best.audit, '') AS audit, sha256(coalesce(array_to_string(best.lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id FROM conversations) g
+LEFT JOIN counts c ON c.conv_id IS NOT DISTINCT FROM g.conv_id
+LEFT JOIN done d ON d.conv_id IS NOT DISTINCT FROM g.conv_id
+"""
+
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op13_conversation_repair": _REPAIR,
         "op11_merkle_manifest": _MERKLE,
         "op5_ngram_join": f"""
             WITH RECURSIVE {_SHINGLES}
