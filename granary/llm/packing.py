@@ -8,6 +8,7 @@ giving each piece the place that its rank among the pieces of its length has in
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -21,6 +22,49 @@ from granary.llm.tokens import public_path, word_tokenizer
 from granary.staging import stage
 
 
+#: Bytes of ids a worker holds before it hands on a batch.
+BATCH_BYTES = 4 << 20
+
+
+def _cut(
+    docs: DataFrame, length: int, tokenizer: str, end_id: int | None, id_col: str, text_col: str, digest: bool
+) -> DataFrame:
+    """Pieces with their ids, or with the ids' crc32: then ids never leave the worker."""
+    ship(docs.sparkSession)
+    end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+    name, kind = ("ids_crc32", pa.int64()) if digest else ("ids", pa.binary())
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        library = word_tokenizer(public_path(tokenizer) if "/" not in tokenizer else tokenizer)
+        step = 4 * length
+        for batch in batches:
+            kinds = (batch.column(0).type, pa.int32(), pa.int64(), pa.int64(), kind)
+
+            def taken(columns: list[list]) -> pa.RecordBatch:
+                return pa.RecordBatch.from_arrays(
+                    [pa.array(c, k) for c, k in zip(columns, kinds)], [id_col, "piece", "start", "length", name]
+                )
+
+            columns, held = [[], [], [], [], []], 0
+            for key, found in zip(batch.column(0).to_pylist(), library.encode_all(batch.column(1))):
+                ids = found.tobytes() + end
+                for number, at in enumerate(range(0, len(ids), step)):
+                    piece = ids[at: at + step]
+                    value = zlib.crc32(piece) if digest else piece
+                    for column, cell in zip(columns, (key, number, at // 4, len(piece) // 4, value)):
+                        column.append(cell)
+                held += len(ids)
+                if held >= BATCH_BYTES:
+                    yield taken(columns)
+                    columns, held = [[], [], [], [], []], 0
+            yield taken(columns)
+
+    key_kind = docs.schema[id_col].dataType.simpleString()
+    return docs.select(id_col, text_col).mapInArrow(
+        cut, f"`{id_col}` {key_kind}, piece int, start long, length long, {name} {'long' if digest else 'binary'}"
+    )
+
+
 def piece_ids(
     docs: DataFrame,
     length: int = 2048,
@@ -35,29 +79,19 @@ def piece_ids(
     Only longer documents are cut; the last piece may be shorter. Null and empty texts have the end id
     alone (no piece if there is none). Repeated rows make repeated pieces.
     """
-    ship(docs.sparkSession)
-    end = b"" if end_id is None else int(end_id).to_bytes(4, "little")
+    return _cut(docs, length, tokenizer, end_id, id_col, text_col, False)
 
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        library = word_tokenizer(public_path(tokenizer) if "/" not in tokenizer else tokenizer)
-        step = 4 * length
-        for batch in batches:
-            columns = [[], [], [], [], []]
-            for key, found in zip(batch.column(0), library.encode_all(batch.column(1))):
-                ids = found.tobytes() + end
-                for number, at in enumerate(range(0, len(ids), step)):
-                    piece = ids[at: at + step]
-                    for column, value in zip(columns, (key.as_py(), number, at // 4, len(piece) // 4, piece)):
-                        column.append(value)
-            kinds = (batch.column(0).type, pa.int32(), pa.int64(), pa.int64(), pa.binary())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(columns, kinds)], [id_col, "piece", "start", "length", "ids"]
-            )
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    return docs.select(id_col, text_col).mapInArrow(
-        cut, f"`{id_col}` {kind}, piece int, start long, length long, ids binary"
-    )
+def piece_digests(
+    docs: DataFrame,
+    length: int = 2048,
+    tokenizer: str = "word_bpe_49k.json",
+    end_id: int | None = 0,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """As `piece_ids`, with ids_crc32 (unsigned) in place of the ids."""
+    return _cut(docs, length, tokenizer, end_id, id_col, text_col, True)
 
 
 def plan_bins(
@@ -172,7 +206,4 @@ def pack(
 
 def pack_documents(docs: DataFrame, length: int = 2048, **options) -> DataFrame:
     """Digest of packed documents: (doc_id, piece, start, length, ids_crc32, sequence_id, offset)."""
-    found = piece_ids(docs, length, **options).select(
-        "doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")
-    )
-    return pack(found, ["doc_id", "piece"], capacity=length)
+    return pack(piece_digests(docs, length, **options), ["doc_id", "piece"], capacity=length)

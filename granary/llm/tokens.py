@@ -2,13 +2,14 @@
 
 The word tokenizer drops white space and never joins across it, so a text's ids are those
 of its white-space separated parts one after the other. Texts are taken in slices of about
-SLICE_BYTES; each different part of a slice is looked at once. Parts also repeat between slices, so
-each Python worker keeps the ids of up to CACHE_PARTS parts; beyond that, parts are encoded
+SLICE_BYTES; each different part of a slice is looked at once. The lower-cased pieces of parts also repeat between slices, so
+each Python worker keeps the ids of pieces until they take CACHE_BYTES; beyond that, pieces are encoded
 again in each slice.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import sys
 from array import array
@@ -21,13 +22,27 @@ import regex
 
 from granary.llm.text import buffers, slices
 
-CACHE_PARTS = 700_000
-SLICE_BYTES = 8 << 20
+#: Memory a worker spends on remembered pieces, at ENTRY_BYTES a piece besides its letters and ids.
+CACHE_BYTES = 80 << 20
+ENTRY_BYTES = 190
+SLICE_BYTES = 4 << 20
 
 # Characters whose lower-casing, normal form and class do not differ between libraries.
 _PLAIN = re.compile("[!-~¡-¬®-į]+").fullmatch
-# The splitting pattern of the public file word_bpe_49k.json.
-_PIECES = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
+# The splitting pattern of the public file word_bpe_49k.json, and the settings that go with it.
+_SPLIT = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_NORMALIZER = {
+    "type": "Sequence",
+    "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}],
+}
+_PRE_TOKENIZER = {
+    "type": "Sequence",
+    "pretokenizers": [
+        {"type": "Split", "pattern": {"Regex": _SPLIT}, "behavior": "Removed", "invert": True},
+        {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+    ],
+}
+_PIECES = regex.compile(_SPLIT).findall
 _SPACES = np.arange(256, dtype=np.uint8)
 _SPACES[[0x09, 0x0A, 0x0D]] = 0x20
 
@@ -40,7 +55,10 @@ def _byte_letters() -> dict[int, str]:
 
 
 class WordTokenizer:
-    """Ids of texts as little-endian unsigned 32-bit integers, without special tokens added."""
+    """Ids of texts as little-endian unsigned 32-bit integers, without special tokens added.
+
+    Files that split or normalise in another way than the public word tokenizer go through the library whole.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -48,10 +66,14 @@ class WordTokenizer:
         self.library = Tokenizer.from_file(path)
         self.library.no_truncation()
         self.library.no_padding()
+        spec = json.loads(self.library.to_str())
+        self.by_parts = (spec["normalizer"], spec["pre_tokenizer"]) == (_NORMALIZER, _PRE_TOKENIZER) and all(
+            added["special"] and added["content"].startswith("<|") for added in spec["added_tokens"]
+        )
         self.tokenize = self.library.model.tokenize
         self.letters = _byte_letters()
-        self.parts: dict[str, bytes] = {"": b""}
-        self.pieces: dict[str, bytes] = {}
+        self.pieces: dict[str, bytes] = {"": b""}
+        self.room = CACHE_BYTES
 
     def encode(self, text: str) -> bytes:
         return next(self.encode_all(pa.array([text]))).tobytes()
@@ -59,7 +81,11 @@ class WordTokenizer:
     def encode_all(self, texts: pa.Array) -> Iterator[np.ndarray]:
         """Ids of each text; null counts as empty."""
         for a, z in slices(texts, SLICE_BYTES):
-            yield from self._slice(texts[a:z])
+            if self.by_parts:
+                yield from self._slice(texts[a:z])
+            else:
+                for text in texts[a:z].to_pylist():
+                    yield np.array(self.library.encode(text or "", add_special_tokens=False).ids, "<u4")
 
     def _slice(self, texts: pa.Array) -> Iterator[np.ndarray]:
         raw, offsets = buffers(texts)
@@ -69,7 +95,8 @@ class WordTokenizer:
         )
         split = pc.split_pattern(spaced, " ")
         parts = split.flatten().dictionary_encode()
-        known, part = self.parts, self._part
+        known, part = self.pieces, self._part
+        # A part that is a known piece with nothing to lower-case is looked up at once.
         found = [known[p] if p in known else part(p) for p in parts.dictionary.to_pylist()]
         flat = np.frombuffer(b"".join(found), "<u4")
         sizes = np.fromiter(map(len, found), np.int64, len(found)) // 4
@@ -87,14 +114,10 @@ class WordTokenizer:
         if part.isascii() and part[:-1].isalpha() and " " < part[-1] < "\x7f":
             # Letters, then a letter or one other sign, which is a piece of its own.
             low = part.lower()
-            ids = self._pieces((low,) if low.isalpha() else (low[:-1], low[-1]))
-        elif _PLAIN(part) and "<|" not in part:
-            ids = self._pieces(_PIECES(part.lower()))
-        else:
-            ids = _packed(self.library.encode(part, add_special_tokens=False).ids)
-        if len(self.parts) < CACHE_PARTS:
-            self.parts[part] = ids
-        return ids
+            return self._pieces((low,) if low.isalpha() else (low[:-1], low[-1]))
+        if _PLAIN(part) and "<|" not in part:
+            return self._pieces(_PIECES(part.lower()))
+        return _packed(self.library.encode(part, add_special_tokens=False).ids)
 
     def _pieces(self, found: tuple[str, ...] | list[str]) -> bytes:
         known = self.pieces
@@ -103,7 +126,8 @@ class WordTokenizer:
     def _piece(self, piece: str) -> bytes:
         letters = piece if piece.isascii() else piece.encode().decode("latin-1").translate(self.letters)
         ids = _packed([t.id for t in self.tokenize(letters)])
-        if len(self.pieces) < CACHE_PARTS:
+        if self.room > 0:
+            self.room -= ENTRY_BYTES + 2 * len(piece) + len(ids)
             self.pieces[piece] = ids
         return ids
 

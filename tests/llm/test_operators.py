@@ -466,3 +466,45 @@ def test_packing_rows_under_each_capacity(spark):
         # They bind: without them fewer sequences do.
         free = packing.pack(rows, ["k"], limits[0]).agg({"sequence_id": "max"}).first()[0] + 1
         assert len(placed) > free
+
+
+def test_foreign_tokenizer_files_go_through_the_library(tmp_path, spark, docs):
+    import json
+    import os
+
+    plain = tokens.public_path("word_bpe_49k.json")
+    spec = json.load(open(plain))
+    spec["pre_tokenizer"]["pretokenizers"][0]["pattern"]["Regex"] = r"[\p{L}\p{N}]+|[^\s\p{L}\p{N}]+"
+    path = os.path.join(tmp_path, "other.json")
+    json.dump(spec, open(path, "w"))
+    assert tokens.WordTokenizer(plain).by_parts and not tokens.WordTokenizer(path).by_parts
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(path)
+    got = collections.defaultdict(list)
+    for r in packing.piece_ids(docs, 64, path, end_id=None).collect():
+        got[r["doc_id"]].append((r["start"], np.frombuffer(r["ids"], "<u4").tolist()))
+    for i, value in TEXTS.items():
+        assert sum((ids for _, ids in sorted(got[i])), []) == library.encode(value or "", add_special_tokens=False).ids
+
+
+def test_packed_pieces_equal_the_library(docs):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(tokens.public_path("word_bpe_49k.json"))
+    want = []
+    for i, value in [*TEXTS.items(), (None, "no id")]:
+        ids = [*library.encode(value or "", add_special_tokens=False).ids, 0]
+        for piece, at in enumerate(range(0, len(ids), 2048)):
+            part = ids[at: at + 2048]
+            want.append((i, piece, at, len(part), zlib.crc32(np.array(part, "<u4").tobytes())))
+    got = packing.pack_documents(docs).select("doc_id", "piece", "start", "length", "ids_crc32").collect()
+    assert sorted(map(tuple, got), key=str) == sorted(want, key=str)
+
+
+def test_cache_of_pieces_is_bounded(monkeypatch):
+    monkeypatch.setattr(tokens, "CACHE_BYTES", 2000)
+    own = tokens.WordTokenizer(tokens.public_path("word_bpe_49k.json"))
+    value = prose(3000, 77)
+    assert own.encode(value) == own.encode(value) == np.array(own.library.encode(value, add_special_tokens=False).ids, "<u4").tobytes()
+    assert len(own.pieces) <= 12
