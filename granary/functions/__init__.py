@@ -5,7 +5,6 @@ from granary.functions.parsing import (
     calendar_text,
     daily_file_name,
     file_date,
-    is_json_object,
     json_line,
     price_file,
     pricing_date,
@@ -18,7 +17,6 @@ __all__ = [
     "calendar_text",
     "daily_file_name",
     "file_date",
-    "is_json_object",
     "json_line",
     "load_time",
     "price_file",

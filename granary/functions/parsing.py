@@ -60,8 +60,3 @@ def table_folder(table: str) -> str:
 def json_line(*columns: Column | str) -> Column:
     """One JSON text line per row."""
     return F.to_json(F.struct(*(columns or ("*",))))
-
-
-def is_json_object(text: Column | str) -> Column:
-    """True where the text is a JSON object, not a list, scalar or broken text."""
-    return F.json_object_keys(text).isNotNull()

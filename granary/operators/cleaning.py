@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from granary import schemas as S
@@ -34,18 +34,47 @@ def clean_daily_pricing(raw: DataFrame, as_of: dt.datetime | str | None = None)
     return stamped(raw.select(*columns, "source_file_load_date"), as_of)
 
 
-def rejected_values(raw: DataFrame) -> DataFrame:
-    """Landed rows with a value that cleaning turned into NULL.
-
-    `rejected_columns` names the offending columns; `source_file_load_date` is
-    among them when it is missing, since such a row never passes a watermark.
-    """
+def _failed(raw: DataFrame) -> dict[str, Column]:
     failed = {
         name.lower(): F.col(name).isNotNull() & parsed.isNull()
         for name, parsed in _typed().items()
     }
     if "source_file_load_date" in raw.columns:
         failed["source_file_load_date"] = F.col("source_file_load_date").isNull()
+    return failed
+
+
+def split_outcomes(
+    raw: DataFrame, as_of: dt.datetime | str | None = None, keep: tuple[str, ...] = (), seen: Observation | None = None
+) -> DataFrame:
+    """Typed rows and rejects in one pass over `raw`: a row per landed row with outcome "typed", as `clean_daily_pricing`
+    gives it, and one with outcome "rejected" for each that `rejected_values` lists.
+
+    Rejects carry `landed`, the text as it came, and `rejected_columns`; typed rows have NULL there. `keep` names columns to
+    carry along. `seen` observes rows_read and rows_rejected while the result is written.
+    """
+    names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in _failed(raw).items()]))
+    columns = [_typed().get(name, F.col(name)).alias(name.lower()) for name in S.PRICING_COLUMNS]
+    landed = F.struct(*[F.col(c) for c in S.LANDED_PRICING.fieldNames()])
+    rows = stamped(raw.select(*columns, "source_file_load_date", landed.alias("_landed"), names.alias("_names"), *keep), as_of)
+    if seen is not None:
+        bad = F.count_if(F.size("_names") > 0)
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("rows_read"), bad.alias("rows_rejected"))
+    outcomes = F.when(F.size("_names") > 0, F.array(F.lit("typed"), F.lit("rejected"))).otherwise(F.array(F.lit("typed")))
+    rows = rows.withColumn("outcome", F.explode(outcomes))
+    rejected = F.col("outcome") == "rejected"
+    return rows.withColumns(
+        {"landed": F.when(rejected, F.col("_landed")), "rejected_columns": F.when(rejected, F.col("_names"))}
+    ).drop("_landed", "_names")
+
+
+def rejected_values(raw: DataFrame) -> DataFrame:
+    """Landed rows with a value that cleaning turned into NULL.
+
+    `rejected_columns` names the offending columns; `source_file_load_date` is
+    among them when it is missing, since such a row never passes a watermark.
+    """
+    failed = _failed(raw)
     names = [F.when(bad, F.lit(name)) for name, bad in failed.items()]
     rejected = raw.where(reduce(lambda a, b: a | b, failed.values()))
     return rejected.withColumn("rejected_columns", F.array_compact(F.array(*names)))

@@ -62,7 +62,7 @@ def incremental_rows(
 ) -> DataFrame:
     """Rows of `src` loaded after the watermark of `process`.
 
-    Rows without a load stamp never qualify. The constant takes the type of the
+    Rows without a load stamp never qualify; `unstamped_rows` lists them. The constant takes the type of the
     column, so the comparison can be pushed to the files. `batch_column` names a
     partition column holding `load_batch`; with it older partitions are not even
     listed.
@@ -74,6 +74,19 @@ def incremental_rows(
     return src.where(F.col(column) > stamp)
 
 
+def unstamped_rows(src: DataFrame, column: str = "source_file_load_date") -> DataFrame:
+    """Rows that no watermark ever takes, as they have no load stamp: the side output of `incremental_rows`."""
+    return src.where(F.col(column).isNull())
+
+
+def with_counts(
+    entry: DataFrame, read: int | None = None, written: int | None = None, rejected: int | None = None
+) -> DataFrame:
+    """A run-log row with what its step has counted."""
+    counts = {"rows_read": read, "rows_written": written, "rows_rejected": rejected}
+    return entry.withColumns({name: F.lit(n).cast("long") for name, n in counts.items()})
+
+
 def open_batches(log: DataFrame, landing: str, process: str, after: str | None = None) -> list[int]:
     """Load batches that `process` has yet to take, from the run log alone.
 

@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -23,6 +23,41 @@ def lookup(fact: DataFrame, dim: DataFrame, keys: list[str], take: list[str]) ->
     return fact.join(dim.select(*keys, *take), list(keys), "left")
 
 
+def validity(versions: DataFrame, keys: list[str], take: list[str], start: str) -> DataFrame:
+    """Versions as spans without gap or overlap: (keys, take, _from, _to). The first of a key reaches back without end
+    (_from is NULL), the last on without end. Of versions that start at once the one with the largest `take` counts."""
+    once = versions.groupBy(*keys, start).agg(F.max(F.struct(*take)).alias("_take"))
+    in_order = Window.partitionBy(*keys).orderBy(start)
+    return once.select(
+        *keys, *[F.col("_take")[c].alias(c) for c in take],
+        F.when(F.row_number().over(in_order) > 1, F.col(start)).alias("_from"), F.lead(start).over(in_order).alias("_to"),
+    )
+
+
+def lookup_as_of(
+    fact: DataFrame,
+    versions: DataFrame,
+    keys: list[str],
+    take: list[str],
+    at: str,
+    start: str,
+    null_safe: tuple[str, ...] = (),
+) -> DataFrame:
+    """Left join: `fact` with `take` of the version of equal `keys` that held at `at`.
+
+    That is the last version started by then, else the first one started after; a row without a time takes the last. Keys in
+    `null_safe` equal NULL for NULL. Every row meets one span of its key at most, so none is multiplied: an equality
+    join with a residual on two stamps, which Spark can broadcast, sort and split like any other.
+    """
+    spans = validity(versions, keys, take, start)
+    spans = spans.select(*[F.col(c).alias(f"_{c}") for c in keys], *take, "_from", "_to")
+    time = F.coalesce(F.col(at), F.lit("9999-12-31").cast("timestamp"))
+    match = (F.col("_from").isNull() | (time >= F.col("_from"))) & (F.col("_to").isNull() | (time < F.col("_to")))
+    for c in keys:
+        match = match & (F.col(c).eqNullSafe(F.col(f"_{c}")) if c in null_safe else F.col(c) == F.col(f"_{c}"))
+    return fact.join(spans, match, "left").drop("_from", "_to", *[f"_{c}" for c in keys])
+
+
 def pairs_equal(left: str, right: str, keys: list[tuple[str, str]]) -> Column:
     return reduce(
         lambda a, b: a & b, (F.col(f"{left}.{l}") == F.col(f"{right}.{r}") for l, r in keys)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from granary import schemas as S
@@ -48,6 +48,21 @@ def _weather(weather: DataFrame) -> DataFrame:
     )
 
 
+#: Parts of one market and day, so that a hot one is no single task's: prices fall into one each, its context is copied to all.
+SALTS = 8
+
+_LAYOUT = ["_state_key", "_market_key", "_day_key", "_nulls", "_part"]
+
+
+def _keyed(rows: DataFrame, part: Column) -> DataFrame:
+    """Adds _LAYOUT: state, market and day as keys that equal NULL for NULL, and the part."""
+    nulls = sum((F.when(F.col(c).isNull(), bit).otherwise(0) for c, bit in (("state_name", 1), ("market_name", 2), ("date_of_pricing", 4))), F.lit(0))
+    return rows.withColumns({
+        "_state_key": F.coalesce("state_name", F.lit("")), "_market_key": F.coalesce("market_name", F.lit("")),
+        "_day_key": F.coalesce("date_of_pricing", F.lit("0001-01-01").cast("date")), "_nulls": nulls, "_part": part,
+    })
+
+
 def price_weather_report(
     silver: DataFrame,
     geo: DataFrame,
@@ -56,46 +71,49 @@ def price_weather_report(
 ) -> DataFrame:
     """Distinct rows of prices ⟗ locations (state and market) ⟗ weather (market and day).
 
-    Built so that the price table, the large one, is shuffled at most once:
+    Built so that the price table, the large one, is shuffled once and scanned twice:
 
-    * Duplicates go before the joins. A price row fixes its keys, so distinct
-      prices joined with distinct locations and distinct weather are distinct,
-      and copies neither travel through the joins nor multiply in them.
-    * Locations and weather are joined from the left, so their size decides whether
-      that happens map-side. They are read twice and should be tables.
-    * Rows without a price come from anti joins against the price keys, of which
-      there are as many as markets and days. Only these rows, and the one price
-      row that may be NULL throughout, can still coincide, so the last distinct
-      runs over them alone.
+    * One scan gives the price keys, of which there are as many as states, markets and days, and whether there is a price
+      row that is NULL throughout. Locations and weather are joined to the keys, not to the prices.
+    * Prices are then laid out by (state, market, day, part). A row fixes all of these, so the distinct and the join with the keys'
+      context both find that layout and add no exchange; the parts spread a hot market and day. A price row fixes its
+      keys, so distinct prices joined with distinct contexts are distinct.
+    * Rows without a price come from anti joins against the keys. Only these rows can still coincide, so the last
+      distinct runs over them alone.
 
     Weather is matched by market name only, as is the state of a location row
     without a price: markets of the same name share their weather. A day that
     does not parse matches no price.
     """
-    places = _locations(geo)
-    days = _weather(weather)
+    places = _locations(geo).distinct()
+    days = _weather(weather).distinct()
     has_value = reduce(lambda a, b: a | b, (F.col(c).isNotNull() for c in _PRICE))
 
     prices = silver.select(*_PRICE)
-    priced = (
-        prices.where(has_value).distinct().alias("l")
-        .join(places.distinct().alias("r"), pairs_equal("l", "r", _GEO_KEYS), "left")
-        .select("l.*", *_GEO_TAKE)
+    keys = stage(prices.select("state_name", "market_name", "date_of_pricing", has_value.alias("_some")).distinct(), "price-keys")
+    named = keys.where("_some").drop("_some")
+    context = (
+        named.alias("l")
+        .join(places.alias("r"), pairs_equal("l", "r", _GEO_KEYS), "left").select("l.*", *_GEO_TAKE)
         .alias("l")
-        .join(days.distinct().alias("r"), pairs_equal("l", "r", _WEATHER_KEYS), "left")
-        .select("l.*", *_WEATHER_TAKE)
+        .join(days.alias("r"), pairs_equal("l", "r", _WEATHER_KEYS), "left").select("l.*", *_GEO_TAKE, *_WEATHER_TAKE)
     )
+    every_part = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)).cast("array<bigint>"))
+    parted = _keyed(context, every_part).select(*_LAYOUT, *_GEO_TAKE, *_WEATHER_TAKE)
+    one_part = F.pmod(F.xxhash64(*_PRICE), F.lit(SALTS))
+    laid_out = _keyed(prices.where(has_value), one_part).repartition(*_LAYOUT).distinct()
+    priced = laid_out.join(parted, _LAYOUT, "left").select(*_PRICE, *_GEO_TAKE, *_WEATHER_TAKE)
 
-    keys = stage(prices.select("state_name", "market_name", "date_of_pricing").distinct(), "price-keys")
+    nothing = [F.lit(None).cast(silver.schema[c].dataType).alias(c) for c in _PRICE]
     unpriced = (
-        unmatched_right(keys, places, _GEO_KEYS).select(*_GEO_TAKE)
+        unmatched_right(named, places, _GEO_KEYS).select(*_GEO_TAKE)
         .unionByName(
-            unmatched_right(keys, days, _WEATHER_KEYS).select(*_WEATHER_TAKE),
+            unmatched_right(named, days, _WEATHER_KEYS).select(*_WEATHER_TAKE),
             allowMissingColumns=True,
         )
-        .unionByName(prices.where(~has_value), allowMissingColumns=True)
+        .unionByName(keys.where("not _some").select(*nothing), allowMissingColumns=True)
         .distinct()
     )
-    report = priced.unionByName(unpriced)
+    report = priced.unionByName(unpriced, allowMissingColumns=True)
     stamped_report = stamped(report, as_of, ("lakehouse_inserted_date", "lakehouse_updated_date"))
     return stamped_report.select(*S.PRICE_WEATHER_REPORT.fieldNames())

@@ -11,16 +11,17 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from granary import schemas as S
-from granary.functions import load_time
+from granary.functions import load_time, stamped
 from granary.operators import cleaning, control, dimensions, facts, history, merging
 from granary.plans import lakehouse as names
-from granary.plans.lakehouse import LOAD_BATCH, Lakehouse
-from granary.sinks.tables import add_columns
+from granary.operators.ids import highest_id
+from granary.plans.lakehouse import BUCKET, CLOSED_BY, LOAD_BATCH, Lakehouse, bucket
 from granary.sources.daily_csv import daily_files, read_daily_files
+from granary.staging import stage, stage_counted
 
 AsOf = dt.datetime | str | None
 
@@ -64,11 +65,17 @@ def ingest_prices(
         batch = _new_batch(lake, as_of)
         stamp = F.timestamp_micros(F.lit(batch))
         rows = read_daily_files(lake.spark, sorted(row["path"] for row in files), on_drift)
+        seen = Observation()
+        rows = rows.observe(seen, *[F.count_if(F.col("file_date") == F.lit(d)).alias(str(d)) for d in sorted({r["file_date"] for r in files})])
         landed = rows.withColumns({"source_file_load_date": stamp, LOAD_BATCH: F.lit(batch)})
-        add_columns(names.BRONZE, landed)
+        lake.add_columns(names.BRONZE, landed)
         lake.replace_batches(landed, names.BRONZE)
-        dates = lake.spark.createDataFrame(sorted({(row["file_date"],) for row in files}), "day date")
-        done(control.run_entries(dates, S.PROCESS_INGEST, S.STATUS_COMPLETED, as_of, stamp))
+        counts = [(dt.date.fromisoformat(day), n) for day, n in seen.get.items()]
+        dates = lake.spark.createDataFrame(counts, "day date, rows long")
+        entries = control.run_entries(dates.select("day"), S.PROCESS_INGEST, S.STATUS_COMPLETED, as_of, stamp)
+        done(entries.join(dates.withColumnRenamed("day", "processed_file_table_date"), "processed_file_table_date").withColumns(
+            {"rows_read": F.col("rows"), "rows_written": F.col("rows")}
+        ).drop("rows"))
     return len(files)
 
 
@@ -82,40 +89,90 @@ def load_silver(lake: Lakehouse, as_of: AsOf = None) -> None:
         batches = _open(lake, S.PROCESS_SILVER, S.PROCESS_INGEST)
         if not batches:
             return done(None)
-        landed = lake.batches(names.BRONZE, batches)
-        typed = cleaning.clean_daily_pricing(landed, as_of)
-        lake.replace_batches(typed.withColumn(LOAD_BATCH, control.load_batch()), names.SILVER)
-        kept = [*S.LANDED_PRICING.fieldNames(), LOAD_BATCH]
-        lake.replace_batches(cleaning.rejected_values(landed.select(*kept)), names.REJECTED)
-        done(control.covered(lake.spark, S.PROCESS_SILVER, batches[-1], as_of))
+        read, rejected = type_batches(lake, batches, as_of)
+        entry = control.covered(lake.spark, S.PROCESS_SILVER, batches[-1], as_of)
+        done(control.with_counts(entry, read, read, rejected))
+
+
+def type_batches(lake: Lakehouse, batches: list[int], as_of: AsOf = None) -> tuple[int, int]:
+    """Silver rows and rejects of some landed batches, in one pass; rows read and rows rejected."""
+    seen = Observation()
+    landed = lake.batches(names.BRONZE, batches)
+    lake.write_outcomes(cleaning.split_outcomes(landed, as_of, (LOAD_BATCH,), seen))
+    return seen.get["rows_read"], seen.get["rows_rejected"]
+
+
+_SINGLE = {"state": (names.DIM_STATE, "state_name"), "market": (names.DIM_MARKET, "market_name"), "variety": (names.DIM_VARIETY, "variety")}
 
 
 def load_dimensions(lake: Lakehouse, as_of: AsOf = None) -> None:
     """Bring state, market, variety, product and product history up to date.
 
     Members of earlier batches are in the dimensions already, so only open batches
-    are read. Products are kept by name and group, as the facts look them up.
+    are read, once for all dimensions. Products are kept by name and group, as the facts look them up, and are merged as
+    if each open batch had come alone; versions of the history start at the stamp of their batch.
     """
     with control.logged_run(lake.spark, S.PROCESS_DIMENSIONS, lake.log, as_of=as_of) as done:
         batches = _open(lake, S.PROCESS_DIMENSIONS, S.PROCESS_SILVER)
         if not batches:
             return done(None)
-        rows = lake.batches(names.SILVER, batches)
-        for name, column in (
-            (names.DIM_STATE, "state_name"),
-            (names.DIM_MARKET, "market_name"),
-            (names.DIM_VARIETY, "variety"),
-        ):
-            id_col, name_col = names.SCHEMAS[name].fieldNames()[:2]
-            dim = dimensions.load_dim(rows, lake.table(name), column, id_col, name_col, as_of)
-            lake.publish(dim, name)
-        pairs = merging.product_pairs(rows)
-        products = merging.merge_product_dim(pairs, lake.table(names.DIM_PRODUCT), as_of)
-        lake.publish(products, names.DIM_PRODUCT)
-        source = history.product_source(lake.table(names.DIM_PRODUCT))
-        versions = history.scd2_apply(source, lake.table(names.DIM_PRODUCT_SCD2), as_of=as_of)
-        lake.publish(versions, names.DIM_PRODUCT_SCD2)
-        done(control.covered(lake.spark, S.PROCESS_DIMENSIONS, batches[-1], as_of))
+        read, added = extend_dimensions(lake, batches, as_of)
+        entry = control.covered(lake.spark, S.PROCESS_DIMENSIONS, batches[-1], as_of)
+        done(control.with_counts(entry, read, added))
+
+
+def extend_dimensions(lake: Lakehouse, batches: list[int], as_of: AsOf = None) -> tuple[int, int]:
+    """All dimensions with the members of some silver batches, which are scanned once; members read and changes made."""
+    wanted = {d: (column,) for d, (_, column) in _SINGLE.items()}
+    wanted["product"] = ("product_name", "productgroup_name", "_load")
+    rows = lake.batches(names.SILVER, batches).withColumn("_load", F.coalesce(control.load_batch(), LOAD_BATCH))
+    found, n_members = stage_counted(dimensions.members(rows, wanted), "members")
+    return n_members, _load_single(lake, found, as_of) + _load_products(lake, found, as_of)
+
+
+def _load_single(lake: Lakehouse, found: DataFrame, as_of: AsOf) -> int:
+    """State, market and variety with their new members; how many there are. A dimension without any is left alone."""
+    held = {}
+    for dimension, (table, _) in _SINGLE.items():
+        id_col, name_col = names.SCHEMAS[table].fieldNames()[:2]
+        held[dimension] = (lake.table(table), id_col, name_col)
+    fresh = stage(dimensions.new_ids(found, held), "fresh")
+    counts = {r["dimension"]: r["count"] for r in fresh.groupBy("dimension").count().collect()}
+    for dimension in counts:
+        dim, id_col, name_col = held[dimension]
+        rows = fresh.where(F.col("dimension") == dimension).select(F.col("id").alias(id_col), F.col("member").alias(name_col))
+        lake.publish(dim.unionByName(stamped(rows, as_of)), _SINGLE[dimension][0])
+    return sum(counts.values())
+
+
+def _touched(changes: DataFrame, column: str) -> list[int]:
+    return sorted(r[0] for r in changes.select(bucket(column)).distinct().collect())
+
+
+def _load_products(lake: Lakehouse, found: DataFrame, as_of: AsOf) -> int:
+    """Product history and product dimension, of each only the buckets that change; how many changes there are.
+
+    The history goes first: should the run end between the two, its repetition finds the history ahead, gives new products
+    the ids they have there, and passes over loads that are in it.
+    """
+    pairs = found.where("dimension = 'product'").select(
+        F.col("member").alias("product_name"), F.col("within").alias("productgroup_name"), F.timestamp_micros("load").alias("loaded")
+    )
+    products, versions = lake.table(names.DIM_PRODUCT), lake.table(names.DIM_PRODUCT_SCD2)
+    changes, n_changes = stage_counted(merging.product_changes_by_load(pairs, products, "loaded", versions), "changes")
+    if not n_changes:
+        return 0
+    current = versions.where((F.col(CLOSED_BY) == 0) & F.col(BUCKET).isin(_touched(changes, "product_id")))
+    added = history.new_versions(
+        changes.drop("is_new"), current, "loaded", first_sk=highest_id(versions, "product_sk")
+    )
+    after = history.with_versions(current.select(*S.DIM_PRODUCT_SCD2.fieldNames()), added, as_of=as_of)
+    closed_by = F.when(F.col("is_current"), 0).otherwise(F.unix_micros("effective_end_date"))
+    lake.replace_batches(after.withColumns({CLOSED_BY: closed_by, BUCKET: bucket("product_id")}), names.DIM_PRODUCT_SCD2)
+    touched = products.where(F.col(BUCKET).isin(_touched(changes, "product_name")))
+    merged = merging.apply_product_changes(touched, changes, as_of, "loaded")
+    lake.replace_batches(merged.withColumn(BUCKET, bucket("product_name")), names.DIM_PRODUCT)
+    return n_changes
 
 
 def load_date_dim(lake: Lakehouse, start: dt.date | str, end: dt.date | str) -> None:
@@ -126,25 +183,33 @@ def load_date_dim(lake: Lakehouse, start: dt.date | str, end: dt.date | str) ->
 def load_facts(lake: Lakehouse, as_of: AsOf = None) -> None:
     """Facts of the open batches.
 
-    Earlier facts keep the keys they were given, also when a product has changed
-    its group since.
+    Products are looked up in the history as of the row's load, so a row finds its product also when that has moved on
+    since, whatever steps were left out in between. Earlier facts keep the keys they were given.
     """
     with control.logged_run(lake.spark, S.PROCESS_FACT, lake.log, as_of=as_of) as done:
         batches = _open(lake, S.PROCESS_FACT, S.PROCESS_DIMENSIONS)
         if not batches:
             return done(None)
-        fact = facts.build_fact(
-            lake.batches(names.SILVER, batches),
-            lake.table(names.DIM_DATE),
-            lake.table(names.DIM_STATE),
-            lake.table(names.DIM_MARKET),
-            lake.table(names.DIM_PRODUCT),
-            lake.table(names.DIM_VARIETY),
-            as_of,
-            keep=(LOAD_BATCH,),
-        )
-        lake.replace_batches(fact, names.FACT)
-        done(control.covered(lake.spark, S.PROCESS_FACT, batches[-1], as_of))
+        n = write_facts(lake, batches, as_of)
+        done(control.with_counts(control.covered(lake.spark, S.PROCESS_FACT, batches[-1], as_of), n, n))
+
+
+def write_facts(lake: Lakehouse, batches: list[int], as_of: AsOf = None) -> int:
+    """Facts of some silver batches, and how many there are."""
+    seen = Observation()
+    fact = facts.build_fact(
+        lake.batches(names.SILVER, batches).observe(seen, F.count(F.lit(1)).alias("rows")),
+        lake.table(names.DIM_DATE),
+        lake.table(names.DIM_STATE),
+        lake.table(names.DIM_MARKET),
+        lake.table(names.DIM_PRODUCT),
+        lake.table(names.DIM_VARIETY),
+        as_of,
+        keep=(LOAD_BATCH,),
+        product_history=lake.table(names.DIM_PRODUCT_SCD2),
+    )
+    lake.replace_batches(fact, names.FACT)
+    return seen.get["rows"]
 
 
 def run_daily(

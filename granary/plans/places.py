@@ -15,8 +15,7 @@ from granary.operators import nested, requests
 from granary.operators.report import price_weather_report
 from granary.plans import lakehouse as names
 from granary.plans.lakehouse import Lakehouse
-from granary.sinks.tables import overwrite_json
-from granary.sources.json_docs import land_geocoding, land_weather, read_json_lines
+from granary.sources.json_docs import parse_responses, read_responses, write_responses
 
 AsOf = dt.datetime | str | None
 
@@ -27,9 +26,9 @@ def market_requests(lake: Lakehouse, limit: int | None = None) -> DataFrame:
 
 
 def load_locations(lake: Lakehouse, lines: DataFrame) -> None:
-    """Land geocoding response lines (column `value`) and rebuild the location table."""
-    overwrite_json(land_geocoding(lines), lake.bronze_locations)
-    responses = read_json_lines(lake.spark, lake.bronze_locations, S.GEOCODE_RESPONSE)
+    """Land geocoding response lines (column `value`) beside those that are no response, and rebuild the location table."""
+    write_responses(parse_responses(lines, S.GEOCODE_RESPONSE), lake.bronze_locations)
+    responses = nested.with_results(read_responses(lake.spark, lake.bronze_locations, S.GEOCODE_RESPONSE))
     lake.publish(nested.flatten_locations(responses), names.LOCATIONS)
 
 
@@ -42,9 +41,9 @@ def location_requests(
 
 
 def load_weather(lake: Lakehouse, lines: DataFrame) -> None:
-    """Land weather response lines (columns `marketName`, `value`) and rebuild the table."""
-    overwrite_json(land_weather(lines), lake.bronze_weather)
-    responses = read_json_lines(lake.spark, lake.bronze_weather, S.WEATHER_RESPONSE)
+    """Land weather response lines (columns `marketName`, `value`), rejects beside them, and rebuild the table."""
+    write_responses(parse_responses(lines, S.WEATHER_RESPONSE, tags=("marketName",)), lake.bronze_weather)
+    responses = read_responses(lake.spark, lake.bronze_weather, S.WEATHER_RESPONSE)
     lake.publish(nested.flatten_weather(responses), names.WEATHER)
 
 

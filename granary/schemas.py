@@ -92,13 +92,17 @@ SILVER_PRICING = _struct(
     ("updated_at", _TS),
 )
 
-# `watermark_ts` keeps the full precision of a load stamp next to the DATE.
+# `watermark_ts` keeps the full precision of a load stamp next to the DATE. The counts are those a step has observed
+# while it wrote; NULL where a step counts nothing.
 RUN_LOG = _struct(
     ("process_name", _STR),
     ("processed_file_table_date", DateType()),
     ("process_status", _STR),
     ("run_timestamp", _TS),
     ("watermark_ts", _TS),
+    ("rows_read", _LONG),
+    ("rows_written", _LONG),
+    ("rows_rejected", _LONG),
 )
 
 _STAMPS = (("created_at", _TS), ("updated_at", _TS))

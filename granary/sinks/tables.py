@@ -3,9 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Iterator
-from contextlib import contextmanager
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -106,28 +105,86 @@ def add_columns(name: str, df: DataFrame) -> None:
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
 
 
-@contextmanager
-def _dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
-    # insertInto takes this from the session only; as a writer option it would be
-    # ignored, and every partition of the table replaced.
-    key = "spark.sql.sources.partitionOverwriteMode"
-    before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+def partition_columns(spark: SparkSession, name: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(name) if c.isPartition]
+
+
+def _spec(values: dict[str, object]) -> str:
+    def text(value: object) -> str:
+        quoted = str(value).replace("\\", "\\\\").replace("'", "\\'")
+        return "NULL" if value is None else f"'{quoted}'"
+
+    return ", ".join(f"`{c}` = {text(v)}" for c, v in values.items())
+
+
+def _folder(spark: SparkSession, path: str, values: dict[str, object]) -> str:
+    escape = spark._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils.getPartitionPathString
+    return "/".join([path, *(escape(c, None if v is None else str(v)) for c, v in values.items())])
+
+
+def point_partitions(spark: SparkSession, name: str, path: str, partitions: list[dict[str, object]]) -> None:
+    """Let partitions of a catalog table read the folders written for them below `path`.
+
+    Partitions not named stay as they are, and readers that run keep the files they have. Each partition
+    changes at once, those that exist one after the other in the given order.
+    """
+    known = {row["partition"] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()} if partitions else set()
+    new = [p for p in partitions if _folder(spark, "", p).lstrip("/") not in known]
+    for p in partitions:
+        if p not in new:
+            spark.sql(f"ALTER TABLE {name} PARTITION ({_spec(p)}) SET LOCATION '{_folder(spark, path, p)}'")
+    if new:
+        places = " ".join(f"PARTITION ({_spec(p)}) LOCATION '{_folder(spark, path, p)}'" for p in new)
+        spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {places}")
+    if partitions:
+        spark.catalog.refreshTable(name)
+
+
+def _written(spark: SparkSession, path: str, columns: list[str]) -> list[dict[str, object]]:
+    """Values of the partition columns below `path`: one row per partition that was written."""
     try:
-        yield
-    finally:
-        spark.conf.set(key, before)
+        rows = spark.read.option("basePath", path).parquet(path).select(*columns).distinct().collect()
+    except AnalysisException:  # nothing was written, not even a schema
+        return []
+    return [row.asDict() for row in rows]
 
 
-def replace_partitions(df: DataFrame, name: str, spread: tuple[str, ...] = ()) -> None:
-    """Replace the table partitions that occur in `df`; a repeated load changes nothing.
+def replace_partitions(df: DataFrame, name: str, spread: tuple[str, ...] = (), root: str | None = None) -> None:
+    """Replace the table partitions that occur in `df`, which may read that table; a repeated load changes nothing.
 
+    The rows go to a new folder below `root` (default: that of the table); when all are written, the partitions point there. No
+    setting of the session is touched, so loads in one session do not disturb each other.
     Rows are written where they are: a run has one batch or few, and an exchange on them would gather
     what the scan has spread. Where many partitions are written at once, `spread` names their columns, for few files in each.
     """
-    rows = spread_by(conform(df, df.sparkSession.table(name).schema), spread)
-    with _dynamic_overwrite(df.sparkSession):
-        rows.write.mode("overwrite").insertInto(name)
+    spark = df.sparkSession
+    columns = partition_columns(spark, name)
+    rows = spread_by(conform(df, spark.table(name).schema), spread)
+    path = f"{root.rstrip('/') if root else _location(spark, name)}/version-{uuid.uuid4().hex}"
+    rows.write.partitionBy(*columns).parquet(path)
+    # Highest first: of a history, closed versions (keyed by the load that closed them) before current ones (keyed 0).
+    found = sorted(_written(spark, path, columns), key=lambda p: [(v is not None, v) for v in p.values()], reverse=True)
+    point_partitions(spark, name, path, found)
+
+
+def _location(spark: SparkSession, name: str) -> str:
+    rows = spark.sql(f"DESCRIBE TABLE EXTENDED {name}").where("col_name = 'Location'").collect()
+    return rows[0]["data_type"].rstrip("/")
+
+
+def write_split(
+    df: DataFrame, outcome: str, targets: dict[str, str], partition_by: tuple[str, ...], path: str
+) -> None:
+    """One write for several tables: rows go by `outcome` to the table `targets` names for it.
+
+    The tables point at the folders of that write, and read the columns they have from its files. `df` is computed once.
+    """
+    spark = df.sparkSession
+    df.write.partitionBy(outcome, *partition_by).parquet(path)
+    found = _written(spark, path, [outcome, *partition_by])
+    for value, name in targets.items():
+        mine = [{c: p[c] for c in partition_by} for p in found if p[outcome] == value]
+        point_partitions(spark, name, _folder(spark, path, {outcome: value}), mine)
 
 
 def replace_table(df: DataFrame, name: str) -> None:
@@ -136,15 +193,15 @@ def replace_table(df: DataFrame, name: str) -> None:
     df.write.mode("overwrite").saveAsTable(name)
 
 
-def publish(df: DataFrame, name: str, root: str) -> str:
+def publish(df: DataFrame, name: str, location: str) -> str:
     """Replace the rows of an unpartitioned catalog table by `df`, which may read that table.
 
-    The rows go to a new folder below `root`; only when all are written does the
+    The rows go to a new folder below `location`; only when all are written does the
     table point there. A failed job leaves the old version in place, and running
     readers keep their files. Old folders are left for the retention of the store.
     """
     spark = df.sparkSession
-    path = f"{sink_path(root, name)}/version-{uuid.uuid4().hex}"
+    path = f"{location.rstrip('/')}/version-{uuid.uuid4().hex}"
     conform(df, spark.table(name).schema).write.parquet(path)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     spark.catalog.refreshTable(name)

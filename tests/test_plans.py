@@ -1,6 +1,9 @@
 import datetime as dt
+import os
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from granary import schemas as S
 from granary.operators.facts import build_fact
@@ -8,6 +11,8 @@ from granary.operators.checks import DuplicateKeyError
 from granary.plans import daily, places
 from granary.plans import lakehouse as names
 from granary.plans.lakehouse import Lakehouse
+from granary.sources.json_docs import land_weather, read_responses, rejected_responses
+from granary.streaming import daily as streamed
 
 HEADER = ",".join(S.PRICING_COLUMNS)
 
@@ -26,9 +31,9 @@ D1, D2, D4 = dt.date(2023, 1, 1), dt.date(2023, 1, 2), dt.date(2023, 1, 4)
 
 @pytest.fixture
 def lake(spark, tmp_path):
-    yield Lakehouse(spark, str(tmp_path / "lake"))
-    for name in [*names.SCHEMAS, *names.PARTITIONED]:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    made = Lakehouse(spark, str(tmp_path / "lake"))
+    yield made
+    made.drop()
 
 
 def run(lake, folder, as_of):
@@ -85,7 +90,7 @@ def test_late_files_and_several_groups_lose_no_fact(lake, tmp_path):
     assert set(found) == {0, 1, 2, 10, 20, 30, 31}
     assert None not in found.values()
     assert found[0] == found[10] and found[2] == found[30] and len(set(found.values())) == 5
-    rejected = lake.table(names.REJECTED).collect()
+    rejected = lake.rejected_prices().collect()
     assert [(r["ROW_ID"], r["rejected_columns"]) for r in rejected] == [("31", ["arrival_in_tonnes"])]
 
 
@@ -94,18 +99,19 @@ def test_silver_is_written_without_a_shuffle(lake, tmp_path, spark):
     lake.create()
     daily.ingest_prices(lake, str(tmp_path / "in"), "2023-06-01 01:00:00")
     plans = []
-    original = names.tables.replace_partitions
+    original = names.tables.write_split
 
-    def seen(df, name):
+    def seen(df, *args):
         plans.append(df._jdf.queryExecution().executedPlan().toString())
-        original(df, name)
+        original(df, *args)
 
-    names.tables.replace_partitions = seen
+    names.tables.write_split = seen
     try:
         daily.load_silver(lake, "2023-06-01 02:00:00")
     finally:
-        names.tables.replace_partitions = original
-    assert plans and not any("Exchange" in plan for plan in plans)
+        names.tables.write_split = original
+    # One pass over the landed batch gives typed rows and rejects, without an exchange.
+    assert len(plans) == 1 and "Exchange" not in plans[0] and plans[0].count("FileScan") == 1
 
 
 def lose_the_log(monkeypatch, step, *args):
@@ -179,3 +185,141 @@ def test_fact_refuses_a_dimension_with_a_repeated_key(spark):
     dims = [empty(S.DIM_DATE), twice, empty(S.DIM_MARKET), empty(S.DIM_PRODUCT), empty(S.DIM_VARIETY)]
     with pytest.raises(DuplicateKeyError, match="state_id"):
         build_fact(empty(S.SILVER_PRICING), *dims)
+
+
+def places_of(lake, table):
+    """Folder of each partition of a table."""
+    rows = lake.table(table).select("*", F.col("_metadata.file_path").alias("path"))
+    parts = [c for c in (names.CLOSED_BY, names.BUCKET) if c in rows.columns]
+    return {tuple(r[:-1]): r[-1] for r in rows.select(*parts, F.regexp_extract("path", "(version-[^/]+)/", 1)).distinct().collect()}
+
+
+def test_a_changed_product_rewrites_its_bucket_only(lake, tmp_path):
+    folder = tmp_path / "in"
+    write_day(folder, D1, *[price(D1, n, product=f"p{n}") for n in range(60)])
+    assert run(lake, folder, "2023-06-01 01:00:00") == 1
+    before = {t: places_of(lake, t) for t in (names.DIM_PRODUCT, names.DIM_PRODUCT_SCD2)}
+    assert len(before[names.DIM_PRODUCT]) > 8
+    write_day(folder, D2, price(D2, 100, product="p7", group="h"), price(D2, 101, product="p8"))
+    assert run(lake, folder, "2023-06-02 01:00:00") == 1
+    after = {t: places_of(lake, t) for t in before}
+    changed = {t: {k for k, v in after[t].items() if before[t].get(k) != v} for t in before}
+    assert len(changed[names.DIM_PRODUCT]) == 1
+    # The open bucket of the product, and a new partition of the version this load has closed.
+    (open_, closed) = sorted(changed[names.DIM_PRODUCT_SCD2])
+    assert open_[0] == 0 < closed[0] and open_[1] == closed[1]
+    # A third load leaves the closed partition alone.
+    write_day(folder, D4, price(D4, 102, product="p7", group="g"))
+    run(lake, folder, "2023-06-03 01:00:00")
+    assert places_of(lake, names.DIM_PRODUCT_SCD2)[closed] == after[names.DIM_PRODUCT_SCD2][closed]
+    held = lake.table(names.DIM_PRODUCT_SCD2).where("product_name = 'p7'").orderBy("product_sk").collect()
+    assert [(r["productgroup_name"], r["is_current"]) for r in held] == [("g", False), ("h", False), ("g", True)]
+    assert lake.table(names.DIM_PRODUCT).count() == lake.table(names.DIM_PRODUCT).select("product_id").distinct().count() == 60
+
+
+@pytest.mark.parametrize("lost", [1, 2, 3])
+def test_products_survive_a_crash_between_their_tables(lake, tmp_path, monkeypatch, lost):
+    """The run ends after the `lost`-th partition of history or dimension has been pointed to its new folder."""
+    folder = tmp_path / "in"
+    write_day(folder, D1, *[price(D1, n, product=f"p{n}") for n in range(5)])
+    run(lake, folder, "2023-06-01 01:00:00")
+    write_day(folder, D2, *[price(D2, 10 + n, product=f"p{n}", group="h" if n < 2 else "g") for n in range(9)])
+    daily.ingest_prices(lake, str(folder), "2023-06-02 01:00:00")
+    write_day(folder, D4, price(D4, 30, product="p0", group="i"))
+    daily.ingest_prices(lake, str(folder), "2023-06-02 02:00:00")
+    daily.load_silver(lake, "2023-06-02 03:00:00")
+    original, seen = names.tables.point_partitions, []
+
+    def some(spark, name, path, partitions):
+        for partition in partitions:
+            original(spark, name, path, [partition])
+            seen.append(partition)
+            if len(seen) == lost:
+                raise OSError("lost")
+
+    with monkeypatch.context() as patch:
+        patch.setattr(names.tables, "point_partitions", some)
+        with pytest.raises(OSError):
+            daily.load_dimensions(lake, "2023-06-02 04:00:00")
+    daily.load_dimensions(lake, "2023-06-02 05:00:00")
+    daily.load_facts(lake, "2023-06-02 06:00:00")
+    held = lake.table(names.DIM_PRODUCT).collect()
+    assert len(held) == len({r["product_id"] for r in held}) == 9
+    history = lake.table(names.DIM_PRODUCT_SCD2).collect()
+    current = {(r["product_id"], r["productgroup_name"], r["product_name"]) for r in history if r["is_current"]}
+    assert current == {(r["product_id"], r["productgroup_name"], r["product_name"]) for r in held}
+    assert len(history) == len({r["product_sk"] for r in history}) == 12
+    ids = {r["product_name"]: r["product_id"] for r in held}
+    assert all(f[4] == ids[f"p{f[0] % 10}"] for f in facts(lake))
+
+
+def test_facts_left_out_find_their_product_later(lake, tmp_path):
+    folder = tmp_path / "in"
+    write_day(folder, D1, price(D1, 1, group="a"), price(D1, 2, product="n", group=""))
+    lake.create()
+    daily.load_date_dim(lake, "2023-01-01", "2023-12-31")
+    daily.ingest_prices(lake, str(folder), "2023-06-01 01:00:00")
+    daily.load_silver(lake, "2023-06-01 02:00:00")
+    daily.load_dimensions(lake, "2023-06-01 03:00:00")
+    write_day(folder, D2, price(D2, 3, group="b"))
+    assert run(lake, folder, "2023-06-02 01:00:00") == 1
+    assert [(f[0], f[4]) for f in facts(lake)] == [(1, 2), (2, 1), (3, 2)]
+
+
+def test_steps_count_what_they_do(lake, tmp_path):
+    folder = tmp_path / "in"
+    write_day(folder, D1, price(D1, 1), price(D1, 2).replace(",1.5,", ",x t,"))
+    run(lake, folder, "2023-06-01 01:00:00")
+    log = {r["process_name"]: (r["rows_read"], r["rows_written"], r["rows_rejected"]) for r in lake.table(names.RUN_LOG).collect()}
+    assert log[S.PROCESS_INGEST] == (2, 2, None) and log[S.PROCESS_SILVER] == (2, 2, 1) and log[S.PROCESS_FACT] == (2, 2, None)
+    assert log[S.PROCESS_DIMENSIONS] == (4, 4, None)
+
+
+def test_dimensions_scan_a_batch_once(lake, tmp_path, monkeypatch):
+    write_day(tmp_path / "in", D1, price(D1, 1))
+    lake.create()
+    daily.ingest_prices(lake, str(tmp_path / "in"), "2023-06-01 01:00:00")
+    daily.load_silver(lake, "2023-06-01 02:00:00")
+    reads = []
+    original = Lakehouse.batches
+    monkeypatch.setattr(Lakehouse, "batches", lambda self, *a: reads.append(a) or original(self, *a))
+    daily.load_dimensions(lake, "2023-06-01 03:00:00")
+    assert len(reads) == 1
+
+
+def test_micro_batches_that_are_repeated_replace_themselves(lake, tmp_path, spark):
+    folder = tmp_path / "in"
+    write_day(folder, D1, price(D1, 1), price(D1, 2).replace(",1.5,", ",x t,"))
+    write_day(folder, D2, price(D2, 3, product="q"))
+    lake.create()
+    daily.load_date_dim(lake, "2023-01-01", "2023-12-31")
+    state = str(tmp_path / "state")
+    streamed.run_available(lake, str(folder), state, 1).awaitTermination()
+    want = facts(lake)
+    assert len(want) == 3 and all(None not in f for f in want)
+    # The last commit is lost, so the stream repeats its last batch.
+    for name in ("1", ".1.crc"):
+        os.remove(f"{state}/commits/{name}")
+    streamed.run_available(lake, str(folder), state, 1).awaitTermination()
+    assert facts(lake) == want and lake.table(names.SILVER).count() == 3 and lake.rejected_prices().count() == 1
+    assert lake.table(names.DIM_PRODUCT_SCD2).count() == 2
+    streamed.run_available(lake, str(folder), state, 1).awaitTermination()
+    assert facts(lake) == want
+
+
+def test_responses_are_landed_beside_rejects(lake, spark):
+    good = '{"results":[{"admin1":"S","name":"M","latitude":1.0,"longitude":2.0,"population":3}]}'
+    lines = [good, "[]", '{"results": 5}', '{"none": 1}', "{broken", "", None]
+    lake.create()
+    places.load_locations(lake, spark.createDataFrame([(x,) for x in lines], "value string"))
+    assert lake.table(names.LOCATIONS).count() == 1
+    schema = StructType([StructField("response", StringType())])
+    rejected = read_responses(spark, lake.bronze_locations, schema, "rejected").collect()
+    assert sorted(r[0] or "" for r in rejected) == sorted(["[]", '{"results": 5}', "{broken", "", ""])
+    weather = spark.createDataFrame(
+        [("M", '{"latitude": "far", "longitude": 2.0}'), ("N", '{"latitude": 1.0}'), ("O", "7")], "marketName string, value string"
+    )
+    landed = {r["marketName"]: (r["latitude"], r["longitude"]) for r in land_weather(weather).collect()}
+    assert landed == {"M": (None, 2.0), "N": (1.0, None)}
+    bad = rejected_responses(weather, S.WEATHER_RESPONSE, tags=("marketName",)).collect()
+    assert sorted(r["marketName"] for r in bad) == ["M", "O"]

@@ -1,10 +1,15 @@
 import datetime as dt
+import random
 
 import pytest
+from pyspark.sql import Row
+from pyspark.sql import functions as F
 
 from granary import schemas as S
+from granary import staging
 from granary.operators import history, merging
 from granary.operators.checks import DuplicateKeyError
+from granary.operators.lookups import lookup_as_of
 from granary.staging import empty_table
 
 T1, T2, T3 = "2024-01-01", "2024-02-01", "2024-03-01"
@@ -131,3 +136,47 @@ def test_history_source_needs_unique_keys(spark):
         [(1, "x", "a", None, None), (2, "x", None, None, None)], S.DIM_PRODUCT
     )
     assert history.product_source(rows).count() == 1
+
+
+def test_many_loads_at_once_equal_one_by_one(spark):
+    rng = random.Random(4)
+    loads = []
+    for month in range(1, 8):
+        keys = rng.sample(range(1, 13), 9)
+        loads.append(([(k, f"p{k}", rng.choice(["x", "y", None, ""])) for k in keys], f"2024-0{month}-01"))
+    one_by_one = apply(spark, *loads)
+    first = apply(spark, *loads[:2])
+    at_once = source(spark, *[r for rows, _ in loads[2:] for r in rows]).limit(0).withColumn("loaded", F.lit(T1).cast("timestamp"))
+    for rows, as_of in loads[2:]:
+        at_once = at_once.unionByName(source(spark, *rows).withColumn("loaded", F.lit(as_of).cast("timestamp")))
+    got = history.scd2_apply_loads(at_once, first, "loaded")
+    assert versions(got) == versions(one_by_one)
+    # Loads that are in the history already change nothing.
+    assert versions(history.scd2_apply_loads(at_once, staging.stage(got), "loaded")) == versions(one_by_one)
+
+
+def test_merges_of_many_loads_equal_one_by_one(spark):
+    loads = [
+        [("a", "x"), ("b", "x"), ("b", "y")], [("a", "y"), ("c", "x")], [("a", "x"), ("b", "z"), ("d", None)], [("d", "x"), ("a", "x")], [("a", None)],
+    ]
+    dim = empty_table(spark, S.DIM_PRODUCT)
+    for n, rows in enumerate(loads):
+        dim = staging.stage(merging.merge_product_dim(pairs(spark, *rows), dim, f"2024-0{n + 1}-01"))
+    every = spark.createDataFrame([(p, g, n) for n, rows in enumerate(loads) for p, g in rows], "product_name string, productgroup_name string, load long")
+    nothing = empty_table(spark, S.DIM_PRODUCT)
+    changes = merging.product_changes_by_load(every, nothing, "load")
+    got = merging.apply_product_changes(nothing, changes, T1, "load")
+    assert [p[:3] for p in products(got)] == [p[:3] for p in products(dim)]
+    again = merging.product_changes_by_load(every.where("load = 4"), got, "load")
+    assert again.collect() == []
+
+
+def test_lookup_as_of_finds_the_version_of_its_time(spark):
+    held = spark.createDataFrame(
+        [("a", "x", 1, 10), ("a", "x", 7, 30), ("a", "y", 1, 20), ("n", None, 4, 10), ("t", "x", 5, 10), ("t", "x", 6, 10)],
+        "name string, grp string, id long, s long",
+    ).withColumn("start", F.timestamp_seconds("s"))
+    rows = [("a", "x", 5), ("a", "x", 10), ("a", "x", 29), ("a", "x", 30), ("a", "x", None), ("a", "y", 1), ("n", None, 99), ("t", "x", 11), ("a", "z", 11), (None, "x", 11)]
+    facts = spark.createDataFrame(rows, "name string, grp string, s long").withColumn("at", F.timestamp_seconds("s"))
+    got = lookup_as_of(facts, held, ["name", "grp"], ["id"], "at", "start", ("grp",)).select("name", "grp", "s", "id").collect()
+    assert sorted(map(str, got)) == sorted(str(Row(name=n, grp=g, s=s, id=i)) for (n, g, s), i in zip(rows, [1, 1, 1, 7, 7, 1, 4, 6, None, None]))

@@ -11,6 +11,7 @@ from granary.operators import control, nested
 from granary.operators.facts import build_fact
 from granary.operators.ids import dense_ids
 from granary.operators.lookups import full_outer, lookup
+from granary.operators.report import price_weather_report
 from granary.sinks.tables import append_files
 from granary.staging import stage
 from workload import base
@@ -139,3 +140,33 @@ def test_flattening_is_one_scan_without_shuffle(spark, tmp_path):
     plan = final_plan(nested.flatten_locations(spark.read.schema(S.GEOCODE_RESPONSE).json(path)))
     assert plan.count("FileScan") == 1
     assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_report_shuffles_prices_once_and_spreads_a_hot_market_day(spark):
+    day = dt.date(2023, 1, 1)
+    hot = F.col("id") % 3 == 0
+    ids = spark.range(0, 30_000, 1, 8)
+    values = {name: F.lit(None) for name in S.SILVER_PRICING.fieldNames()} | {
+        "date_of_pricing": F.when(hot, F.lit(day)).otherwise(F.date_add(F.lit(day), (F.col("id") % 300).cast("int"))),
+        "row_id": F.col("id"), "state_name": F.lit("S"), "market_name": F.when(hot, "M").otherwise(F.concat(F.lit("N"), F.col("id") % 50)),
+    }
+    silver = stage(ids.select(*[values[f.name].cast(f.dataType).alias(f.name) for f in S.SILVER_PRICING]))
+    geo = stage(spark.createDataFrame([("S", None, None, 1.0, 2.0, "M", 3)], S.GEO_LOCATION))
+    weather = stage(spark.createDataFrame([("M", 0.0, 0.0, "2023-01-01", 30.0, "C", 20.0, 1.0, "mm", 0)], S.WEATHER_DATA))
+    with no_broadcast(spark):
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        try:
+            report = price_weather_report(silver, geo, weather)
+            found = report.groupBy("market_name", "MARKET_POPULATION", "MARKET_MAX_TEMPARATURE").count().collect()
+            laid_out = report.where("row_id is not null").withColumn("task", F.spark_partition_id()).where("market_name = 'M'")
+            tasks = laid_out.groupBy("task").count().collect()
+            plan = final_plan(price_weather_report(silver, geo, weather))
+        finally:
+            spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert sum(r["count"] for r in found) == 30_000
+    assert {(r[1], r[2]) for r in found if r[0] == "M"} == {(3, 30.0)} and "Broadcast" not in plan
+    assert len(tasks) >= 4 and max(r["count"] for r in tasks) < 5_000
+    # One exchange moves the prices, that of their layout; row ids are read by one scan.
+    assert plan.count("REPARTITION_BY_COL") == 1 and sum("Scan parquet" in line and "row_id" in line for line in plan.splitlines()) == 1
+    prices = next(line for line in plan.splitlines() if "REPARTITION_BY_COL" in line)
+    assert "_state_key" in prices and "_part" in prices

@@ -296,6 +296,39 @@ SELECT DISTINCT p.*, g.low AS "MARKET_LATITUDE", g.top AS "MARKET_LONGITUDE",
 FROM pricing p
 FULL JOIN (SELECT * FROM geo WHERE n_name <> 'NATION_7') g ON p.state_name = g.state AND p.market_name = g.n_name
 FULL JOIN (SELECT * FROM weather WHERE n_name <> 'NATION_7') w ON w.n_name = p.market_name AND p.date_of_pricing = w.day""",
+        "scd2_many_loads": _with(PRICING, DIM_PRODUCT, """
+loads AS (
+  SELECT product_id, product_name, productgroup_name, DATE '2024-01-01' AS load FROM dim_product WHERE product_name < 's'
+  UNION ALL SELECT product_id, product_name, CASE WHEN productgroup_name = 'LARGE' THEN 'BULK' ELSE productgroup_name END, DATE '2024-02-01' FROM dim_product
+  UNION ALL SELECT product_id, product_name, CASE WHEN productgroup_name <> 'PROMO' THEN productgroup_name END, DATE '2024-03-01' FROM dim_product
+  UNION ALL SELECT product_id, product_name, productgroup_name, DATE '2024-04-01' FROM dim_product WHERE product_id % 3 > 0)""", """
+changes AS (
+  SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY product_id ORDER BY load) AS n,
+           lag(productgroup_name) OVER (PARTITION BY product_id ORDER BY load) AS before FROM loads)
+  WHERE n = 1 OR productgroup_name IS DISTINCT FROM before)""") + """
+SELECT row_number() OVER (ORDER BY load, product_id) AS product_sk, product_id, productgroup_name, product_name,
+       lead(load) OVER (PARTITION BY product_id ORDER BY load) IS NULL AS is_current, load AS start_on,
+       lead(load) OVER (PARTITION BY product_id ORDER BY load) AS end_on
+FROM changes""",
+        "rejected_responses": _with(WEATHER) + """
+SELECT n_name AS "marketName", CASE y WHEN 1996 THEN '[' ELSE '{' END AS first_letter, count(DISTINCT y) AS responses
+FROM weather WHERE y IN (1996, 1997) GROUP BY n_name, y""",
+        "unstamped_rows": _with(RAW) + """
+SELECT CASE WHEN row_id LIKE '%7' THEN 'no stamp' ELSE 'taken' END AS outcome, count(*) AS rows
+FROM raw WHERE row_id LIKE '%7' OR source_file_load_date > TIMESTAMP '1998-01-01' GROUP BY 1""",
+        "fact_after_skipped_run": _with(PRICING, """
+named AS (
+  SELECT row_id, product_name || '/' || productgroup_name AS name, productgroup_name AS grp, year(date_of_pricing) = 1996 AS later FROM pricing)""", """
+ids AS (
+  SELECT name, row_number() OVER (ORDER BY bool_and(later), name) AS product_id, any_value(grp) || CASE WHEN bool_or(later) THEN ' II' ELSE '' END AS grp
+  FROM named GROUP BY name)""") + """
+SELECT row_id, product_id, name AS product_name, ids.grp AS productgroup_name FROM named JOIN ids USING (name)""",
+        "step_counts": _with(PRICING) + f"""
+SELECT '{S.PROCESS_INGEST}' AS process_name, count(DISTINCT date_trunc('month', date_of_pricing)) AS runs, count(*) AS rows_read,
+       count(*) AS rows_written, CAST(NULL AS BIGINT) AS rows_rejected FROM pricing
+UNION ALL SELECT '{S.PROCESS_SILVER}', 2, count(*), count(*), count(*) FILTER (row_id % 10 = 3) FROM pricing
+UNION ALL SELECT '{S.PROCESS_FACT}', 2, count(*), count(*), NULL FROM pricing""",
         "late_files": _with(PRICING) + """
 SELECT CAST(date_trunc('month', date_of_pricing) + INTERVAL 30 YEAR AS DATE) AS file_date, count(*) AS rows
 FROM pricing GROUP BY 1""",
@@ -306,6 +339,11 @@ FROM pricing WHERE row_id % 10 = 3""",
 SELECT row_id, strftime(date_of_pricing, '%d/%m/%Y') AS calendar_date, state_name, market_name, product_name,
        productgroup_name, variety, CASE WHEN row_id % 10 <> 3 THEN arrival_in_tonnes END AS arrival_in_tonnes,
        minimum_price, maximum_price, modal_price
+FROM pricing""",
+        "stream_daily_load": _with(PRICING) + """
+SELECT row_id, strftime(date_of_pricing, '%d/%m/%Y') AS calendar_date, state_name, market_name, product_name,
+       productgroup_name, variety, CASE WHEN row_id % 10 <> 3 THEN arrival_in_tonnes END AS arrival_in_tonnes,
+       minimum_price, maximum_price, modal_price
 FROM pricing""",
         "csv_landing_union": _with(PRICING) + f"""
 SELECT {_TEXT}, CASE WHEN year(date_of_pricing) >= 1998 THEN substr(variety, 7, 2) END AS "GRADE"

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,16 +24,18 @@ from granary.sinks import tables
 from granary.sinks.tables import append_files, read_evolving
 from granary.sources.daily_csv import daily_files, read_daily_files
 from granary.sources.fixtures import load_fixture
+from granary.sources import json_docs
 from granary.sources.json_docs import land_weather, read_json_lines
 from granary.staging import empty_table, scratch_path, stage
-from granary.streaming.landing import land_available
+from granary.streaming.daily import load_micro_batch
+from granary.streaming.landing import land_available, stream_daily_files
 from workload import base
 
 Query = Callable[[SparkSession, str], DataFrame]
 _REGISTRY: dict[str, Query] = {}
 
 FACT_START, FACT_END = "1997-01-01", "1997-12-31"
-FIRST_LOAD, SECOND_LOAD, THIRD_LOAD = "2024-01-01", "2024-02-01", "2024-03-01"
+FIRST_LOAD, SECOND_LOAD, THIRD_LOAD, FOURTH_LOAD = "2024-01-01", "2024-02-01", "2024-03-01", "2024-04-01"
 
 
 def query(fn: Query) -> Query:
@@ -89,6 +92,19 @@ def incremental_rows_date_precision(spark: SparkSession, sf: str) -> DataFrame:
     return _newer_events(spark, sf, "date")
 
 
+@query
+def unstamped_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Price rows by what an incremental load makes of them: taken, older than the watermark, or without a load stamp."""
+    rows = base.raw_pricing(spark, sf)
+    stamp = F.when(F.col("ROW_ID").endswith("7"), None).otherwise(F.col("source_file_load_date"))
+    src = stage(rows.withColumn("source_file_load_date", stamp), "bronze")
+    log = control.run_entry(spark, S.PROCESS_SILVER, None, S.STATUS_COMPLETED, watermark_ts=dt.datetime(1998, 1, 1))
+    taken = control.incremental_rows(src, log, S.PROCESS_SILVER)
+    lost = control.unstamped_rows(src)
+    sides = [taken.select(F.lit("taken").alias("outcome")), lost.select(F.lit("no stamp").alias("outcome"))]
+    return reduce(DataFrame.unionByName, sides).groupBy("outcome").agg(F.count(F.lit(1)).alias("rows"))
+
+
 @query
 def run_log_latest(spark: SparkSession, sf: str) -> DataFrame:
     log = base.run_log(spark, sf, completed_above=150)
@@ -191,6 +207,10 @@ def _history(spark: SparkSession, *loads: tuple[DataFrame, str]) -> DataFrame:
     hist = empty_table(spark, S.DIM_PRODUCT_SCD2)
     for source, as_of in loads:
         hist = stage(history.scd2_apply(source, hist, as_of=as_of), "history")
+    return _history_rows(hist)
+
+
+def _history_rows(hist: DataFrame) -> DataFrame:
     return hist.select(
         "product_sk", "product_id", "productgroup_name", "product_name", "is_current",
         F.col("effective_start_date").cast("date").alias("start_on"),
@@ -232,6 +252,21 @@ def scd2_rerun_noop(spark: SparkSession, sf: str) -> DataFrame:
     return _history(spark, (products, FIRST_LOAD), (products, SECOND_LOAD))
 
 
+@query
+def scd2_many_loads(spark: SparkSession, sf: str) -> DataFrame:
+    """Three loads in one pass over a history that has had one: a group renamed, lost, and found again."""
+    products = stage(_products(spark, sf), "products")
+    group = F.col("productgroup_name")
+    hist = stage(history.scd2_apply(products.where(F.col("product_name") < "s"), empty_table(spark, S.DIM_PRODUCT_SCD2), as_of=FIRST_LOAD), "history")
+    loads = [
+        (products.withColumn("productgroup_name", F.when(group == "LARGE", "BULK").otherwise(group)), SECOND_LOAD),
+        (products.withColumn("productgroup_name", F.when(group != "PROMO", group)), THIRD_LOAD),
+        (products.where(F.col("product_id") % 3 > 0), FOURTH_LOAD),
+    ]
+    rows = reduce(DataFrame.unionByName, [p.withColumn("loaded", F.lit(at).cast("timestamp")) for p, at in loads])
+    return _history_rows(history.scd2_apply_loads(rows, hist, "loaded", as_of=FOURTH_LOAD)).drop("updated_on")
+
+
 # --- facts ------------------------------------------------------------------
 
 
@@ -337,8 +372,7 @@ def explode_cross_limit(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-@query
-def land_weather_lines(spark: SparkSession, sf: str) -> DataFrame:
+def _weather_lines(spark: SparkSession, sf: str) -> DataFrame:
     """Raw response lines of which two years are no JSON objects."""
     line = json_line("latitude", "longitude", "daily", "daily_units")
     year = F.col("latitude") * 4
@@ -347,8 +381,21 @@ def land_weather_lines(spark: SparkSession, sf: str) -> DataFrame:
         .when(year == 1997, F.substring(line, 1, 40))
         .otherwise(line)
     )
-    lines = base.weather(spark, sf).select("marketName", text.alias("value"))
-    return nested.flatten_weather(land_weather(lines)).drop("sequenceId")
+    return base.weather(spark, sf).select("marketName", text.alias("value"))
+
+
+@query
+def land_weather_lines(spark: SparkSession, sf: str) -> DataFrame:
+    """Weather of the response lines that are JSON objects."""
+    return nested.flatten_weather(land_weather(_weather_lines(spark, sf))).drop("sequenceId")
+
+
+@query
+def rejected_responses(spark: SparkSession, sf: str) -> DataFrame:
+    """The response lines that `land_weather_lines` leaves out, counted by market and first letter."""
+    rejected = json_docs.rejected_responses(_weather_lines(spark, sf), S.WEATHER_RESPONSE, tags=("marketName",))
+    first = F.substring("response", 1, 1).alias("first_letter")
+    return rejected.groupBy("marketName", first).agg(F.count(F.lit(1)).alias("responses"))
 
 
 @query
@@ -399,11 +446,8 @@ def csv_landing_union(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _daily_lake(spark: SparkSession) -> Lakehouse:
-    """Fresh catalog tables below a scratch folder."""
-    for name in [*names.SCHEMAS, *names.PARTITIONED]:
-        if spark.catalog.databaseExists(name.split(".")[0]):
-            spark.sql(f"DROP TABLE IF EXISTS {name}")
-    lake = Lakehouse(spark, scratch_path(spark, "lake"))
+    """Fresh catalog tables, in databases of their own, below a scratch folder."""
+    lake = Lakehouse(spark, scratch_path(spark, "lake"), f"w{uuid.uuid4().hex}_")
     lake.create()
     return lake
 
@@ -413,13 +457,16 @@ def _deliver(rows: DataFrame, folder: str) -> None:
     _write_files(rows.withColumn("month", F.add_months("month", 360)), folder, list(S.PRICING_COLUMNS))
 
 
-def _two_landings(spark: SparkSession, sf: str, between=lambda lake: None) -> Lakehouse:
-    """All months but those of 1996 land first, those then: late files. Every row whose id ends in 3 has a
-    quantity that does not parse."""
-    lake, folder = _daily_lake(spark), scratch_path(spark, "landing")
+def _with_bad_amounts(rows: DataFrame) -> DataFrame:
+    """Every row whose id ends in 3 has a quantity that does not parse."""
     amount = F.col("ARRIVAL_IN_TONNES")
-    bad = F.when(F.col("ROW_ID").endswith("3"), F.concat(amount, F.lit(" t"))).otherwise(amount)
-    rows = stage(_price_text(spark, sf).withColumn("ARRIVAL_IN_TONNES", bad), "delivered")
+    return rows.withColumn("ARRIVAL_IN_TONNES", F.when(F.col("ROW_ID").endswith("3"), F.concat(amount, F.lit(" t"))).otherwise(amount))
+
+
+def _two_landings(spark: SparkSession, sf: str, between=lambda lake: None, change=lambda rows: rows) -> Lakehouse:
+    """All months but those of 1996 land first, those then: late files. Some amounts do not parse."""
+    lake, folder = _daily_lake(spark), scratch_path(spark, "landing")
+    rows = stage(change(_with_bad_amounts(_price_text(spark, sf))), "delivered")
     for late, as_of in ((False, "2024-01-01 01:00:00"), (True, "2024-01-02 01:00:00")):
         _deliver(rows.where((F.year("month") == 1996) == F.lit(late)), folder)
         daily.ingest_prices(lake, folder, as_of)
@@ -431,7 +478,7 @@ def _two_landings(spark: SparkSession, sf: str, between=lambda lake: None) -> La
 def late_files(spark: SparkSession, sf: str) -> DataFrame:
     """Landed rows by file date, after a second landing of files dated before the last of the first."""
     lake = _two_landings(spark, sf)
-    landed = spark.read.parquet(lake.location(names.BRONZE))
+    landed = lake.table(names.BRONZE)
     return landed.groupBy("file_date").agg(F.count(F.lit(1)).alias("rows"))
 
 
@@ -440,7 +487,7 @@ def daily_rejects(spark: SparkSession, sf: str) -> DataFrame:
     """Rows that the silver step has put aside."""
     lake = _two_landings(spark, sf)
     daily.load_silver(lake, "2024-01-03")
-    return spark.read.parquet(lake.location(names.REJECTED)).select(
+    return lake.rejected_prices().select(
         F.col("ROW_ID").cast("bigint").alias("row_id"), "ARRIVAL_IN_TONNES", F.concat_ws(",", "rejected_columns").alias("rejected")
     )
 
@@ -455,10 +502,14 @@ def daily_star_facts(spark: SparkSession, sf: str) -> DataFrame:
         daily.load_dimensions(lake, "2024-01-03")
         daily.load_facts(lake, "2024-01-03")
 
-    lake = _two_landings(spark, sf, load)
-    fact = spark.read.parquet(lake.location(names.FACT))
+    return _named_facts(_two_landings(spark, sf, load))
+
+
+def _named_facts(lake: Lakehouse) -> DataFrame:
+    """Facts with the names their keys stand for."""
+    fact = lake.table(names.FACT)
     for name in (names.DIM_DATE, names.DIM_STATE, names.DIM_MARKET, names.DIM_PRODUCT, names.DIM_VARIETY):
-        dim = lake.table(name).drop("created_at", "updated_at")
+        dim = lake.table(name).drop("created_at", "updated_at", names.BUCKET)
         fact = fact.join(dim, dim.columns[0], "left")
     return fact.select(
         "row_id", "calendar_date", "state_name", "market_name", "product_name", "productgroup_name", "variety",
@@ -466,6 +517,59 @@ def daily_star_facts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+@query
+def stream_daily_load(spark: SparkSession, sf: str) -> DataFrame:
+    """Facts of price files loaded as micro-batches, each of which is repeated once."""
+    lake, folder = _daily_lake(spark), scratch_path(spark, "landing")
+    _deliver(_with_bad_amounts(_price_text(spark, sf)), folder)
+    daily.load_date_dim(lake, "1995-01-01", "2010-12-31")
+
+    def twice(rows: DataFrame, batch_id: int) -> None:
+        for _ in range(2):
+            load_micro_batch(lake, rows, batch_id, "2024-01-03")
+
+    stream = stream_daily_files(spark, folder, 60, "2024-01-02").writeStream.foreachBatch(twice)
+    stream.option("checkpointLocation", scratch_path(spark, "stream")).trigger(availableNow=True).start().awaitTermination()
+    return _named_facts(lake)
+
+
+@query
+def fact_after_skipped_run(spark: SparkSession, sf: str) -> DataFrame:
+    """Product ids of facts where the facts of the first load were left out, and all products moved to another group in the second."""
+
+    def one_group(rows: DataFrame) -> DataFrame:
+        group = F.col("PRODUCTGROUP_NAME")
+        later = F.when(F.year("month") == 1996, F.concat(group, F.lit(" II"))).otherwise(group)
+        return rows.withColumns({"PRODUCT_NAME": F.concat_ws("/", "PRODUCT_NAME", group), "PRODUCTGROUP_NAME": later})
+
+    loads = iter(("2024-01-01 02:00:00", "2024-01-02 02:00:00"))
+
+    def dimensions_only(lake: Lakehouse) -> None:
+        as_of = next(loads)
+        daily.load_silver(lake, as_of)
+        daily.load_dimensions(lake, as_of)
+
+    lake = _two_landings(spark, sf, dimensions_only, one_group)
+    daily.load_date_dim(lake, "1995-01-01", "2010-12-31")
+    daily.load_facts(lake, "2024-01-02 03:00:00")
+    product = lake.table(names.DIM_PRODUCT).select("product_id", "product_name", "productgroup_name")
+    return lake.table(names.FACT).join(product, "product_id", "left").select("row_id", "product_id", "product_name", "productgroup_name")
+
+
+@query
+def step_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """What the steps of two daily loads have read, written and rejected, as they saw it while they wrote."""
+
+    def load(lake: Lakehouse) -> None:
+        daily.load_silver(lake, "2024-01-03")
+        daily.load_dimensions(lake, "2024-01-03")
+        daily.load_facts(lake, "2024-01-03")
+
+    log = _two_landings(spark, sf, load).table(names.RUN_LOG)
+    counts = [F.sum(c).alias(c) for c in ("rows_read", "rows_written", "rows_rejected")]
+    return log.where("process_name <> 'gold_dimension_load'").groupBy("process_name").agg(F.count(F.lit(1)).alias("runs"), *counts)
+
+
 # --- catalog tables ---------------------------------------------------------
 
 
@@ -529,12 +633,12 @@ def replace_managed_table(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def publish_version(spark: SparkSession, sf: str) -> DataFrame:
     """A table replaced by rows that are computed from itself: all orders, each a day later, three times over."""
-    name, root = _table_name("versions"), scratch_path(spark, "versions")
+    name, path = _table_name("versions"), scratch_path(spark, "versions")
     orders = _orders(spark, sf).select("o_orderkey", "o_orderdate")
-    tables.create_table(spark, name, orders.schema, tables.sink_path(root, name))
-    tables.publish(orders, name, root)
+    tables.create_table(spark, name, orders.schema, path)
+    tables.publish(orders, name, path)
     for _ in range(3):
-        tables.publish(spark.table(name).withColumn("o_orderdate", F.date_add("o_orderdate", 1)), name, root)
+        tables.publish(spark.table(name).withColumn("o_orderdate", F.date_add("o_orderdate", 1)), name, path)
     return spark.table(name)
 
 
