@@ -1,14 +1,16 @@
 """N-gram Jaccard join: size-banded tiles, bitmap bounds, exact sorted-array intersection.
 
 Two sets of Jaccard similarity t or more share an element among the first (1 - t) of each, in any order common to all; so
-tiles gather the documents that share such a prefix element, and sizes within the band that t allows. Elements of many documents
-come last in that order, so tiles stay small. Within a tile, bitmaps of BITS or more bits bound the overlap from above
-before two sets are intersected. First each document is held against the smallest of its tile; then only pairs that are not yet connected are.
+tiles gather the documents that share such a prefix element, and sizes within the band that t allows. The order is by document
+count, rarest first, read from a table of fixed size of hashed counts, so the elements of shared lines and passages
+stand in few prefixes. Bitmaps bound the overlap from above before two sets are intersected. First each document is held against the
+smallest of its tile. Then bitmaps are compared inside the tiles, and a pair leaves its tile only if its ends are not connected
+by then, so what is written grows with the rows of tiles, not with their pairs.
 """
 
 from __future__ import annotations
 
-import math
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -16,18 +18,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import components, ship
+from granary.llm.common import components, ship, spread
 from granary.llm.text import mix, shingle_sets, signed, slices, words
 from granary.staging import stage
 
 SHINGLE_WORDS = 5
 #: Fewest bits of a bitmap; a larger set has a power of two of at least 1.5 bits an element.
 BITS = 256
-#: An element of more than one in COMMON documents counts as frequent; there are at most COMMON times the mean set size of
-#: them. What counts only orders the prefixes, so a frequent element that goes unnoticed costs time, never a link.
-COMMON = 5000
-#: A batch of rows reports elements that more than this many of its different sets hold.
-NOTICED = 2
+#: Bits of a bitmap that travel with the rows of a tile at most; wider ones are folded.
+TILE_BITS = 2048
+#: Hashed document counts that order the elements: so many, whatever the number of documents. Elements that meet in one
+#: only change the order, which costs time, never a link.
+COUNTS = 1 << 22
+_COUNT_PARTS = 64
+#: Rows of a tile that one group holds at most twice; larger tiles are compared part by part.
+TILE_ROWS = 4096
 
 _U = np.uint64
 
@@ -54,43 +59,79 @@ def _fingerprint(found: np.ndarray) -> tuple[int, int]:
 
 
 def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, bits, common) per row; `common`, on one row of a batch, has the elements
-    that many documents of the batch hold, with their numbers of documents."""
+    """(doc_id, n_shingles, f1, f2, bits) per row."""
 
     def signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            n = batch.num_rows
-            sizes, prints, bits, held = [], [], [], []
+            sizes, prints, bits = [], [], []
             for _, found in _sets(batch.column(1), size):
                 sizes.append(len(found))
                 prints.append(_fingerprint(found))
                 bits.append(bitmap(found))
-                held.append(found)
-            common: list = [None] * n
-            if n:
-                different = dict(zip(prints, held)).values()
-                element, documents = np.unique(np.concatenate(list(different)), return_counts=True)
-                many = documents > max(NOTICED, n // COMMON)
-                common[0] = [{"h": h, "c": c} for h, c in zip(signed(element[many]).tolist(), documents[many].tolist())]
-            kind = pa.list_(pa.struct([("h", pa.int64()), ("c", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0), pa.array(sizes, pa.int64()),
                     pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()),
-                    pa.array(bits, pa.list_(pa.int64())), pa.array(common, kind),
+                    pa.array(bits, pa.list_(pa.int64())),
                 ],
-                ["doc_id", "n_shingles", "f1", "f2", "bits", "common"],
+                ["doc_id", "n_shingles", "f1", "f2", "bits"],
             )
 
-    return docs.mapInArrow(
-        signed_rows, "doc_id long, n_shingles long, f1 long, f2 long, bits array<long>, common array<struct<h:long,c:long>>"
+    return docs.mapInArrow(signed_rows, "doc_id long, n_shingles long, f1 long, f2 long, bits array<long>")
+
+
+def _slot(elements: np.ndarray) -> np.ndarray:
+    return (mix(elements ^ _U(0xD1B54A32D192ED03)) & _U(COUNTS - 1)).astype(np.int64)
+
+
+def count_levels(docs: DataFrame, size: int) -> np.ndarray:
+    """For each slot of the table, a level that rises with the number of documents whose elements fall there, as bytes.
+
+    Each task sums a table of its own over its rows, equal sets of a task once; tables are added part by part. The driver
+    gets COUNTS bytes, whatever the input.
+    """
+    step = COUNTS // _COUNT_PARTS
+
+    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen = np.zeros(COUNTS, np.int32), set()
+        for batch in batches:
+            held: list[np.ndarray] = []
+            for _, found in _sets(batch.column(0), size):
+                mark = _fingerprint(found)
+                if mark not in seen:
+                    seen.add(mark)
+                    held.append(found)
+            if held:
+                counts += np.bincount(_slot(np.concatenate(held)), minlength=COUNTS).astype(np.int32)
+        if seen:
+            parts = [zlib.compress(counts[k * step: (k + 1) * step].tobytes(), 1) for k in range(_COUNT_PARTS)]
+            yield pa.RecordBatch.from_arrays([pa.array(range(_COUNT_PARTS), pa.int32()), pa.array(parts, pa.binary())], ["part", "counts"])
+
+    def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                more = np.frombuffer(zlib.decompress(packed), np.int32)
+                sums[part] = sums.get(part, 0) + more.astype(np.int64)
+        if sums:
+            levels = [np.minimum(8 * np.log2(1.0 + c), 255).astype(np.uint8).tobytes() for c in sums.values()]
+            yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], ["part", "levels"])
+
+    summed = docs.select("text").mapInArrow(tables, "part int, counts binary").repartition(_COUNT_PARTS, "part").mapInArrow(
+        added, "part int, levels binary"
     )
+    out = np.zeros(COUNTS, np.uint8)
+    for row in summed.collect():
+        out[row["part"] * step: (row["part"] + 1) * step] = np.frombuffer(row["levels"], np.uint8)
+    return out
 
 
-def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> DataFrame:
+def prefixes(docs: DataFrame, size: int, percent: int, levels: np.ndarray) -> DataFrame:
     """(key, doc_id, n) for each prefix element of each different set of a task's rows."""
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        level_of = shared.value
         seen: set[tuple[int, int]] = set()
         for batch in batches:
             ids = batch.column(0)
@@ -101,11 +142,9 @@ def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> Da
                     continue
                 seen.add(mark)
                 take = n - -(-percent * n // 100) + 1
-                rare = found[~np.isin(found, common, assume_unique=True)] if len(common) else found
-                if len(rare) < take:
-                    rest = found[np.isin(found, common, assume_unique=True)]
-                    rare = np.concatenate((rare, rest))
-                keys.append(rare[:take])
+                # Sets are sorted by hash, so a stable sort by level orders all alike.
+                order = np.argsort(level_of[_slot(found)], kind="stable")[:take]
+                keys.append(found[order])
                 owners.append(np.full(take, ids[i].as_py()))
                 sizes.append(np.full(take, n))
             if keys:
@@ -117,6 +156,59 @@ def prefixes(docs: DataFrame, size: int, percent: int, common: np.ndarray) -> Da
     return docs.mapInArrow(cut, "key long, doc_id long, n int")
 
 
+def _folded(bits: np.ndarray, words_wide: int) -> np.ndarray:
+    while len(bits) > words_wide:
+        bits = bits[: len(bits) // 2] | bits[len(bits) // 2:]
+    return bits
+
+
+def tile_pairs(
+    ids: np.ndarray, sizes: np.ndarray, parts: np.ndarray, open_: np.ndarray, bits: list[np.ndarray],
+    failed: list[set[int]], percent: int, limit: int,
+) -> list[tuple[int, int]]:
+    """Pairs of one tile whose bitmaps allow the similarity, between rows of different `parts`, but for those in `failed`.
+
+    Two parts with a pair count as one from the `limit`-th pair on. open_ rows have no bitmap that bounds them.
+    """
+    order = np.lexsort((ids, sizes))
+    ids, sizes, parts, open_ = ids[order], sizes[order].astype(np.int64), parts[order].copy(), open_[order]
+    bits, failed = [bits[i] for i in order], [failed[i] for i in order]
+    wide = np.array([len(b) for b in bits])
+    tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+    made: dict[tuple[int, int], int] = {}
+    out = []
+    for i in range(len(ids) - 1):
+        if (parts == parts[0]).all():
+            break
+        width = wide[i]
+        if width not in tables:
+            # A row is compared with larger ones, whose bitmaps are as wide or wider; then they are folded.
+            rows = np.flatnonzero(wide >= width)
+            tables[width] = rows, np.stack([_folded(bits[j], width) for j in rows])
+        rows, table = tables[width]
+        near = (rows > i) & (percent * sizes[rows] <= 100 * sizes[i]) & (parts[rows] != parts[i])
+        if open_[i] or open_.any():
+            near |= (rows > i) & (parts[rows] != parts[i]) & (open_[rows] | open_[i])
+        rows, table = rows[near], table[near]
+        if not len(rows):
+            continue
+        mine = bits[i]
+        overlap = np.minimum(
+            sizes[i] - np.bitwise_count(mine & ~table).sum(1, dtype=np.int64), sizes[rows] - np.bitwise_count(table & ~mine).sum(1, dtype=np.int64)
+        )
+        allowed = 100 * overlap >= percent * (sizes[i] + sizes[rows] - overlap)
+        for j in rows[allowed | open_[rows] | open_[i]].tolist():
+            if parts[j] == parts[i] or int(ids[j]) in failed[i]:
+                continue
+            a, b = sorted((int(ids[i]), int(ids[j])))
+            out.append((a, b))
+            pair = tuple(sorted((int(parts[i]), int(parts[j]))))
+            made[pair] = made.get(pair, 0) + 1
+            if made[pair] >= limit:
+                parts[parts == parts[j]] = parts[i]
+    return out
+
+
 def _bound(percent: int, a: str, b: str) -> str:
     """Condition that the bitmaps of two rows allow the similarity."""
     # Sizes that may be similar have bitmaps of one width, or one of them has twice the other's and is folded.
@@ -180,12 +272,7 @@ def jaccard_components(
     ship(spark)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
     sig = stage(signatures(own, shingle_words), "signatures")
-    n_docs = sig.count()
-    frequent = (
-        sig.where("common is not null").select(F.explode("common").alias("e"))
-        .groupBy("e.h").agg(F.sum("e.c").alias("c")).where(F.col("c") > max(NOTICED, n_docs // COMMON)).select("h").collect()
-    )
-    common = np.sort(np.array([r["h"] % (1 << 64) for r in frequent], _U))
+    levels = count_levels(own, shingle_words)
 
     # Equal sets: one class each, joined to its smallest document.
     filled = sig.where("n_shingles > 0 and doc_id is not null")
@@ -198,7 +285,7 @@ def jaccard_components(
     # Tiles of the same documents are one: near copies share most of their prefixes.
     in_tile = Window.partitionBy("key")
     tiles = stage(
-        prefixes(own, shingle_words, percent, common)
+        prefixes(own, shingle_words, percent, levels)
         .withColumn("tile", F.bit_xor(F.xxhash64("doc_id")).over(in_tile))
         .withColumn("leader", F.min(F.struct("n", "doc_id")).over(in_tile))
         .withColumn("last", F.max(F.struct("n", "doc_id")).over(in_tile))
@@ -225,32 +312,73 @@ def jaccard_components(
         "star",
     )
 
-    def unconnected(links: DataFrame) -> DataFrame:
-        """Allowed pairs of a tile whose ends lie in different components of `links` and copies."""
+    def unconnected(links: DataFrame, failed: DataFrame | None, limit: int) -> DataFrame:
+        """Allowed pairs of a tile whose ends lie in different components of `links` and copies; see `tile_pairs`."""
         groups = components(links.union(copies))
         marked = tiles.join(groups, F.col("doc_id") == F.col("node"), "left").select(
             "key", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
         )
-        open_keys = marked.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("key")
-        rows = marked.join(open_keys, "key").withColumn(
-            "band", F.floor(F.log(F.col("n").cast("double")) / math.log(100 / percent)).cast("int") if percent < 100 else F.col("n")
-        )
-        # Equal or neighbouring bands hold all sizes that the similarity allows.
-        left = rows.select("key", "band", *[F.col(c).alias(f"l_{c}") for c in ("doc_id", "n", "c")])
-        right = rows.select("key", F.explode(F.array(F.col("band") - 1, F.col("band"), F.col("band") + 1)).alias("band"), "doc_id", "n", "c")
-        close = f"l_doc_id < doc_id and l_c <> c and 100 * least(l_n, n) >= {percent} * greatest(l_n, n)"
-        return bounded(
-            left.join(right, ["key", "band"]).where(close).select(F.col("l_doc_id").alias("a"), F.col("doc_id").alias("b")).distinct()
+        open_keys = marked.groupBy("key").agg(
+            F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("parts")
+        ).where("lo <> hi").select("key", "parts")
+        rows = marked.join(open_keys, "key")
+        # A tile of many rows falls into parts, and each two parts are a group: all pairs meet, no group is large.
+        mine = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
+        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+        rows = rows.select("key", "doc_id", "n", "c", mine.alias("p"), other.alias("q")).select(
+            "key", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"), "doc_id", "n", "c"
         )
-
-    # Held as connected for now: what the bitmaps allow. If an intersection then fails, the pairs it had
-    # made needless are held against each other too.
-    pairs = stage(star.union(unconnected(star)).distinct(), "pairs")
+        def folded_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                found = [_folded(np.array(b, np.int64), TILE_BITS // 64).tobytes() for b in batch.column(1).to_pylist()]
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(2)], ["_d", "bits", "open"])
+
+        needed = rows.select("doc_id").distinct()
+        small = one.join(needed, "doc_id", "left_semi").select(F.col("doc_id").alias("_d"), "bits", (F.col("rows") > 1).alias("open"))
+        small = small.mapInArrow(folded_bits, "_d long, bits binary, open boolean")
+        if failed is not None:
+            both = failed.select("a", "b").union(failed.select("b", "a"))
+            small = small.join(both.groupBy("a").agg(F.collect_set("b").alias("failed")), F.col("_d") == F.col("a"), "left").drop("a")
+        else:
+            small = small.withColumn("failed", F.lit(None).cast("array<bigint>"))
+        full = rows.join(small, F.col("doc_id") == F.col("_d")).select("key", "p", "q", "doc_id", "n", "c", "open", "bits", "failed")
+        grouped = spread(full, "key", "p", "q").sortWithinPartitions("key", "p", "q")
+
+        def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            def done(group: list[tuple]) -> pa.RecordBatch:
+                ids, sizes, parts, open_, bits, failed = zip(*group)
+                found = tile_pairs(
+                    np.array(ids), np.array(sizes), np.array(parts), np.array(open_, bool), [np.frombuffer(b, np.uint64) for b in bits],
+                    [set(f or ()) for f in failed], percent, limit,
+                )
+                return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+            at, group = None, []
+            for batch in batches:
+                for key, p, q, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                    if (key, p, q) != at:
+                        if group:
+                            yield done(group)
+                        at, group = (key, p, q), []
+                    group.append(tuple(row))
+            if group:
+                yield done(group)
+
+        return grouped.mapInArrow(compared, "a long, b long").distinct()
+
+    # Held as connected for now: what the bitmaps allow. Where an intersection then fails, more pairs of the parts it
+    # would have joined are held against each other, eight times as many in each round, until none fails.
+    pairs = stage(star.union(unconnected(star, None, 1)).distinct(), "pairs")
     links = stage(verified(pairs, own, shingle_words, percent), "links")
-    if links.count() < pairs.count():
-        more = stage(unconnected(links).join(pairs, ["a", "b"], "left_anti"), "pairs")
-        if more.head(1):
-            links = stage(links.union(verified(more, own, shingle_words, percent)).distinct(), "links")
+    failed, limit = stage(pairs.exceptAll(links), "failed"), 8
+    while failed.head(1):
+        more = stage(unconnected(links, failed, limit), "pairs")
+        good = stage(verified(more, own, shingle_words, percent), "links")
+        bad = stage(more.exceptAll(good), "failed")
+        links, limit = links.union(good), 8 * limit
+        if not bad.head(1):
+            break
+        failed = failed.union(bad)
     groups = components(links.union(copies))
     return sig.join(groups, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
