@@ -34,7 +34,16 @@ def stage(df: DataFrame, label: str = "stage") -> DataFrame:
     """Write `df` to the shared folder and return the written table."""
     path = scratch_path(df.sparkSession, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    staged = df.sparkSession.read.schema(df.schema).parquet(path)
+    staged._staged_at = path
+    return staged
+
+
+def discard(*staged: DataFrame) -> None:
+    """Delete the files of staged tables. Only for tables of which all that was computed from them is written itself."""
+    for df in staged:
+        path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(df._staged_at)
+        path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stage_counted(df: DataFrame, label: str = "stage") -> tuple[DataFrame, int]:

@@ -8,6 +8,7 @@ from granary import schemas as S
 from granary.operators.checks import DuplicateKeyError, repeated_keys, require_unique
 from granary.operators.dimensions import date_dim, date_spine, load_dim, new_dim_rows
 from granary.operators.ids import dense_ids, highest_id
+from granary import staging
 from granary.staging import empty_table
 
 
@@ -82,3 +83,13 @@ def test_unique_keys(spark):
     assert require_unique(df, ["k", "v"], "pairs") is df
     with pytest.raises(DuplicateKeyError, match="keys"):
         require_unique(df, ["k"], "keys")
+
+
+def test_discarded_tables_leave_no_files(spark, tmp_path):
+    import os
+
+    kept, gone = (staging.stage(spark.range(3), label) for label in ("kept", "gone"))
+    copied = staging.stage(gone, "copied")
+    staging.discard(gone)
+    assert not os.path.exists(gone._staged_at.removeprefix("file:"))
+    assert kept.count() == copied.count() == 3
