@@ -7,6 +7,7 @@ but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from granary.llm import toxicity
 from granary.llm.mixing import mixed
@@ -28,14 +29,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest document of each group linked by shingles; of rows that repeat an id one stays. Null ids stay."""
+    """The smallest document of each group linked by shingles. Null ids stay. Of rows that repeat an id the one stays whose text
+    has the smallest hash (then the smallest row), so reruns agree."""
     groups = stage(jaccard_components(docs), "groups")
     gone = groups.where("component_id <> doc_id").select("doc_id").distinct()
     kept = docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
-    repeated = groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1")
-    if repeated.head(1):
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).union(kept.where("doc_id is null"))
-    return kept
+    repeated = stage(groups.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated")
+    if not repeated.head(1):
+        return kept
+    several = kept.join(repeated, "doc_id", "left_semi")
+    row = F.struct(F.sha2(F.coalesce("text", F.lit("")), 256).alias("_hash"), *docs.columns)
+    one = several.groupBy(F.col("doc_id").alias("_id")).agg(F.min(row).alias("_row")).select("_row.*").drop("_hash")
+    return kept.join(repeated, "doc_id", "left_anti").select(*docs.columns).unionByName(one)
 
 
 def cut_near_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
