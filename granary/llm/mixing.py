@@ -1,9 +1,9 @@
 """Mixing sources to target weights, by fixed-length blocks of words.
 
 The words of a source, document after document, are cut into blocks of BLOCK_WORDS. Output shards
-draw how many blocks they take of each source: a binary tree over the shards splits the
-sources' quotas by multivariate hypergeometric draws, so every shard's counts are a multinomial draw
-given that the totals meet the quotas, and any shard finds its own by walking down from the root.
+draw how many blocks they take of each source: a binary tree over the shards splits each
+source's quota by a binomial draw at every node, so its counts over the shards are one multinomial draw that meets the
+quota, and any shard finds its own by walking down from the root. Shards vary a little in size.
 The k-th block a source gives is a pseudorandom permutation of k; blocks are then
 joined to the documents they cover by their index.
 """
@@ -22,8 +22,6 @@ from granary.staging import stage
 
 BLOCK_WORDS = 64
 SHARD_BLOCKS = 4096
-# numpy draws exactly below this many items; larger nodes are drawn in even parts.
-LARGEST_DRAW = 900_000_000
 
 WORD = "[^\\x20\\x09-\\x0D]+"
 
@@ -50,26 +48,12 @@ def targets(sizes: dict, weights: tuple = (5, 2, 1), total_share: float = 1.5, c
     return target
 
 
-def even_parts(counts: np.ndarray, parts: int) -> Iterator[np.ndarray]:
-    """`counts` dealt into parts that differ by one at most in each."""
-    for i in range(parts):
-        yield counts // parts + (i < counts % parts)
-
-
 def shard_counts(quotas: np.ndarray, n_shards: int, shard: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Blocks of each source in a shard, and those in the shards before it."""
     low, high, here, before = 0, n_shards, quotas.astype(np.int64), np.zeros(len(quotas), np.int64)
     while high - low > 1:
         middle = (low + high) // 2
-        n = int(here.sum()) * (middle - low) // (high - low)
-        draw = np.random.default_rng([seed, low, high])
-        parts = int(here.sum()) // LARGEST_DRAW + 1
-        left = np.zeros_like(here)
-        for items, take in zip(even_parts(here, parts), even_parts(np.array([n]), parts)):
-            left += draw.multivariate_hypergeometric(items, min(int(take[0]), int(items.sum())), method="marginals")
-        # Uneven last items can leave a part short of its share.
-        for s in np.argsort(left - here, kind="stable").tolist():
-            left[s] += min(n - int(left.sum()), int(here[s] - left[s]))
+        left = np.random.default_rng([seed, low, high]).binomial(here, (middle - low) / (high - low))
         if shard < middle:
             high, here = middle, left
         else:

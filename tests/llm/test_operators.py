@@ -436,18 +436,18 @@ def test_mix_takes_each_row_for_itself(spark):
     assert taken == sum(r["taken"] for r in digest)
 
 
-def test_large_nodes_are_drawn_too(monkeypatch):
-    quotas = np.array([50_000, 300, 0, 7_700])
-    one = [mixing.shard_counts(quotas, 2, 0, seed)[0] for seed in range(400)]
-    monkeypatch.setattr(mixing, "LARGEST_DRAW", 900)
+@pytest.mark.parametrize("scale", [1, 10**9])
+def test_shard_counts_are_multinomial_draws_at_any_size(scale):
+    quotas = np.array([5_000, 300, 0, 7_700], np.int64) * scale
     shards = [mixing.shard_counts(quotas, 7, s, 1) for s in range(7)]
     assert (sum(here for here, _ in shards) == quotas).all() and min(here.min() for here, _ in shards) >= 0
     assert all((shards[i][0] + shards[i][1] == shards[i + 1][1]).all() for i in range(6))
-    many = [mixing.shard_counts(quotas, 2, 0, seed)[0] for seed in range(400)]
-    assert {int(c.sum()) for c in many} == {29_000}
-    # The same spread as one draw has, within what 400 draws tell.
-    spread, want = np.std(many, 0), np.std(one, 0)
-    assert (abs(spread - want) <= 0.2 * want).all() and spread[0] > 10
+    # A shard's count of a source is binomial: mean quota / shards, variance quota * p * (1 - p), within what 600 draws tell.
+    drawn = np.array([mixing.shard_counts(quotas, 7, 3, seed)[0] for seed in range(600)], float)
+    spread = np.sqrt(quotas * 6 / 49)
+    held = quotas > 0
+    assert (abs(drawn.mean(0) - quotas / 7)[held] <= 5 * spread[held] / 600**0.5).all()
+    assert (abs(drawn.std(0) - spread)[held] <= 0.15 * spread[held]).all() and not drawn[:, ~held].any()
 
 
 def test_packing_rows_under_each_capacity(spark):
