@@ -58,10 +58,6 @@ def overwrite_json(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").json(path)
 
 
-def overwrite_parquet(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").parquet(path)
-
-
 def create_table(
     spark: SparkSession, name: str, schema: StructType, location: str,
     partition_by: tuple[str, ...] = (),

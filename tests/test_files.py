@@ -3,6 +3,7 @@ import json
 
 import pytest
 
+from granary.plans import reference_data
 from granary import schemas as S
 from granary.plans.reference_data import copy_reference_table
 from granary.sinks import tables
@@ -190,3 +191,16 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
     assert staged.count() == 7
     assert all(f.startswith(f"file:{root}") or root in f for f in staged.inputFiles())
 
+
+
+def test_reference_tables_are_copied_one_by_one(spark, tmp_path, monkeypatch):
+    asked = []
+
+    def read(spark, url, table, properties, slices):
+        asked.append((url, table, slices))
+        return spark.range(len(asked)).withColumnRenamed("id", "code")
+
+    monkeypatch.setattr(reference_data, "read_jdbc_table", read)
+    copied = reference_data.copy_reference_data(spark, "jdbc:x", str(tmp_path), {}, ("a.b", "a.c"), {"a.c": "slices"})
+    assert asked == [("jdbc:x", "a.b", None), ("jdbc:x", "a.c", "slices")]
+    assert [(c.table, c.rows, spark.read.parquet(c.path).count()) for c in copied] == [("a.b", 1, 1), ("a.c", 2, 2)]
