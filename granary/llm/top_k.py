@@ -1,9 +1,10 @@
 """Exact top-k inner products by MaxScore.
 
-A query's terms are its dimensions; the posting list of a term holds the rows to whose score it adds. Within a
-shard every term has a bound, the most it can add. Terms in order of falling bound are split where the bounds of the rest no
-longer reach the k-th best score so far: only rows in an essential term's list can compete. Those are scored on the
-essential terms, and then probed in the others, largest bound first, as long as what is left could bring them in.
+A query's terms are its dimensions. A term's posting list holds the rows to whose score it adds: those whose component has the query's
+sign there. Lists are kept per block of rows, with the most that each can add. Terms in order of falling bound are split where the
+bounds of the rest no longer reach the k-th best score so far: only rows in an essential term's list can compete. Those lists
+are traversed; the rows found are then probed in the other terms, largest bound first, and for what essential terms take away, as
+long as what is left could bring them in. A block whose bounds together don't reach the k-th best score is passed over.
 """
 
 from __future__ import annotations
@@ -21,46 +22,42 @@ QUERY_BLOCK = 1024
 STEP = 4096
 
 
+class Block:
+    """Some rows of a shard in order of their ids: components by dimension, and two posting lists of each dimension."""
+
+    def __init__(self, ids: np.ndarray, values: np.ndarray):
+        self.ids = ids
+        self.terms = np.ascontiguousarray(values.T)
+        self.lists = []
+        for mask, most in ((self.terms > 0, self.terms.max(1)), (self.terms < 0, self.terms.min(1))):
+            dimension, row = np.nonzero(mask)
+            cuts = np.searchsorted(dimension, np.arange(len(self.terms) + 1))
+            self.lists.append((cuts, row.astype(np.int32), self.terms[mask], most))
+
+    def bounds(self, query: np.ndarray) -> np.ndarray:
+        """The most that each term adds to the score of a row."""
+        return np.maximum(0, np.where(query > 0, query * self.lists[0][3], query * self.lists[1][3]))
+
+    def postings(self, term: int, positive: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of a term's list, and their components."""
+        cuts, rows, values, _ = self.lists[0 if positive else 1]
+        return rows[cuts[term]: cuts[term + 1]], values[cuts[term]: cuts[term + 1]]
+
+
 class Shard:
-    """Rows of one shard: ids, and their integer components by dimension."""
+    """Rows of one shard, in blocks. `probed` counts the components looked up outside of posting lists."""
 
     def __init__(self, ids: np.ndarray, values: np.ndarray):
         order = np.argsort(ids, kind="stable")
-        self.ids = ids[order]
-        self.terms = np.ascontiguousarray(values[order].T)
-        self.most = self.terms.max(1) if len(ids) else None
-        self.least = self.terms.min(1) if len(ids) else None
+        self.blocks = [Block(ids[order[at: at + STEP]], values[order[at: at + STEP]]) for at in range(0, len(ids), STEP)]
+        self.probed = 0
 
     def search(self, query: np.ndarray, k: int, but: int | None = None) -> list[tuple[int, int]]:
         """The k best (score, id), highest first, ties to the smaller id; without id `but`."""
-        if not len(self.ids) or k <= 0:
-            return []
-        bounds = np.maximum(0, np.maximum(query * self.most, query * self.least))
-        order = np.argsort(-bounds, kind="stable")
-        # rest[i]: the most that the terms from the i-th on can add.
-        rest = np.append(np.cumsum(bounds[order][::-1])[::-1], 0)
         best_scores, best_ids = np.zeros(0, np.int64), np.zeros(0, np.int64)
         least = None
-        for at in range(0, len(self.ids), STEP):
-            block = self.terms[:, at: at + STEP]
-            ids = self.ids[at: at + STEP]
-            # Essential terms: without them the rest alone stays below the k-th best score.
-            essential = len(order) if least is None else int(np.searchsorted(-rest, -least, side="right"))
-            if essential == 0:
-                break
-            adds = block[order[:essential]] * query[order[:essential], None]
-            # While the k-th best score is negative, rows to which no term adds can still come in.
-            prunes = least is not None and least >= 0
-            alive = np.flatnonzero((adds > 0).any(0)) if prunes else np.arange(len(ids))
-            score = adds[:, alive].sum(0)
-            for i in range(essential, len(order)):
-                if least is not None:
-                    stays = score + rest[i] >= least
-                    alive, score = alive[stays], score[stays]
-                if not len(alive):
-                    break
-                score = score + block[order[i], alive] * query[order[i]]
-            found = ids[alive]
+        for block in self.blocks if k > 0 else ():
+            score, found = self._block(block, query, least)
             if but is not None:
                 score, found = score[found != but], found[found != but]
             best_scores, best_ids = np.append(best_scores, score), np.append(best_ids, found)
@@ -70,6 +67,37 @@ class Shard:
                 least = best_scores[-1]
         return list(zip(best_scores.tolist(), best_ids.tolist()))
 
+    def _block(self, block: Block, query: np.ndarray, least: int | None) -> tuple[np.ndarray, np.ndarray]:
+        """Scores and ids of the rows of a block that can have more than `least`: later ids lose ties."""
+        bounds = block.bounds(query)
+        order = np.argsort(-bounds, kind="stable")
+        # rest[i]: the most that the terms from the i-th on can add.
+        rest = np.append(np.cumsum(bounds[order][::-1])[::-1], 0)
+        if least is None or least < 0:
+            # Rows to which no term adds can come in too: all are probed in all terms.
+            self.probed += block.terms.size
+            return query @ block.terms, block.ids
+        essential = int(np.flatnonzero(rest <= least)[0])
+        adds, listed = np.zeros(len(block.ids), np.int64), np.zeros(len(block.ids), bool)
+        for term in order[:essential].tolist():
+            if query[term]:
+                rows, values = block.postings(term, query[term] > 0)
+                adds[rows] += values * query[term]
+                listed[rows] = True
+        alive = np.flatnonzero(listed & (adds + rest[essential] > least))
+        score = adds[alive]
+        for i in [*range(essential, len(order)), *range(essential)]:
+            if not len(alive):
+                break
+            term = order[i]
+            values = block.terms[term, alive] * query[term]
+            self.probed += len(alive)
+            # Of essential terms what they add is in the score already.
+            score = score + (np.minimum(values, 0) if i < essential else values)
+            stays = score + (rest[i + 1] if i >= essential else 0) > least
+            alive, score = alive[stays], score[stays]
+        return score, block.ids[alive]
+
 
 def top_k(
     df: DataFrame,

@@ -508,3 +508,18 @@ def test_cache_of_pieces_is_bounded(monkeypatch):
     value = prose(3000, 77)
     assert own.encode(value) == own.encode(value) == np.array(own.library.encode(value, add_special_tokens=False).ids, "<u4").tobytes()
     assert len(own.pieces) <= 12
+
+
+def test_top_k_probes_candidates_only(monkeypatch):
+    monkeypatch.setattr(top_k, "STEP", 64)
+    values = _rng.normal(size=(1024, 32))
+    values[::5] = 0.3 * values[::5] + values[7]
+    values = np.floor(100 * values).astype(np.int64)
+    index = top_k.Shard(np.arange(1024), values)
+    for i in range(0, 1024, 100):
+        want = sorted((-int(v @ values[i]), j) for j, v in enumerate(values) if j != i)[:10]
+        assert [(-s, j) for s, j in index.search(values[i], 10, but=i)] == want
+    assert 0 < index.probed < 0.8 * 11 * values.size
+    # A block that holds nothing but the opposite of the query is not looked at.
+    far = top_k.Shard(np.arange(128), np.concatenate((np.ones((64, 4), np.int64), -np.ones((64, 4), np.int64))))
+    assert [i for _, i in far.search(np.ones(4, np.int64), 10)] == list(range(10)) and far.probed == 64 * 4
