@@ -23,10 +23,12 @@ from granary.llm.text import mix, shingle_sets, signed, slices, words
 from granary.staging import stage
 
 SHINGLE_WORDS = 5
-#: Fewest bits of a bitmap; a larger set has a power of two of at least 1.5 bits an element.
+#: Fewest bits of a bitmap; a larger set has a power of two of at least BITS_AN_ELEMENT bits an element. At 6 to 12 bits, pairs
+#: that miss a similarity of 0.75 by 0.03 or more seldom pass.
 BITS = 256
+BITS_AN_ELEMENT = 6
 #: Bits of a bitmap that travel with the rows of a tile at most; wider ones are folded.
-TILE_BITS = 2048
+TILE_BITS = 1 << 14
 #: Hashed document counts that order the elements: so many, whatever the number of documents. Elements that meet in one
 #: only change the order, which costs time, never a link.
 COUNTS = 1 << 22
@@ -39,7 +41,7 @@ _U = np.uint64
 
 def bitmap(found: np.ndarray) -> np.ndarray:
     """Bits as signed 64-bit words: for each element's hash h, bit h modulo the number of bits is set."""
-    width = max(BITS, 1 << (3 * len(found) // 2 - 1).bit_length()) if len(found) else BITS
+    width = max(BITS, 1 << (BITS_AN_ELEMENT * len(found) - 1).bit_length()) if len(found) else BITS
     bits = np.zeros(width, np.uint8)
     bits[(mix(found ^ _U(0x5851F42D4C957F2D)) & _U(width - 1)).astype(np.int64)] = 1
     return np.packbits(bits).view("<i8")
@@ -58,54 +60,48 @@ def _fingerprint(found: np.ndarray) -> tuple[int, int]:
     return tuple(signed(pair).tolist())
 
 
-def signatures(docs: DataFrame, size: int) -> DataFrame:
-    """(doc_id, n_shingles, f1, f2, bits) per row."""
-
-    def signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sizes, prints, bits = [], [], []
-            for _, found in _sets(batch.column(1), size):
-                sizes.append(len(found))
-                prints.append(_fingerprint(found))
-                bits.append(bitmap(found))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0), pa.array(sizes, pa.int64()),
-                    pa.array([p[0] for p in prints], pa.int64()), pa.array([p[1] for p in prints], pa.int64()),
-                    pa.array(bits, pa.list_(pa.int64())),
-                ],
-                ["doc_id", "n_shingles", "f1", "f2", "bits"],
-            )
-
-    return docs.mapInArrow(signed_rows, "doc_id long, n_shingles long, f1 long, f2 long, bits array<long>")
-
-
 def _slot(elements: np.ndarray) -> np.ndarray:
     return (mix(elements ^ _U(0xD1B54A32D192ED03)) & _U(COUNTS - 1)).astype(np.int64)
 
 
-def count_levels(docs: DataFrame, size: int) -> np.ndarray:
-    """For each slot of the table, a level that rises with the number of documents whose elements fall there, as bytes.
-
-    Each task sums a table of its own over its rows, equal sets of a task once; tables are added part by part. The driver
-    gets COUNTS bytes, whatever the input.
-    """
+def signatures(docs: DataFrame, size: int) -> DataFrame:
+    """(doc_id, n_shingles, f1, f2, bits, part, counts): a row per document, part NULL; and _COUNT_PARTS rows per task with its
+    table of hashed document counts, equal sets of the task counted once."""
     step = COUNTS // _COUNT_PARTS
+    names = ["doc_id", "n_shingles", "f1", "f2", "bits", "part", "counts"]
+    kinds = [pa.int64()] * 4 + [pa.list_(pa.int64()), pa.int32(), pa.binary()]
 
-    def tables(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(COUNTS, np.int32), set()
         for batch in batches:
-            held: list[np.ndarray] = []
-            for _, found in _sets(batch.column(0), size):
+            sizes, prints, bits, held = [], [], [], []
+            for _, found in _sets(batch.column(1), size):
                 mark = _fingerprint(found)
+                sizes.append(len(found))
+                prints.append(mark)
+                bits.append(bitmap(found))
                 if mark not in seen:
                     seen.add(mark)
                     held.append(found)
             if held:
                 counts += np.bincount(_slot(np.concatenate(held)), minlength=COUNTS).astype(np.int32)
+            n = batch.num_rows
+            columns = [batch.column(0), sizes, [p[0] for p in prints], [p[1] for p in prints], bits, [None] * n, [None] * n]
+            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names)
         if seen:
-            parts = [zlib.compress(counts[k * step: (k + 1) * step].tobytes(), 1) for k in range(_COUNT_PARTS)]
-            yield pa.RecordBatch.from_arrays([pa.array(range(_COUNT_PARTS), pa.int32()), pa.array(parts, pa.binary())], ["part", "counts"])
+            tables = [zlib.compress(counts[k * step: (k + 1) * step].tobytes(), 1) for k in range(_COUNT_PARTS)]
+            none = [None] * _COUNT_PARTS
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([none] * 5 + [range(_COUNT_PARTS), tables], kinds)], names)
+
+    return docs.mapInArrow(signed_rows, "doc_id long, n_shingles long, f1 long, f2 long, bits array<long>, part int, counts binary")
+
+
+def count_levels(tables: DataFrame) -> np.ndarray:
+    """For each slot of the table, a level that rises with the number of documents whose elements fall there, as bytes.
+
+    The tasks' tables are added part by part. The driver gets COUNTS bytes, whatever the input.
+    """
+    step = COUNTS // _COUNT_PARTS
 
     def added(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -117,11 +113,8 @@ def count_levels(docs: DataFrame, size: int) -> np.ndarray:
             levels = [np.minimum(8 * np.log2(1.0 + c), 255).astype(np.uint8).tobytes() for c in sums.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], ["part", "levels"])
 
-    summed = docs.select("text").mapInArrow(tables, "part int, counts binary").repartition(_COUNT_PARTS, "part").mapInArrow(
-        added, "part int, levels binary"
-    )
     out = np.zeros(COUNTS, np.uint8)
-    for row in summed.collect():
+    for row in tables.repartition(_COUNT_PARTS, "part").mapInArrow(added, "part int, levels binary").collect():
         out[row["part"] * step: (row["part"] + 1) * step] = np.frombuffer(row["levels"], np.uint8)
     return out
 
@@ -271,8 +264,9 @@ def jaccard_components(
     spark = docs.sparkSession
     ship(spark)
     own = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text"))
-    sig = stage(signatures(own, shingle_words), "signatures")
-    levels = count_levels(own, shingle_words)
+    signed_ = stage(signatures(own, shingle_words), "signatures")
+    sig = signed_.where("part is null").drop("part", "counts")
+    levels = count_levels(signed_.where("part is not null").select("part", "counts"))
 
     # Equal sets: one class each, joined to its smallest document.
     filled = sig.where("n_shingles > 0 and doc_id is not null")
@@ -367,15 +361,15 @@ def jaccard_components(
         return grouped.mapInArrow(compared, "a long, b long").distinct()
 
     # Held as connected for now: what the bitmaps allow. Where an intersection then fails, more pairs of the parts it
-    # would have joined are held against each other, eight times as many in each round, until none fails.
+    # would have joined are held against each other, 64 times as many in each round, until none fails.
     pairs = stage(star.union(unconnected(star, None, 1)).distinct(), "pairs")
     links = stage(verified(pairs, own, shingle_words, percent), "links")
-    failed, limit = stage(pairs.exceptAll(links), "failed"), 8
+    failed, limit = stage(pairs.exceptAll(links), "failed"), 64
     while failed.head(1):
         more = stage(unconnected(links, failed, limit), "pairs")
         good = stage(verified(more, own, shingle_words, percent), "links")
         bad = stage(more.exceptAll(good), "failed")
-        links, limit = links.union(good), 8 * limit
+        links, limit = links.union(good), 64 * limit
         if not bad.head(1):
             break
         failed = failed.union(bad)
