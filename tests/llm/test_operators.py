@@ -523,3 +523,67 @@ def test_top_k_probes_candidates_only(monkeypatch):
     # A block that holds nothing but the opposite of the query is not looked at.
     far = top_k.Shard(np.arange(128), np.concatenate((np.ones((64, 4), np.int64), -np.ones((64, 4), np.int64))))
     assert [i for _, i in far.search(np.ones(4, np.int64), 10)] == list(range(10)) and far.probed == 64 * 4
+
+
+def test_toxicity_scores_are_the_noisy_or_of_sentences():
+    names = ["bad", "awful", "fine", "É"]
+    found = text.words(pa.array([" ".join(names)]), text.LETTERS_ONLY).hashes
+    order = np.argsort(found)
+    weights = {"bad": 3.0, "awful": 1.5, "fine": -2.0, "é": 0.7}
+    model = toxicity.Model(-2.5, found[order], np.array([3.0, 1.5, -2.0, 0.7])[order])
+    values = [
+        "bad fine. awful!\nnothing here", "bad bad awful", None, "", " . ! ", "É fine", "fine. " * 40_000 + "bad awful", "bad fine. awful!\nnothing here",
+    ]
+
+    def plain(value):
+        clean = 1.0
+        for sentence in re.split(r"[.!?\n\r]", value or ""):
+            spoken = re.findall(r"[0-9a-z\u0080-￿]+", re.sub("[A-Z]", lambda m: m[0].lower(), sentence))
+            if spoken:
+                z = -2.5 + sum(weights.get(w.replace("É", "é"), 0.0) if w != "É" else 0.7 for w in spoken)
+                clean *= 1 - 1 / (1 + np.exp(-z))
+        return 1 - clean
+
+    got = toxicity.document_scores(model, pa.array(values))
+    assert np.allclose(got, [plain(v) for v in values]) and got[0] == got[-1] and got[2] == got[3] == got[4] == 0
+
+
+def test_near_passages_are_found_at_the_threshold(spark):
+    """Planted passages with words changed, dropped and put in, against the similarity of their shingles."""
+    rows, near, exact = [], [], []
+    for p in range(60):
+        rng = np.random.default_rng(40_000 + p)
+        passage = prose(int(rng.integers(60, 160)), 50_000 + p).split()
+        changed = list(passage)
+        for _ in range(p % 5):
+            at = int(rng.integers(0, len(changed)))
+            changed[at: at + 1] = [[], ["new", "words"], [f"y{p}"]][int(rng.integers(0, 3))]
+        sets = [{tuple(w[i: i + 5]) for i in range(len(w) - 4)} for w in (passage, changed)]
+        similar = len(sets[0] & sets[1]) / len(sets[0] | sets[1])
+        rows.append((10 * p, " ".join([prose(80, 60_000 + p), *passage, prose(50, 61_000 + p)])))
+        rows.append((10 * p + 1, " ".join([prose(30, 62_000 + p), *changed, prose(90, 63_000 + p)])))
+        if changed == passage:
+            exact.append(10 * p + 1)
+        elif similar >= 0.75:
+            near.append(10 * p + 1)
+    found = {r["doc_id"] for r in passage_dedup.near_duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()}
+    assert set(exact) <= found and len(near) > 25
+    assert len(found & set(near)) >= 0.9 * len(near) and found <= {i for i, _ in rows if i % 10 == 1}
+
+
+def test_pipeline_stages_on_awkward_rows(spark):
+    rows = [(i, t, "en", None if i % 5 == 0 else f"s{i % 3}", len(t or "")) for i, t in TEXTS.items()]
+    rows += [(1, "another text of one id.", "en", "s1", 9), (None, "no id", None, "s1", 5), (None, None, None, None, None)] + rows[:4]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(5)
+    labels = "/tmp/none"
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES[1:]:
+        docs = corpus_pipeline.stage(stage(spark, docs, labels))
+        kept[name] = docs.count()
+        if name == "ngram_join":
+            ids = [r["doc_id"] for r in docs.select("doc_id").collect()]
+            assert ids.count(None) == 2 and ids.count(1) == 1 and 2 not in ids and 3 not in ids
+            first = sorted(map(str, docs.collect()))
+    again = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
+    assert sorted(map(str, corpus_pipeline.one_of_each_group(spark, again, labels).collect())) == first
+    assert kept["packing"] > 0
