@@ -361,15 +361,15 @@ def jaccard_components(
         return grouped.mapInArrow(compared, "a long, b long").distinct()
 
     # Held as connected for now: what the bitmaps allow. Where an intersection then fails, more pairs of the parts it
-    # would have joined are held against each other, 64 times as many in each round, until none fails.
+    # would have joined are held against each other, 4,096 times as many in each round, until none fails.
     pairs = stage(star.union(unconnected(star, None, 1)).distinct(), "pairs")
     links = stage(verified(pairs, own, shingle_words, percent), "links")
-    failed, limit = stage(pairs.exceptAll(links), "failed"), 64
+    failed, limit = stage(pairs.exceptAll(links), "failed"), 4096
     while failed.head(1):
         more = stage(unconnected(links, failed, limit), "pairs")
         good = stage(verified(more, own, shingle_words, percent), "links")
         bad = stage(more.exceptAll(good), "failed")
-        links, limit = links.union(good), 64 * limit
+        links, limit = links.union(good), 4096 * limit
         if not bad.head(1):
             break
         failed = failed.union(bad)
