@@ -4,10 +4,9 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from granary.functions import table_folder
 
@@ -136,12 +135,10 @@ def point_partitions(spark: SparkSession, name: str, path: str, partitions: list
         spark.catalog.refreshTable(name)
 
 
-def _written(spark: SparkSession, path: str, columns: list[str]) -> list[dict[str, object]]:
-    """Values of the partition columns below `path`: one row per partition that was written."""
-    try:
-        rows = spark.read.option("basePath", path).parquet(path).select(*columns).distinct().collect()
-    except AnalysisException:  # nothing was written, not even a schema
-        return []
+def _written(spark: SparkSession, path: str, columns: list[str]) -> list[dict[str, str | None]]:
+    """Values of the partition columns below `path` as text, as the folders spell them: one row per partition that was written."""
+    schema = StructType([StructField(c, StringType()) for c in columns])
+    rows = spark.read.schema(schema).option("basePath", path).parquet(path).distinct().collect()
     return [row.asDict() for row in rows]
 
 

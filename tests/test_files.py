@@ -2,6 +2,7 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from granary.plans import reference_data
 from granary import schemas as S
@@ -204,3 +205,18 @@ def test_reference_tables_are_copied_one_by_one(spark, tmp_path, monkeypatch):
     copied = reference_data.copy_reference_data(spark, "jdbc:x", str(tmp_path), {}, ("a.b", "a.c"), {"a.c": "slices"})
     assert asked == [("jdbc:x", "a.b", None), ("jdbc:x", "a.c", "slices")]
     assert [(c.table, c.rows, spark.read.parquet(c.path).count()) for c in copied] == [("a.b", 1, 1), ("a.c", 2, 2)]
+
+
+def test_partitions_are_replaced_by_the_values_their_folders_spell(spark, tmp_path):
+    name = "parts_test.spelled"
+    rows = [(1, "01", 5), (2, "1", 5), (3, "a b/'c", 6), (4, None, 6)]
+    schema = StructType([StructField("v", LongType()), StructField("code", StringType()), StructField("n", LongType())])
+    tables.create_table(spark, name, schema, str(tmp_path / "spelled"), ("code", "n"))
+    try:
+        tables.replace_partitions(spark.createDataFrame(rows, schema), name)
+        assert sorted(map(tuple, spark.table(name).collect())) == sorted(rows)
+        tables.replace_partitions(spark.table(name).where("code = '01' or code is null").selectExpr("v * 10 AS v", "code", "n"), name)
+        tables.replace_partitions(spark.createDataFrame([], schema), name)
+        assert sorted(map(tuple, spark.table(name).collect())) == sorted([(10, "01", 5), (2, "1", 5), (3, "a b/'c", 6), (40, None, 6)])
+    finally:
+        spark.sql(f"DROP TABLE {name}")
