@@ -53,19 +53,25 @@ def split_outcomes(
     Rejects carry `landed`, the text as it came, and `rejected_columns`; typed rows have NULL there. `keep` names columns to
     carry along. `seen` observes rows_read and rows_rejected while the result is written.
     """
-    names = F.array_compact(F.array(*[F.when(bad, F.lit(name)) for name, bad in _failed(raw).items()]))
-    columns = [_typed().get(name, F.col(name)).alias(name.lower()) for name in S.PRICING_COLUMNS]
-    landed = F.struct(*[F.col(c) for c in S.LANDED_PRICING.fieldNames()])
-    rows = stamped(raw.select(*columns, "source_file_load_date", landed.alias("_landed"), names.alias("_names"), *keep), as_of)
+    # Each value is parsed once: what failed is read off the typed columns, and the text is put together for rejects alone.
+    typed = _typed()
+    columns = [typed.get(name, F.col(name)).alias(name.lower()) for name in S.PRICING_COLUMNS]
+    text = [F.col(c).alias(f"_text_{c}") for c in S.LANDED_PRICING.fieldNames()]
+    rows = raw.select(*columns, "source_file_load_date", *text, *keep)
+    failed = {name.lower(): F.col(f"_text_{name}").isNotNull() & F.col(name.lower()).isNull() for name in typed}
+    failed["source_file_load_date"] = F.col("source_file_load_date").isNull()
+    # Text without lambdas, which would keep the whole projection from being compiled.
+    names = F.concat_ws(",", *[F.when(bad, F.lit(name)) for name, bad in failed.items()])
+    rows = stamped(rows.withColumn("_names", names), as_of)
     if seen is not None:
-        bad = F.count_if(F.size("_names") > 0)
+        bad = F.count_if(F.col("_names") != "")
         rows = rows.observe(seen, F.count(F.lit(1)).alias("rows_read"), bad.alias("rows_rejected"))
-    outcomes = F.when(F.size("_names") > 0, F.array(F.lit("typed"), F.lit("rejected"))).otherwise(F.array(F.lit("typed")))
+    outcomes = F.when(F.col("_names") != "", F.array(F.lit("typed"), F.lit("rejected"))).otherwise(F.array(F.lit("typed")))
     rows = rows.withColumn("outcome", F.explode(outcomes))
     rejected = F.col("outcome") == "rejected"
-    return rows.withColumns(
-        {"landed": F.when(rejected, F.col("_landed")), "rejected_columns": F.when(rejected, F.col("_names"))}
-    ).drop("_landed", "_names")
+    landed = F.struct(*[F.col(f"_text_{c}").alias(c) for c in S.LANDED_PRICING.fieldNames()])
+    out = [c for c in rows.columns if not c.startswith("_text_") and c != "_names"]
+    return rows.select(*out, F.when(rejected, landed).alias("landed"), F.when(rejected, F.split("_names", ",")).alias("rejected_columns"))
 
 
 def rejected_values(raw: DataFrame) -> DataFrame:

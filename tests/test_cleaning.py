@@ -12,7 +12,7 @@ from granary.functions import (
     json_line,
     table_folder,
 )
-from granary.operators.cleaning import clean_daily_pricing, rejected_values
+from granary.operators.cleaning import clean_daily_pricing, rejected_values, split_outcomes
 from pyspark.sql import functions as F
 
 STAMP = dt.datetime(2024, 1, 5, 6, 7, 8, 901234)
@@ -92,3 +92,21 @@ def test_text_helpers(spark):
     one = spark.range(1).select(F.lit(1).alias("a"), F.lit("x").alias("b"))
     assert one.select(json_line()).first()[0] == '{"a":1,"b":"x"}'
     assert one.select(calendar_text(F.lit(dt.date(2023, 12, 1)))).first()[0] == "01/12/2023"
+
+
+def test_split_outcomes_lists_rejects_without_lambdas(spark):
+    text = ["01/02/2023", "7", "S", "M", "G", "P", "V", "O", "1.005", "2", None, "x"]
+    raw = spark.createDataFrame([(*text, None)], S.LANDED_PRICING)
+    rows = split_outcomes(raw.union(raw.selectExpr(*[
+        f"'{v}' AS {c}" for c, v in zip(S.RAW_PRICING.fieldNames(), ["13/45/2023", "8", "S", "M", "G", "P", "V", "O", "a", "b", "c", "4"])
+    ], "timestamp'2024-01-01' AS source_file_load_date")))
+    got = {(r["row_id"], r["outcome"]): r for r in rows.collect()}
+    assert sorted(got) == [(7, "rejected"), (7, "typed"), (8, "rejected"), (8, "typed")]
+    assert got[7, "rejected"]["rejected_columns"] == ["modal_price", "source_file_load_date"]
+    assert got[8, "rejected"]["rejected_columns"] == ["date_of_pricing", "arrival_in_tonnes", "minimum_price", "maximum_price"]
+    assert got[7, "rejected"]["landed"]["ARRIVAL_IN_TONNES"] == "1.005" and got[7, "typed"]["landed"] is None
+    assert got[7, "typed"]["rejected_columns"] is None and str(got[7, "typed"]["arrival_in_tonnes"]) == "1.01"
+    plan = split_outcomes(spark.range(1).selectExpr(
+        *[f"cast(rand() as string) AS {c}" for c in S.RAW_PRICING.fieldNames()], "current_timestamp() AS source_file_load_date"
+    ))._jdf.queryExecution().optimizedPlan().toString()
+    assert "lambda" not in plan
