@@ -323,3 +323,19 @@ def test_responses_are_landed_beside_rejects(lake, spark):
     assert landed == {"M": (None, 2.0), "N": (1.0, None)}
     bad = rejected_responses(weather, S.WEATHER_RESPONSE, tags=("marketName",)).collect()
     assert sorted(r["marketName"] for r in bad) == ["M", "O"]
+
+
+def test_landing_counts_rows_by_file_date_after_the_write(lake, tmp_path, monkeypatch):
+    def refused(*_):
+        raise AssertionError("rows are not counted once per date while they are read")
+
+    monkeypatch.setattr(daily, "Observation", refused)
+    folder = tmp_path / "counted"
+    write_day(folder, D1, price(D1, 1), price(D1, 1), price(D1, 2))
+    write_day(folder, D2)
+    write_day(folder, D4, price(D4, 3))
+    lake.create()
+    assert daily.ingest_prices(lake, str(folder), "2023-06-01 01:00:00") == 3
+    log = lake.table(names.RUN_LOG).where("process_status = 'Completed'").collect()
+    assert sorted((r["processed_file_table_date"], r["rows_read"], r["rows_written"]) for r in log) == [(D1, 3, 3), (D2, 0, 0), (D4, 1, 1)]
+    assert daily.ingest_prices(lake, str(folder), "2023-06-01 02:00:00") == 0
