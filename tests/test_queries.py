@@ -45,3 +45,11 @@ def test_entry_has_a_stable_schema(spark):
     first, second = entry_points.entry(spark), entry_points.entry(spark)
     assert first.schema == second.schema
     assert first.count() == 6000
+
+
+def test_late_files_are_delivered_in_one_write(spark, sf, monkeypatch):
+    calls, write = [], workload_queries._write_files
+    monkeypatch.setattr(workload_queries, "_write_files", lambda *given: calls.append(given) or write(*given))
+    landed = workload_queries.late_files(spark, sf).collect()
+    assert len(calls) == 1
+    assert sum(r["rows"] for r in landed) == workload_queries.base.pricing(spark, sf).count()
