@@ -193,6 +193,11 @@ def test_staged_tables_lie_in_the_shared_folder(spark):
     assert all(f.startswith(f"file:{root}") or root in f for f in staged.inputFiles())
 
 
+def test_staged_tables_are_compressed_with_zstd(spark):
+    staged = stage(spark.range(7))
+    assert staged.inputFiles() and all(f.endswith(".zstd.parquet") for f in staged.inputFiles())
+
+
 
 def test_reference_tables_are_copied_one_by_one(spark, tmp_path, monkeypatch):
     asked = []
