@@ -38,7 +38,7 @@ FACT = "gold_market.fact_daily_pricing"
 REPORT = "gold_market.price_weather_report"
 
 SCHEMAS: dict[str, StructType] = {
-    RUN_LOG: S.RUN_LOG,
+    RUN_LOG: S.COUNTED_RUN_LOG,
     LOCATIONS: S.GEO_LOCATION,
     WEATHER: S.WEATHER_DATA,
     DIM_STATE: S.DIM_STATE,

@@ -100,9 +100,10 @@ RUN_LOG = _struct(
     ("process_status", _STR),
     ("run_timestamp", _TS),
     ("watermark_ts", _TS),
-    ("rows_read", _LONG),
-    ("rows_written", _LONG),
-    ("rows_rejected", _LONG),
+)
+#: The run log of the daily load, whose steps count their rows.
+COUNTED_RUN_LOG = StructType(
+    [*RUN_LOG.fields, *_struct(("rows_read", _LONG), ("rows_written", _LONG), ("rows_rejected", _LONG)).fields]
 )
 
 _STAMPS = (("created_at", _TS), ("updated_at", _TS))
