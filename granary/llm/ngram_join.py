@@ -11,7 +11,7 @@ by then, so what is written grows with the rows of tiles, not with their pairs.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,6 +35,8 @@ COUNTS = 1 << 22
 _COUNT_PARTS = 64
 #: Rows of a tile that one group holds at most twice; larger tiles are compared part by part.
 TILE_ROWS = 4096
+#: Elements of the sets that one group holds at most about twice where sets themselves are compared.
+PART_ELEMENTS = 1 << 20
 
 _U = np.uint64
 
@@ -156,19 +158,17 @@ def _folded(bits: np.ndarray, words_wide: int) -> np.ndarray:
 
 
 def tile_pairs(
-    ids: np.ndarray, sizes: np.ndarray, parts: np.ndarray, open_: np.ndarray, bits: list[np.ndarray],
-    failed: list[set[int]], percent: int, limit: int,
+    ids: np.ndarray, sizes: np.ndarray, parts: np.ndarray, open_: np.ndarray, bits: list[np.ndarray], percent: int
 ) -> list[tuple[int, int]]:
-    """Pairs of one tile whose bitmaps allow the similarity, between rows of different `parts`, but for those in `failed`.
+    """Pairs of one tile whose bitmaps allow the similarity, between rows of different `parts`.
 
-    Two parts with a pair count as one from the `limit`-th pair on. open_ rows have no bitmap that bounds them.
+    Two parts with a pair count as one from then on. open_ rows have no bitmap that bounds them.
     """
     order = np.lexsort((ids, sizes))
     ids, sizes, parts, open_ = ids[order], sizes[order].astype(np.int64), parts[order].copy(), open_[order]
-    bits, failed = [bits[i] for i in order], [failed[i] for i in order]
+    bits = [bits[i] for i in order]
     wide = np.array([len(b) for b in bits])
     tables: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-    made: dict[tuple[int, int], int] = {}
     out = []
     for i in range(len(ids) - 1):
         if (parts == parts[0]).all():
@@ -191,13 +191,43 @@ def tile_pairs(
         )
         allowed = 100 * overlap >= percent * (sizes[i] + sizes[rows] - overlap)
         for j in rows[allowed | open_[rows] | open_[i]].tolist():
-            if parts[j] == parts[i] or int(ids[j]) in failed[i]:
+            if parts[j] == parts[i]:
                 continue
             a, b = sorted((int(ids[i]), int(ids[j])))
             out.append((a, b))
-            pair = tuple(sorted((int(parts[i]), int(parts[j]))))
-            made[pair] = made.get(pair, 0) + 1
-            if made[pair] >= limit:
+            parts[parts == parts[j]] = parts[i]
+    return out
+
+
+def set_links(
+    ids: np.ndarray, parts: np.ndarray, sides: np.ndarray, sets: list[np.ndarray], percent: int
+) -> list[tuple[int, int]]:
+    """Links between rows of different `parts` and different `sides`, by counting the elements that two sets share.
+
+    Two parts with a link count as one from then on, so there are fewer links than rows.
+    """
+    sizes = np.array([len(s) for s in sets])
+    order = np.lexsort((ids, sizes))
+    ids, parts, sides, sizes = ids[order], parts[order].copy(), sides[order], sizes[order]
+    first = np.cumsum(sizes) - sizes
+    names, elements = np.unique(np.concatenate([sets[i] for i in order]), return_inverse=True)
+    held = np.zeros(len(names), np.int32)
+    out = []
+    for i in range(len(ids) - 1):
+        rows = i + 1 + np.flatnonzero(
+            (parts[i + 1:] != parts[i]) & (sides[i + 1:] != sides[i]) & (percent * sizes[i + 1:] <= 100 * sizes[i])
+        )
+        if not len(rows):
+            continue
+        begins = np.cumsum(sizes[rows]) - sizes[rows]
+        theirs = elements[np.repeat(first[rows] - begins, sizes[rows]) + np.arange(sizes[rows].sum())]
+        mine = elements[first[i]: first[i] + sizes[i]]
+        held[mine] = 1
+        shared = np.add.reduceat(held[theirs], begins)
+        held[mine] = 0
+        for j in rows[100 * shared >= percent * (sizes[i] + sizes[rows] - shared)].tolist():
+            if parts[j] != parts[i]:
+                out.append(tuple(sorted((int(ids[i]), int(ids[j])))))
                 parts[parts == parts[j]] = parts[i]
     return out
 
@@ -216,18 +246,56 @@ def _bound(percent: int, a: str, b: str) -> str:
     return f"100 * {overlap} >= {percent} * ({a}.n_shingles + {b}.n_shingles - {overlap})"
 
 
-def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar enough, by intersection of sorted arrays."""
-    needed = pairs.select(F.col("a").alias("_n")).union(pairs.select("b")).distinct()
+def element_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
+    """(id, elements) of the documents `needed`, ids in its only column: their sorted shingle hashes."""
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [signed(s).tobytes() for _, s in _sets(batch.column(1), size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "elements"])
 
-    sets = stage(
-        docs.join(needed, F.col("doc_id") == F.col("_n"), "left_semi").mapInArrow(arrays, "id long, elements binary"), "sets"
-    )
+    mine = docs.join(needed.toDF("_n"), F.col("doc_id") == F.col("_n"), "left_semi")
+    return mine.mapInArrow(arrays, "id long, elements binary")
+
+
+def by_group(
+    rows: DataFrame, keys: list[str], schema: str, done: Callable[[tuple, list[tuple]], list[tuple[int, int]]]
+) -> DataFrame:
+    """(a, b) that `done` finds in each group of equal `keys`, the first columns of `rows`, from the other columns."""
+    n = len(keys)
+
+    def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def links(at: tuple, group: list[tuple]) -> pa.RecordBatch:
+            pairs = done(at, group)
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in pairs], pa.int64()) for k in (0, 1)], ["a", "b"])
+
+        at, group = None, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns)):
+                if row[:n] != at:
+                    if group:
+                        yield links(at, group)
+                    at, group = row[:n], []
+                group.append(row[n:])
+        if group:
+            yield links(at, group)
+
+    return spread(rows, *keys).sortWithinPartitions(*keys).mapInArrow(found, schema).distinct()
+
+
+def in_parts(rows: DataFrame) -> DataFrame:
+    """`rows` (with doc_id and the number of `parts` of their group) under each two parts p <= q of their group: all pairs
+    meet, no group is large. own is the row's part."""
+    own = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
+    other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
+    each = rows.select("*", own.alias("own"), other.alias("other")).drop("parts")
+    return each.withColumns({"p": F.least("own", "other"), "q": F.greatest("own", "other")}).drop("other")
+
+
+def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) whose sets are similar enough, by intersection of sorted arrays."""
+    needed = pairs.select("a").union(pairs.select("b")).distinct()
+    sets = stage(element_sets(docs, needed, size), "sets")
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,7 +374,7 @@ def jaccard_components(
         "star",
     )
 
-    def unconnected(links: DataFrame, failed: DataFrame | None, limit: int) -> DataFrame:
+    def unconnected(links: DataFrame) -> DataFrame:
         """Allowed pairs of a tile whose ends lie in different components of `links` and copies; see `tile_pairs`."""
         groups = components(links.union(copies))
         marked = tiles.join(groups, F.col("doc_id") == F.col("node"), "left").select(
@@ -315,13 +383,8 @@ def jaccard_components(
         open_keys = marked.groupBy("key").agg(
             F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("parts")
         ).where("lo <> hi").select("key", "parts")
-        rows = marked.join(open_keys, "key")
-        # A tile of many rows falls into parts, and each two parts are a group: all pairs meet, no group is large.
-        mine = F.pmod(F.xxhash64("doc_id"), F.col("parts")).cast("int")
-        other = F.explode(F.sequence(F.lit(0), F.col("parts") - 1))
-        rows = rows.select("key", "doc_id", "n", "c", mine.alias("p"), other.alias("q")).select(
-            "key", F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"), "doc_id", "n", "c"
-        )
+        rows = in_parts(marked.join(open_keys, "key")).select("key", "p", "q", "doc_id", "n", "c")
+
         def folded_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [_folded(np.array(b, np.int64), TILE_BITS // 64).tobytes() for b in batch.column(1).to_pylist()]
@@ -330,50 +393,49 @@ def jaccard_components(
         needed = rows.select("doc_id").distinct()
         small = one.join(needed, "doc_id", "left_semi").select(F.col("doc_id").alias("_d"), "bits", (F.col("rows") > 1).alias("open"))
         small = small.mapInArrow(folded_bits, "_d long, bits binary, open boolean")
-        if failed is not None:
-            both = failed.select("a", "b").union(failed.select("b", "a"))
-            small = small.join(both.groupBy("a").agg(F.collect_set("b").alias("failed")), F.col("_d") == F.col("a"), "left").drop("a")
-        else:
-            small = small.withColumn("failed", F.lit(None).cast("array<bigint>"))
-        full = rows.join(small, F.col("doc_id") == F.col("_d")).select("key", "p", "q", "doc_id", "n", "c", "open", "bits", "failed")
-        grouped = spread(full, "key", "p", "q").sortWithinPartitions("key", "p", "q")
-
-        def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            def done(group: list[tuple]) -> pa.RecordBatch:
-                ids, sizes, parts, open_, bits, failed = zip(*group)
-                found = tile_pairs(
-                    np.array(ids), np.array(sizes), np.array(parts), np.array(open_, bool), [np.frombuffer(b, np.uint64) for b in bits],
-                    [set(f or ()) for f in failed], percent, limit,
-                )
-                return pa.RecordBatch.from_arrays([pa.array([x[k] for x in found], pa.int64()) for k in (0, 1)], ["a", "b"])
-
-            at, group = None, []
-            for batch in batches:
-                for key, p, q, *row in zip(*(c.to_pylist() for c in batch.columns)):
-                    if (key, p, q) != at:
-                        if group:
-                            yield done(group)
-                        at, group = (key, p, q), []
-                    group.append(tuple(row))
-            if group:
-                yield done(group)
-
-        return grouped.mapInArrow(compared, "a long, b long").distinct()
-
-    # Held as connected for now: what the bitmaps allow. Where an intersection then fails, more pairs of the parts it
-    # would have joined are held against each other, 4,096 times as many in each round, until none fails.
-    pairs = stage(star.union(unconnected(star, None, 1)).distinct(), "pairs")
+        full = rows.join(small, F.col("doc_id") == F.col("_d")).select("key", "p", "q", "doc_id", "n", "c", "open", "bits")
+
+        def allowed(at: tuple, group: list[tuple]) -> list[tuple[int, int]]:
+            ids, sizes, parts, open_, bits = zip(*group)
+            return tile_pairs(
+                np.array(ids), np.array(sizes), np.array(parts), np.array(open_, bool), [np.frombuffer(b, np.uint64) for b in bits], percent
+            )
+
+        return by_group(full, ["key", "p", "q"], "a long, b long", allowed)
+
+    def missed(pairs: DataFrame, linked: DataFrame) -> DataFrame:
+        """Links inside the components of `pairs` and copies, between different components of `linked`.
+
+        Pairs that are not in a component of `pairs` together are not allowed by their bitmaps. Of copies the first stands for all.
+        """
+        held = components(pairs.union(copies)).withColumnRenamed("component", "g").join(
+            linked.withColumnRenamed("component", "c"), "node", "left"
+        ).select(F.col("node").alias("doc_id"), "g", F.coalesce("c", "node").alias("c"))
+        split = held.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("g")
+        later = one.where("rows = 1").join(copies, F.col("doc_id") == F.col("b"), "left_semi").select("doc_id")
+        rows = held.join(split, "g").join(later, "doc_id", "left_anti").join(one.select("doc_id", F.expr("n_shingles * rows").alias("n")), "doc_id")
+        rows = stage(rows.select("g", "doc_id", "c", "n"), "split")
+        parts = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_ROWS, F.sum("n") / PART_ELEMENTS)).cast("int")
+        sized = in_parts(rows.join(rows.groupBy("g").agg(parts.alias("parts")), "g"))
+        full = sized.join(element_sets(own, rows.select("doc_id"), shingle_words), F.col("doc_id") == F.col("id"))
+
+        def linking(at: tuple, group: list[tuple]) -> list[tuple[int, int]]:
+            ids, comps, sides, sets = zip(*group)
+            # Two different parts meet here; each has a group of its own.
+            sides = np.arange(len(group)) if at[1] == at[2] else np.array(sides)
+            return set_links(np.array(ids), np.array(comps), sides, [np.frombuffer(s, _U) for s in sets], percent)
+
+        return by_group(full.select("g", "p", "q", "doc_id", "c", "own", "elements"), ["g", "p", "q"], "a long, b long", linking)
+
+    # Held as connected for now: what the bitmaps allow. Where an intersection then fails, the sets of what it connected are
+    # held against each other themselves, so no more pairs leave a task than there are rows.
+    pairs = stage(star.union(unconnected(star)).distinct(), "pairs")
     links = stage(verified(pairs, own, shingle_words, percent), "links")
-    failed, limit = stage(pairs.exceptAll(links), "failed"), 4096
-    while failed.head(1):
-        more = stage(unconnected(links, failed, limit), "pairs")
-        good = stage(verified(more, own, shingle_words, percent), "links")
-        bad = stage(more.exceptAll(good), "failed")
-        links, limit = links.union(good), 4096 * limit
-        if not bad.head(1):
-            break
-        failed = failed.union(bad)
-    groups = components(links.union(copies))
+    groups = stage(components(links.union(copies)), "groups")
+    if stage(pairs.exceptAll(links), "failed").head(1):
+        more = stage(missed(pairs, groups), "links")
+        if more.head(1):
+            groups = components(links.union(more).union(copies))
     return sig.join(groups, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
     )

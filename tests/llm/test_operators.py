@@ -587,3 +587,44 @@ def test_pipeline_stages_on_awkward_rows(spark):
     again = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(3)
     assert sorted(map(str, corpus_pipeline.one_of_each_group(spark, again, labels).collect())) == first
     assert kept["packing"] > 0
+
+
+def test_near_misses_leave_no_more_pairs_than_rows(spark, monkeypatch):
+    """Copies whose bitmaps allow the similarity and whose sets lack it a little, but for a few that link."""
+    base, n = prose(400, 70_000).split(), 50
+    rows = []
+    for i in range(n):
+        rng = np.random.default_rng(71_000 + i // 2 if i < 12 else 71_500 + i)
+        own = list(base)
+        for at in rng.choice(80, 7 if i < 12 else 6, replace=False):
+            own[5 * at] = f"z{rng.integers(1 << 30)}"
+        if i % 2 and i < 12:
+            own[-1] = "end"
+        rows.append((i, " ".join(own)))
+    rows += [(n + i, t) for i, t in rows[:3]] + [(7, rows[20][1])]
+    held = collections.defaultdict(list)
+    for i, t in rows:
+        w = t.split()
+        held[i].append({tuple(w[k: k + 5]) for k in range(len(w) - 4)})
+    parent = {i: i for i in held}
+    for i in held:
+        for j in held:
+            if i < j and any(100 * len(x & y) >= 85 * len(x | y) for x in held[i] for y in held[j]):
+                low, high = sorted((parent[i], parent[j]))
+                parent = {k: low if v == high else v for k, v in parent.items()}
+    staged = {}
+
+    def counted(df, label):
+        out = plain(df, label)
+        staged[label] = max(staged.get(label, 0), out.count())
+        return out
+
+    plain = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    # A bound that allows all pairs inside a tile, as narrow bitmaps of large sets would.
+    monkeypatch.setattr(ngram_join, "BITS_AN_ELEMENT", 1)
+    monkeypatch.setattr(ngram_join, "PART_ELEMENTS", 4000, raising=False)
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(5), 85).collect()
+    assert 10 < len(set(parent.values())) < n - 5
+    assert {r["doc_id"]: r["component_id"] for r in got} == parent
+    assert staged["pairs"] <= 3 * n and staged["links"] <= 3 * n
