@@ -628,3 +628,16 @@ def test_near_misses_leave_no_more_pairs_than_rows(spark, monkeypatch):
     assert 10 < len(set(parent.values())) < n - 5
     assert {r["doc_id"]: r["component_id"] for r in got} == parent
     assert staged["pairs"] <= 3 * n and staged["links"] <= 3 * n
+
+
+def test_scores_and_words_live_in_little_memory():
+    """Numpy arrays of a slice, of which each worker of an executor holds several at once."""
+    import tracemalloc
+
+    texts = pa.array([prose(3000, 80_000 + i) for i in range(300)])
+    model = toxicity.Model(-6.0, np.zeros(0, np.uint64), np.zeros(0))
+    tracemalloc.start()
+    toxicity.document_scores(model, texts)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert texts.nbytes > 4 << 20 and peak < 32 << 20
