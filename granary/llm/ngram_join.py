@@ -5,7 +5,8 @@ tiles gather the documents that share such a prefix element, and sizes within th
 count, rarest first, read from a table of fixed size of hashed counts, so the elements of shared lines and passages
 stand in few prefixes. Bitmaps bound the overlap from above before two sets are intersected. First each document is held against the
 smallest of its tile. Then bitmaps are compared inside the tiles, and a pair leaves its tile only if its ends are not connected
-by then, so what is written grows with the rows of tiles, not with their pairs.
+by then, so what is written grows with the rows of tiles, not with their pairs. Where a pair that left turns out not similar, the
+sets of the documents it connected are held against each other inside a task, and links alone leave it, in the same way.
 """
 
 from __future__ import annotations
