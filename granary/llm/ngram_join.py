@@ -4,8 +4,9 @@ Two sets of Jaccard similarity t or more share an element among the first (1 - t
 tiles gather the documents that share such a prefix element, and sizes within the band that t allows. The order is by document
 count, rarest first, read from a table of fixed size of hashed counts, so the elements of shared lines and passages
 stand in few prefixes. Bitmaps bound the overlap from above before two sets are intersected. First each document is held against the
-smallest of its tile. Then bitmaps are compared inside the tiles, and a pair leaves its tile only if its ends are not connected
-by then, so what is written grows with the rows of tiles, not with their pairs. Where a pair that left turns out not similar, the
+smallest of its tile. Then the bitmaps of the others are compared inside the tiles, and a pair leaves its tile only if its ends are
+not connected by then, so what is written grows with the rows of tiles, not with their pairs. Texts are never shuffled: sets and
+bitmaps are taken where the documents are read, of those alone that a bitmap of the ids wanted lets through. Where a pair that left turns out not similar, the
 sets of the documents it connected are held against each other inside a task, and links alone leave it, in the same way.
 """
 
@@ -19,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from granary.llm.common import components, ship, spread
+from granary.llm.common import components, likely, ship, spread
 from granary.llm.text import mix, shingle_sets, signed, slices, words
 from granary.staging import stage
 
@@ -248,15 +249,14 @@ def _bound(percent: int, a: str, b: str) -> str:
 
 
 def element_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
-    """(id, elements) of the documents `needed`, ids in its only column: their sorted shingle hashes."""
+    """(id, elements) of the documents `needed`, ids in its only column, and of a few others: their sorted shingle hashes."""
 
     def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [signed(s).tobytes() for _, s in _sets(batch.column(1), size)]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "elements"])
 
-    mine = docs.join(needed.toDF("_n"), F.col("doc_id") == F.col("_n"), "left_semi")
-    return mine.mapInArrow(arrays, "id long, elements binary")
+    return likely(docs, "doc_id", needed).mapInArrow(arrays, "id long, elements binary")
 
 
 def by_group(
@@ -295,8 +295,7 @@ def in_parts(rows: DataFrame) -> DataFrame:
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Those of the pairs (a, b) whose sets are similar enough, by intersection of sorted arrays."""
-    needed = pairs.select("a").union(pairs.select("b")).distinct()
-    sets = stage(element_sets(docs, needed, size), "sets")
+    sets = stage(element_sets(docs, pairs.select("a").union(pairs.select("b")), size), "sets")
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -357,42 +356,45 @@ def jaccard_components(
         .distinct(),
         "tiles",
     )
-    one = sig.where("doc_id is not null").groupBy("doc_id").agg(
-        F.max(F.struct("n_shingles", "bits")).alias("s"), F.count(F.lit(1)).alias("rows")
-    ).select("doc_id", "s.n_shingles", "s.bits", "rows")
+    sized_ = sig.where("doc_id is not null").groupBy("doc_id").agg(F.max("n_shingles").alias("n_shingles"), F.count(F.lit(1)).alias("rows"))
+
+    def bitmaps(needed: DataFrame) -> DataFrame:
+        """(doc_id, n_shingles, bits, rows) of the documents `needed`, ids in its only column, and of a few others."""
+        mine = likely(sig.select("doc_id", "n_shingles", "bits"), "doc_id", needed)
+        found = mine.groupBy("doc_id").agg(F.max(F.struct("n_shingles", "bits")).alias("s"), F.count(F.lit(1)).alias("rows"))
+        return found.select("doc_id", "s.n_shingles", "s.bits", "rows")
 
     def bounded(pairs: DataFrame) -> DataFrame:
         """Pairs that the bitmaps allow; a document of several rows is always allowed."""
+        one = bitmaps(pairs.select("a").union(pairs.select("b")))
         a = one.select(F.col("doc_id").alias("a"), F.struct("n_shingles", "bits", "rows").alias("x"))
         b = one.select(F.col("doc_id").alias("b"), F.struct("n_shingles", "bits", "rows").alias("y"))
         return pairs.join(b, "b").join(a, "a").where(f"x.rows > 1 or y.rows > 1 or {_bound(percent, 'x', 'y')}").select("a", "b")
 
-    star = stage(
-        bounded(
-            tiles.where(f"doc_id <> leader and 100 * leader_n >= {percent} * n")
-            .select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct()
-        ),
-        "star",
-    )
+    led = tiles.where(f"doc_id <> leader and 100 * leader_n >= {percent} * n")
+    led = stage(led.select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct(), "led")
+    star = stage(bounded(led), "star")
 
     def unconnected(links: DataFrame) -> DataFrame:
-        """Allowed pairs of a tile whose ends lie in different components of `links` and copies; see `tile_pairs`."""
+        """Allowed pairs of a tile whose ends lie in different components of `links` and copies; see `tile_pairs`.
+
+        Leaders are left out, as `star` has held them against all of their tile.
+        """
         groups = components(links.union(copies))
-        marked = tiles.join(groups, F.col("doc_id") == F.col("node"), "left").select(
+        marked = tiles.where("doc_id <> leader or n <> leader_n").join(groups, F.col("doc_id") == F.col("node"), "left").select(
             "key", "doc_id", "n", F.coalesce("component", "doc_id").alias("c")
         )
         open_keys = marked.groupBy("key").agg(
             F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("parts")
         ).where("lo <> hi").select("key", "parts")
-        rows = in_parts(marked.join(open_keys, "key")).select("key", "p", "q", "doc_id", "n", "c")
+        rows = stage(in_parts(marked.join(open_keys, "key")).select("key", "p", "q", "doc_id", "n", "c"), "open")
 
         def folded_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 found = [_folded(np.array(b, np.int64), TILE_BITS // 64).tobytes() for b in batch.column(1).to_pylist()]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary()), batch.column(2)], ["_d", "bits", "open"])
 
-        needed = rows.select("doc_id").distinct()
-        small = one.join(needed, "doc_id", "left_semi").select(F.col("doc_id").alias("_d"), "bits", (F.col("rows") > 1).alias("open"))
+        small = bitmaps(rows.select("doc_id")).select(F.col("doc_id").alias("_d"), "bits", (F.col("rows") > 1).alias("open"))
         small = small.mapInArrow(folded_bits, "_d long, bits binary, open boolean")
         full = rows.join(small, F.col("doc_id") == F.col("_d")).select("key", "p", "q", "doc_id", "n", "c", "open", "bits")
 
@@ -413,8 +415,8 @@ def jaccard_components(
             linked.withColumnRenamed("component", "c"), "node", "left"
         ).select(F.col("node").alias("doc_id"), "g", F.coalesce("c", "node").alias("c"))
         split = held.groupBy("g").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi").select("g")
-        later = one.where("rows = 1").join(copies, F.col("doc_id") == F.col("b"), "left_semi").select("doc_id")
-        rows = held.join(split, "g").join(later, "doc_id", "left_anti").join(one.select("doc_id", F.expr("n_shingles * rows").alias("n")), "doc_id")
+        later = sized_.where("rows = 1").join(copies, F.col("doc_id") == F.col("b"), "left_semi").select("doc_id")
+        rows = held.join(split, "g").join(later, "doc_id", "left_anti").join(sized_.select("doc_id", F.expr("n_shingles * rows").alias("n")), "doc_id")
         rows = stage(rows.select("g", "doc_id", "c", "n"), "split")
         parts = F.ceil(F.greatest(F.count(F.lit(1)) / TILE_ROWS, F.sum("n") / PART_ELEMENTS)).cast("int")
         sized = in_parts(rows.join(rows.groupBy("g").agg(parts.alias("parts")), "g"))

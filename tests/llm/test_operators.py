@@ -637,3 +637,40 @@ def test_scores_and_words_live_in_little_memory():
     peak = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert texts.nbytes > 4 << 20 and peak < 32 << 20
+
+
+def test_wanted_documents_are_found_without_a_shuffle_of_texts(spark):
+    rows = [(i, f"a b c d e f {i}") for i in [*range(-50, 3000), 1 << 40, -(1 << 40), 5, 5]] + [(None, "a b")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    wanted = [-50, -1, 0, 5, 2999, 1 << 40, -(1 << 40)]
+    needed = spark.createDataFrame([(i,) for i in [*wanted, None, 123456]], "a long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        sets = ngram_join.element_sets(docs, needed, 5)
+        assert "Exchange" not in sets._jdf.queryExecution().executedPlan().toString()
+        got = collections.Counter(r["id"] for r in sets.collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert [got[i] for i in wanted] == [1, 1, 1, 3, 1, 1, 1] and None not in got
+    assert len(got) < len(wanted) + 20
+    assert ngram_join.element_sets(docs, needed.where("a = 5"), 5).count() >= 3
+    assert ngram_join.element_sets(docs, needed.where("a is null"), 5).collect() == []
+
+
+def test_tiles_of_two_are_compared_once(spark, monkeypatch):
+    """Documents that share one passage with one other each, and two that link: a tile's smallest is held against all at once."""
+    rows = [(i, f"{prose(30, 90_000 + i)} {prose(12, 91_000 + i // 2)}") for i in range(40)]
+    rows += [(100, prose(80, 93_000)), (101, prose(80, 93_000) + " more")]
+    staged = {}
+
+    def counted(df, label):
+        out = plain(df, label)
+        staged[label] = out.count()
+        return out
+
+    plain = ngram_join.stage
+    monkeypatch.setattr(ngram_join, "stage", counted)
+    got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"]: r["component_id"] for r in got} == {i: min(i, 100) for i, _ in rows}
+    assert staged["tiles"] > 0 and staged["open"] == 0
