@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from granary.llm.common import components, likely, ship, spread
 from granary.llm.text import mix, shingle_sets, signed, slices, words
-from granary.staging import stage
+from granary.staging import discard, stage
 
 SHINGLE_WORDS = 5
 #: Fewest bits of a bitmap; a larger set has a power of two of at least BITS_AN_ELEMENT bits an element. At 6 to 12 bits, pairs
@@ -68,6 +68,15 @@ def _slot(elements: np.ndarray) -> np.ndarray:
     return (mix(elements ^ _U(0xD1B54A32D192ED03)) & _U(COUNTS - 1)).astype(np.int64)
 
 
+def _packed(counts: np.ndarray) -> bytes:
+    """Counts (int32), all first bytes before all second ones: of most counts only the first is not zero, and takes few bits."""
+    return zlib.compress(np.ascontiguousarray(counts.view(np.uint8).reshape(-1, 4).T).tobytes(), 1)
+
+
+def _unpacked(packed: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(zlib.decompress(packed), np.uint8).reshape(4, -1).T).view(np.int32).ravel()
+
+
 def signatures(docs: DataFrame, size: int) -> DataFrame:
     """(doc_id, n_shingles, f1, f2, bits, part, counts): a row per document, part NULL; and _COUNT_PARTS rows per task with its
     table of hashed document counts, equal sets of the task counted once."""
@@ -78,7 +87,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
     def signed_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, seen = np.zeros(COUNTS, np.int32), set()
         for batch in batches:
-            sizes, prints, bits, held = [], [], [], []
+            sizes, prints, bits = [], [], []
             for _, found in _sets(batch.column(1), size):
                 mark = _fingerprint(found)
                 sizes.append(len(found))
@@ -86,14 +95,13 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                 bits.append(bitmap(found))
                 if mark not in seen:
                     seen.add(mark)
-                    held.append(found)
-            if held:
-                counts += np.bincount(_slot(np.concatenate(held)), minlength=COUNTS).astype(np.int32)
+                    # Set by set: those of a batch together, and the arrays made of them, are many times its text.
+                    np.add.at(counts, _slot(found), 1)
             n = batch.num_rows
             columns = [batch.column(0), sizes, [p[0] for p in prints], [p[1] for p in prints], bits, [None] * n, [None] * n]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, k) for c, k in zip(columns, kinds)], names)
         if seen:
-            tables = [zlib.compress(counts[k * step: (k + 1) * step].tobytes(), 1) for k in range(_COUNT_PARTS)]
+            tables = [_packed(counts[k * step: (k + 1) * step]) for k in range(_COUNT_PARTS)]
             none = [None] * _COUNT_PARTS
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip([none] * 5 + [range(_COUNT_PARTS), tables], kinds)], names)
 
@@ -111,8 +119,7 @@ def count_levels(tables: DataFrame) -> np.ndarray:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for part, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                more = np.frombuffer(zlib.decompress(packed), np.int32)
-                sums[part] = sums.get(part, 0) + more.astype(np.int64)
+                sums[part] = sums.get(part, 0) + _unpacked(packed).astype(np.int64)
         if sums:
             levels = [np.minimum(8 * np.log2(1.0 + c), 255).astype(np.uint8).tobytes() for c in sums.values()]
             yield pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(levels, pa.binary())], ["part", "levels"])
@@ -251,12 +258,11 @@ def _bound(percent: int, a: str, b: str) -> str:
 def element_sets(docs: DataFrame, needed: DataFrame, size: int) -> DataFrame:
     """(id, elements) of the documents `needed`, ids in its only column, and of a few others: their sorted shingle hashes."""
 
-    def arrays(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [signed(s).tobytes() for _, s in _sets(batch.column(1), size)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "elements"])
+    def arrays(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [signed(s).tobytes() for _, s in _sets(batch.column(1), size)]
+        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(found, pa.binary())], ["id", "elements"])
 
-    return likely(docs, "doc_id", needed).mapInArrow(arrays, "id long, elements binary")
+    return likely(docs, "doc_id", needed, arrays, "id long, elements binary")
 
 
 def by_group(
@@ -294,8 +300,11 @@ def in_parts(rows: DataFrame) -> DataFrame:
 
 
 def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b) whose sets are similar enough, by intersection of sorted arrays."""
-    sets = stage(element_sets(docs, pairs.select("a").union(pairs.select("b")), size), "sets")
+    """Those of the pairs (a, b) whose sets are similar enough, by intersection of sorted arrays.
+
+    Each side's sets are taken where the documents are read: that reads them twice, but no set is shuffled for a side it is not on.
+    """
+    a, b = (element_sets(docs, pairs.select(side), size) for side in ("a", "b"))
 
     def similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,8 +316,8 @@ def verified(pairs: DataFrame, docs: DataFrame, size: int, percent: int) -> Data
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
     return (
-        pairs.join(sets.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b")
-        .join(sets.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
+        pairs.join(b.select(F.col("id").alias("b"), F.col("elements").alias("y")), "b")
+        .join(a.select(F.col("id").alias("a"), F.col("elements").alias("x")), "a")
         .select("a", "b", "x", "y")
         .mapInArrow(similar, "a long, b long")
         .distinct()
@@ -375,8 +384,8 @@ def jaccard_components(
     led = stage(led.select(F.least("leader", "doc_id").alias("a"), F.greatest("leader", "doc_id").alias("b")).distinct(), "led")
     star = stage(bounded(led), "star")
 
-    def unconnected(links: DataFrame) -> DataFrame:
-        """Allowed pairs of a tile whose ends lie in different components of `links` and copies; see `tile_pairs`.
+    def open_rows(links: DataFrame) -> DataFrame:
+        """Rows of the tiles whose ends lie in different components of `links` and copies.
 
         Leaders are left out, as `star` has held them against all of their tile.
         """
@@ -387,7 +396,10 @@ def jaccard_components(
         open_keys = marked.groupBy("key").agg(
             F.min("c").alias("lo"), F.max("c").alias("hi"), F.ceil(F.count(F.lit(1)) / TILE_ROWS).cast("int").alias("parts")
         ).where("lo <> hi").select("key", "parts")
-        rows = stage(in_parts(marked.join(open_keys, "key")).select("key", "p", "q", "doc_id", "n", "c"), "open")
+        return stage(in_parts(marked.join(open_keys, "key")).select("key", "p", "q", "doc_id", "n", "c"), "open")
+
+    def unconnected(rows: DataFrame) -> DataFrame:
+        """Allowed pairs of a tile of open rows whose ends lie in different components; see `tile_pairs`."""
 
         def folded_bits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -432,13 +444,19 @@ def jaccard_components(
 
     # Held as connected for now: what the bitmaps allow. Where an intersection then fails, the sets of what it connected are
     # held against each other themselves, so no more pairs leave a task than there are rows.
-    pairs = stage(star.union(unconnected(star)).distinct(), "pairs")
+    opened = open_rows(star)
+    pairs = stage(star.union(unconnected(opened)).distinct(), "pairs")
+    discard(tiles, led, star, opened)
     links = stage(verified(pairs, own, shingle_words, percent), "links")
     groups = stage(components(links.union(copies)), "groups")
+    done = [signed_, copies, pairs, links, groups]
     if stage(pairs.exceptAll(links), "failed").head(1):
         more = stage(missed(pairs, groups), "links")
+        done.append(more)
         if more.head(1):
             groups = components(links.union(more).union(copies))
-    return sig.join(groups, F.col("doc_id") == F.col("node"), "left").select(
+    classes = stage(sig.join(groups, F.col("doc_id") == F.col("node"), "left").select(
         "doc_id", "n_shingles", F.coalesce("component", "doc_id").alias("component_id")
-    )
+    ), "classes")
+    discard(*done)
+    return classes

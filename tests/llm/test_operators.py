@@ -1,6 +1,7 @@
 """Operators of the training-data pipeline against brute force, and on awkward rows."""
 
 import collections
+import os
 import re
 import zlib
 
@@ -8,6 +9,8 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from granary.llm import (
     embedding_dedup, encoded_ids, mixing, ngram_join, packing, passage_dedup, spans, suffix_dedup, text,
@@ -674,3 +677,86 @@ def test_tiles_of_two_are_compared_once(spark, monkeypatch):
     got = ngram_join.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
     assert {r["doc_id"]: r["component_id"] for r in got} == {i: min(i, 100) for i, _ in rows}
     assert staged["tiles"] > 0 and staged["open"] == 0
+
+
+def test_wanted_sets_take_one_worker_a_task(spark):
+    """An executor keeps all workers it ever needed at once, each with its memory; two functions in a row need two."""
+    docs = spark.createDataFrame([(i, f"a b c d e f {i}") for i in range(50)], "doc_id long, text string")
+    sets = ngram_join.element_sets(docs, docs.select("doc_id").where("doc_id < 5"), 5)
+    assert sets._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    assert {r["id"]: np.frombuffer(r["elements"], np.uint64).size for r in sets.collect()}.items() >= {i: 3 for i in range(5)}.items()
+
+
+def test_pairs_are_verified_by_the_sets_of_their_own_side(spark, monkeypatch):
+    """Sets are the largest rows of the join: those of one side are not shuffled for the other."""
+    docs = spark.createDataFrame([(i, prose(60, 94_000) + f" {i}" * (i % 2)) for i in range(300)], "doc_id long, text string").repartition(3)
+    pairs = spark.createDataFrame([(0, i) for i in range(1, 300)] + [(1, 2)], "a long, b long")
+    sizes, plain = [], ngram_join.element_sets
+
+    def counted(*given):
+        sizes.append(plain(*given).count())
+        return plain(*given)
+
+    monkeypatch.setattr(ngram_join, "element_sets", counted)
+    got = ngram_join.verified(pairs, docs, 5, 75)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, pairs.collect()))
+    assert len(sizes) == 2 and min(sizes) < 10 and sum(sizes) < 310
+
+
+def test_document_counts_travel_in_few_bytes():
+    counts = np.random.default_rng(95_000).poisson(0.7, 1 << 16).astype(np.int32)
+    counts[[3, 9, 27]] = 300, 70_000, 2_000_000_000
+    packed = ngram_join._packed(counts)
+    assert (ngram_join._unpacked(packed) == counts).all() and len(packed) < 0.4 * len(counts)
+
+
+def test_ngram_join_leaves_no_tiles_behind(spark, monkeypatch):
+    """What only the candidate step reads is deleted when its pairs are written, before sets are shuffled."""
+    docs = spark.createDataFrame([(i, prose(80, 96_000 + i // 3) + f" {i}") for i in range(60)], "doc_id long, text string").repartition(3)
+    at, plain = {}, ngram_join.stage
+
+    def kept(df, label):
+        out = plain(df, label)
+        at[label] = out._staged_at
+        return out
+
+    monkeypatch.setattr(ngram_join, "stage", kept)
+    assert {r["component_id"] for r in ngram_join.jaccard_components(docs).collect()} == set(range(0, 60, 3))
+    assert at.keys() >= {"tiles", "led", "star", "open", "links"}
+    assert [label for label in ("tiles", "led", "star", "open") if os.path.exists(at[label].removeprefix("file:"))] == []
+
+
+def test_signatures_hold_no_sets_of_a_whole_batch():
+    """A batch's sets together, and the arrays made of them, take many times its text in each worker of an executor."""
+    import tracemalloc
+
+    class Worker:
+        mapInArrow = staticmethod(lambda function, schema: function)
+
+    ids, texts = pa.array(range(800)), pa.array([prose(1500, 97_000 + i) for i in range(800)])
+    run = ngram_join.signatures(Worker, 5)
+    tracemalloc.start()
+    rows = list(run(iter([pa.RecordBatch.from_arrays([ids, texts], ["doc_id", "text"])])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    tables = [ngram_join._unpacked(t) for t in rows[1].column(6).to_pylist()]
+    assert sum(int(t.sum()) for t in tables) == sum(rows[0].column(1).to_pylist()) and peak < 48 << 20
+
+
+def test_discard_lets_spark_drop_shuffles_of_plans_that_are_gone(spark):
+    import time
+
+    from granary.staging import discard, stage
+
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    mine = lambda: {f for f in map(str, files.getAllBlocks().mkString(",").split(",")) if f.startswith("shuffle_")}
+    deal = lambda: stage(spark.range(100_000).withColumn("k", F.col("id") % 1000).repartition(7, "k"), "dealt")
+    before = mine()
+    staged = deal()
+    made = mine() - before
+    assert made
+    for _ in range(3):
+        discard(staged)
+        staged = deal()
+        time.sleep(1)
+    assert not made & mine()
