@@ -760,3 +760,21 @@ def test_discard_lets_spark_drop_shuffles_of_plans_that_are_gone(spark):
         staged = deal()
         time.sleep(1)
     assert not made & mine()
+
+
+def test_passages_shuffle_wanted_texts_and_each_side_its_own(spark, monkeypatch):
+    docs = [(i, prose(70, 98_000 + i)) for i in range(2000)] + [(5000, prose(70, 98_007)[:-3] + " x"), (5001, prose(70, 98_011))]
+    wanted, plain = [], passage_dedup.likely
+
+    def counted(*given):
+        out = plain(*given)
+        wanted.append(out.count())
+        return out
+
+    monkeypatch.setattr(passage_dedup, "likely", counted, raising=False)
+    staged, kept = {}, passage_dedup.stage
+    monkeypatch.setattr(passage_dedup, "stage", lambda df, label: staged.setdefault(label, kept(df, label)))
+    got = passage_dedup.near_duplicate_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()
+    assert {(r["doc_id"], r["first_doc_id"]) for r in got} == {(5000, 7), (5001, 11)}
+    assert wanted and max(wanted) < 20
+    assert sorted((r["d"], r["side"]) for r in staged["passages"].collect()) == [(7, "a"), (5000, "b")]
