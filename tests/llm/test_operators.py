@@ -778,3 +778,69 @@ def test_passages_shuffle_wanted_texts_and_each_side_its_own(spark, monkeypatch)
     assert {(r["doc_id"], r["first_doc_id"]) for r in got} == {(5000, 7), (5001, 11)}
     assert wanted and max(wanted) < 20
     assert sorted((r["d"], r["side"]) for r in staged["passages"].collect()) == [(7, "a"), (5000, "b")]
+
+
+def test_pairs_in_large_window_groups_are_all_compared(spark):
+    """Lines of 42 words in 60 documents; some share eight words more around them with one other, a passage of 50 words."""
+    rows, want = [], {}
+    for p in range(8):
+        line = prose(42, 80_000 + p)
+        for i in range(60):
+            front, back = prose(60, 81_000 + 100 * p + i), prose(60, 83_000 + 100 * p + i)
+            if i >= 20:
+                pair = 20 * p + (i - 20) // 2
+                front += " " + prose(3, 85_000 + pair)
+                back = prose(5, 87_000 + pair) + " " + back
+                if i % 2:
+                    want[100 * p + i] = 100 * p + i - 1
+            rows.append((100 * p + i, f"{front} {line} {back}"))
+    found = passage_dedup.near_duplicate_passages(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).collect()
+    assert {r["doc_id"]: r["first_doc_id"] for r in found} == want
+
+
+def test_group_stretches_by_brute_force():
+    rng = np.random.default_rng(91_000)
+    line, passage = rng.integers(0, 2**32, 30), [rng.integers(0, 2**32, 123) for _ in range(4)]
+    groups, rows = [], []
+    for g in range(3):
+        for i in range(40):
+            own = rng.integers(0, 2**32, 123)
+            if i % 3:
+                own = passage[(g + i) % 4].copy()
+                own[rng.integers(0, 123, int(rng.integers(0, 14)))] += 1
+                if i % 5 == 0:
+                    own = np.delete(own, 50)
+            own[46:76] = line
+            groups.append(g)
+            rows.append(own[int(rng.integers(0, 20)): len(own) - int(rng.integers(0, 40))].astype("<u4"))
+    mid = np.array([int(np.flatnonzero(r == np.uint32(line[15]))[0]) for r in rows])
+    doc = np.array([i // 2 for i in range(len(rows))])  # A document may be there twice.
+    ends = np.cumsum([len(r) for r in rows])
+    got, want = collections.defaultdict(set), collections.defaultdict(set)
+    for y, low, high, x in passage_dedup.group_stretches(np.array(groups), doc, ends, mid, np.concatenate(rows), 46, 75):
+        assert doc[x] < doc[y] and groups[x] == groups[y]
+        got[y] |= set(range(low, high))
+    for y in range(len(rows)):
+        for x in range(y):
+            if groups[x] == groups[y] and doc[x] < doc[y]:
+                for low, high in passage_dedup.near_stretches(rows[x], rows[y], 46, 75):
+                    want[y] |= {i for i in range(low, high) if abs(i - mid[y]) < 30}
+    assert sum(map(bool, want.values())) > 40
+    assert all(places <= got[y] for y, places in want.items())
+
+
+def test_blocks_of_a_large_group_meet_each_other(spark):
+    """A group dealt out in pairs of blocks gives what it gives in one."""
+    line = prose(30, 95_000)
+    texts = [f"{prose(70, 95_100 + i % 7)} {line} {prose(70, 95_200 + i % 5)}" for i in range(60)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)
+    first = text.words(pa.array(texts[:1])).hashes
+    grams = text.gram_hashes(first, 5)
+    key = text.signed(text.mix(grams[80:81] ^ passage_dedup._SEEDS[0]))[0]
+    at = [(i, int(key), len(texts), 0, 80) for i in range(len(texts))]
+    windows = spark.createDataFrame(at, "doc_id long, key long, rows long, h int, c int")
+    got = [
+        {tuple(r)[:3] for r in spans.merged(passage_dedup.large_groups(docs, windows, 46, 75, 5, block)).select("doc_id", "low", "high").collect()}
+        for block in (1000, 9)
+    ]
+    assert got[0] == got[1] and len(got[0]) > 40
