@@ -10,6 +10,9 @@ from pyspark.sql.types import StringType, StructField, StructType
 
 from granary.functions import table_folder
 
+#: Compression of the Parquet files written here: a third smaller than the default at much the same time.
+CODEC = "zstd"
+
 
 def sink_path(root: str, table: str) -> str:
     """Folder of a dotted table name below `root`."""
@@ -39,7 +42,7 @@ def spread_by(df: DataFrame, partition_by: tuple[str, ...]) -> DataFrame:
 
 def append_files(df: DataFrame, path: str, partition_by: tuple[str, ...] = ()) -> None:
     """Append to a Parquet folder; new columns are allowed."""
-    spread_by(df, partition_by).write.mode("append").partitionBy(*partition_by).parquet(path)
+    spread_by(df, partition_by).write.mode("append").partitionBy(*partition_by).option("compression", CODEC).parquet(path)
 
 
 def read_evolving(spark: SparkSession, path: str, schema: StructType | None = None) -> DataFrame:
@@ -154,7 +157,7 @@ def replace_partitions(df: DataFrame, name: str, spread: tuple[str, ...] = (), r
     columns = partition_columns(spark, name)
     rows = spread_by(conform(df, spark.table(name).schema), spread)
     path = f"{root.rstrip('/') if root else _location(spark, name)}/version-{uuid.uuid4().hex}"
-    rows.write.partitionBy(*columns).parquet(path)
+    rows.write.partitionBy(*columns).option("compression", CODEC).parquet(path)
     # Highest first: of a history, closed versions (keyed by the load that closed them) before current ones (keyed 0).
     found = sorted(_written(spark, path, columns), key=lambda p: [(v is not None, v) for v in p.values()], reverse=True)
     point_partitions(spark, name, path, found)
@@ -173,7 +176,7 @@ def write_split(
     The tables point at the folders of that write, and read the columns they have from its files. `df` is computed once.
     """
     spark = df.sparkSession
-    df.write.partitionBy(outcome, *partition_by).parquet(path)
+    df.write.partitionBy(outcome, *partition_by).option("compression", CODEC).parquet(path)
     found = _written(spark, path, [outcome, *partition_by])
     for value, name in targets.items():
         mine = [{c: p[c] for c in partition_by} for p in found if p[outcome] == value]
@@ -195,7 +198,7 @@ def publish(df: DataFrame, name: str, location: str) -> str:
     """
     spark = df.sparkSession
     path = f"{location.rstrip('/')}/version-{uuid.uuid4().hex}"
-    conform(df, spark.table(name).schema).write.parquet(path)
+    conform(df, spark.table(name).schema).write.option("compression", CODEC).parquet(path)
     spark.sql(f"ALTER TABLE {name} SET LOCATION '{path}'")
     spark.catalog.refreshTable(name)
     return path

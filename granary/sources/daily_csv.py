@@ -1,4 +1,4 @@
-"""Daily price files: one CSV per day with the date in its name."""
+"""Daily price files: one CSV per day with the date in its name, plain or compressed with gzip (`.csv.gz`)."""
 
 from __future__ import annotations
 
@@ -18,13 +18,16 @@ from granary.staging import empty_table
 
 HEADER_JOBS = 8
 
+#: Names of price files below a folder.
+FILE_NAMES = "*.csv{,.gz}"
+
 
 def daily_files(spark: SparkSession, folder: str) -> DataFrame:
     """Path and date of every price file below `folder`; contents are not read."""
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", FILE_NAMES)
         .load(folder)
     )
     dated = files.select("path", "length", file_date("path").alias("file_date"))

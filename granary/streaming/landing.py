@@ -10,7 +10,8 @@ from pyspark.sql.streaming import StreamingQuery
 
 from granary import schemas as S
 from granary.functions import file_date
-from granary.sources.daily_csv import stamp_landing
+from granary.sinks.tables import CODEC
+from granary.sources.daily_csv import FILE_NAMES, stamp_landing
 
 
 def stream_daily_files(
@@ -27,7 +28,7 @@ def stream_daily_files(
         .option("header", "true")
         .option("enforceSchema", "false")
         .option("recursiveFileLookup", "true")
-        .option("pathGlobFilter", "*.csv")
+        .option("pathGlobFilter", FILE_NAMES)
     )
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
@@ -47,6 +48,7 @@ def land_available(
     return (
         stream_daily_files(spark, folder, files_per_batch, as_of)
         .writeStream.format("parquet")
+        .option("compression", CODEC)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start(sink)

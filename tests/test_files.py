@@ -1,5 +1,7 @@
 import datetime as dt
+import gzip
 import json
+import os
 
 import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
@@ -42,6 +44,32 @@ def test_daily_files_are_found_by_name(spark, tmp_path):
     assert sorted(r["file_date"] for r in daily_files(spark, str(tmp_path)).collect()) == [D1, D3]
 
 
+def test_compressed_daily_files_are_read_like_plain_ones(spark, tmp_path):
+    for path in (write_day(tmp_path, D1), write_day(tmp_path, D2)):
+        with open(path, "rb") as plain, gzip.open(path + ".gz", "wb") as packed:
+            packed.write(plain.read())
+        os.remove(path)
+    write_day(tmp_path, D3, [*reversed(COLUMNS)])
+    found = {r["file_date"]: r["path"] for r in daily_files(spark, str(tmp_path)).collect()}
+    assert sorted(found) == [D1, D2, D3]
+    rows = read_daily_files(spark, list(found.values()), on_drift="align").collect()
+    assert sorted((r["ROW_ID"], r["VARIETY"], r["file_date"]) for r in rows) == [(str(i), f"VARIETY-{i}", d) for i in range(2) for d in (D1, D2, D3)]
+    os.remove(tmp_path / f"PW_MW_DR_{D3:%m%d%Y}.csv")
+    land_available(spark, str(tmp_path), str(tmp_path / "sink"), str(tmp_path / "state")).awaitTermination()
+    landed = spark.read.parquet(str(tmp_path / "sink"))
+    assert landed.count() == 4 and all(f.endswith(".zstd.parquet") for f in landed.inputFiles())
+
+
+def test_tables_are_compressed_with_zstd(spark, tmp_path):
+    name = "granary_files_zstd.days"
+    rows = spark.range(40).selectExpr("id", "id % 2 day")
+    tables.create_table(spark, name, rows.schema, str(tmp_path / "days"), ("day",))
+    tables.replace_partitions(rows, name)
+    tables.append_files(rows, str(tmp_path / "appended"))
+    for written in (spark.table(name), spark.read.parquet(str(tmp_path / "appended"))):
+        assert written.count() == 40 and all(f.endswith(".zstd.parquet") for f in written.inputFiles())
+
+
 def test_expected_header_is_read_in_one_scan(spark, tmp_path):
     rows = read_daily_files(spark, [write_day(tmp_path, D1), write_day(tmp_path, D2)])
     assert rows.columns == [*COLUMNS, "file_date"]

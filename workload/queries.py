@@ -26,7 +26,7 @@ from granary.sources.daily_csv import daily_files, read_daily_files
 from granary.sources.fixtures import load_fixture
 from granary.sources import json_docs
 from granary.sources.json_docs import land_weather, read_json_lines
-from granary.staging import empty_table, scratch_path, stage
+from granary.staging import drop_shuffles, empty_table, scratch_path, stage
 from granary.streaming.daily import load_micro_batch
 from granary.streaming.landing import land_available, stream_daily_files
 from workload import base
@@ -424,7 +424,8 @@ def _price_text(spark: SparkSession, sf: str) -> DataFrame:
 def _write_files(rows: DataFrame, folder: str, columns: list[str], above: tuple[str, ...] = ()) -> None:
     """One folder per month that is named like a price file, below those of the columns `above`."""
     files = rows.select(*columns, *above, price_file("month").alias("file")).hint("rebalance", "file")
-    files.write.partitionBy(*above, "file").option("header", "true").mode("append").csv(folder)
+    files.write.partitionBy(*above, "file").option("header", "true").option("compression", "gzip").mode("append").csv(folder)
+    drop_shuffles(rows.sparkSession)
 
 
 def _paths(spark: SparkSession, folder: str) -> list[str]:
