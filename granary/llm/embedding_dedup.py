@@ -18,12 +18,14 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from granary.llm.common import components
+from granary.llm.common import components, spread
 from granary.llm.vectors import matrix, vector_bytes
 from granary.staging import stage
 
-TILE = 8192
+TILE = 16384
 ROWS_AT_ONCE = 512
+#: Pairs computed again in double precision at once.
+PAIRS_AT_ONCE = 1 << 15
 
 
 @lru_cache(maxsize=4)
@@ -95,16 +97,19 @@ def compare_tile(
         candidate = signs[at:to] @ turned[first:].T >= lowest[at:to, None]
         if right is None:
             candidate &= np.arange(first, n)[None, :] > np.arange(at, to)[:, None]
-        for row in np.flatnonzero(candidate.any(1)):
-            i = at + int(row)
-            others = first + np.flatnonzero(candidate[row])
-            computed += len(others)
-            cosine = (exact[others] * exact[i]).sum(1) / (norms[others] * norms[i])
-            others = others[cosine >= threshold]
-            if len(others):
-                links[i] += copies[others].sum()
-                links[others] += copies[i]
-                edges += forest.join(i, others)
+        place = np.flatnonzero(candidate)
+        rows, others = at + place // candidate.shape[1], first + place % candidate.shape[1]
+        computed += len(rows)
+        linked = np.zeros(len(rows), bool)
+        for a in range(0, len(rows), PAIRS_AT_ONCE):
+            i, j = rows[a: a + PAIRS_AT_ONCE], others[a: a + PAIRS_AT_ONCE]
+            linked[a: a + PAIRS_AT_ONCE] = (exact[j] * exact[i]).sum(1) / (norms[j] * norms[i]) >= threshold
+        rows, others = rows[linked], others[linked]
+        np.add.at(links, rows, copies[others])
+        np.add.at(links, others, copies[rows])
+        cuts = np.flatnonzero(np.diff(rows)) + 1
+        for own, near in zip(rows[np.append(0, cuts)] if len(rows) else (), np.split(others, cuts)):
+            edges += forest.join(int(own), near)
     reps = both["rep"].to_numpy(np.int64)
     return reps, links, [(int(reps[a]), int(reps[b])) for a, b in edges], computed
 
@@ -158,8 +163,9 @@ def near_duplicates(
         joined = pd.DataFrame({"a": [a for a, _ in edges], "b": pd.array([b for _, b in edges], "Int64"), "links": 0})
         return pd.concat([found, joined])
 
+    # Dealt out in a fixed number of parts: by their bytes all pairs of tiles would end up in one task.
     found = stage(
-        pairs.groupBy("size", "i", "j").applyInPandas(compared, "a long, b long, links long"), "tile-links"
+        spread(pairs, "size", "i", "j").groupBy("size", "i", "j").applyInPandas(compared, "a long, b long, links long"), "tile-links"
     )
     direct = found.where("b is null").groupBy("a").agg(F.sum("links").alias("links"))
     grouped = components(found.where("b is not null").select("a", "b"))

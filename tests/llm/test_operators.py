@@ -6,6 +6,7 @@ import re
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 
@@ -844,3 +845,34 @@ def test_blocks_of_a_large_group_meet_each_other(spark):
         for block in (1000, 9)
     ]
     assert got[0] == got[1] and len(got[0]) > 40
+
+
+def test_pairs_of_tiles_are_many_tasks(spark, monkeypatch):
+    rows = [(i, [float(x) * (1 + 1e-6 * i * k) for k, x in enumerate(np.random.default_rng(i // 2).standard_normal(8))]) for i in range(400)]
+    vectors, written, kept = spark.createDataFrame(rows, "vec_id long, embedding array<double>"), {}, embedding_dedup.stage
+
+    def counted(df, label="stage"):
+        if label == "tile-links":
+            df = df.withColumn("task", F.spark_partition_id())
+            df = written[label] = kept(df, label)
+            return df.drop("task")
+        return kept(df, label)
+
+    monkeypatch.setattr(embedding_dedup, "stage", counted)
+    got = embedding_dedup.near_duplicates(vectors, threshold=0.999, tile=20).collect()
+    assert [r["n_links"] for r in got] == [1] * 400
+    assert written["tile-links"].select("task").distinct().count() > 1
+
+
+def test_links_of_a_tile_do_not_depend_on_the_step(monkeypatch):
+    rng = np.random.default_rng(97_000)
+    vectors = np.repeat(rng.standard_normal((30, 16)), 10, axis=0) + 0.05 * rng.standard_normal((300, 16))
+    rows = pd.DataFrame({"rep": np.arange(300), "copies": rng.integers(1, 4, 300), "vec": [v.astype("<f8").tobytes() for v in vectors]})
+    unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+    close = (unit @ unit.T >= 0.9) & ~np.eye(300, dtype=bool)
+    for step in (1 << 15, 7):
+        monkeypatch.setattr(embedding_dedup, "PAIRS_AT_ONCE", step)
+        reps, links, edges, computed = embedding_dedup.compare_tile(rows, None, 0.9, 4.0)
+        assert (links == close @ rows["copies"].to_numpy()).all() and computed >= close.sum() / 2
+        # Pairs that connect, fewer than rows.
+        assert len(edges) == 300 - len({min(np.flatnonzero(c).tolist() + [i]) for i, c in enumerate(close)})
